@@ -1,11 +1,21 @@
 """The queries of this subpackage, by name."""
 
+from .decontam import op2_decontaminate
 from .gif import op1_gif_media
+from .hmm import op3_hmm_score
+from .mixing import op7_temperature_mix
+from .quality import op6_quality_pu
 from .simhash import op10_simhash_covering
 from .substring import OP8_SQL, op8_substring_countmin
+from .toxicity import op4_toxicity_zstd
 
 QUERIES = {
     "op1_gif_media": op1_gif_media,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_hmm_score": op3_hmm_score,
+    "op4_toxicity_zstd": op4_toxicity_zstd,
+    "op6_quality_pu": op6_quality_pu,
+    "op7_temperature_mix": op7_temperature_mix,
     "op8_substring_countmin": op8_substring_countmin,
     "op10_simhash_covering": op10_simhash_covering,
 }

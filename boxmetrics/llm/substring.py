@@ -270,7 +270,7 @@ def op8_substring_countmin(spark, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 WITH w AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
 ), s AS (
   SELECT doc_id, unnest(range(1, len(words) - 48)) AS pos, words FROM w WHERE len(words) >= 50
 ), h AS (
