@@ -166,6 +166,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERRO
     return reduce(DataFrame.union, parts) if parts else docs.sparkSession.createDataFrame([], SCHEMA)
 
 
+def without_items(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_length: int = MIN_LENGTH) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no item of ``benchmark``; nothing is shuffled."""
+    at = docs.columns.index("text")
+
+    def cleaned(rows: DataFrame, block: list[tuple[int, str, int]]) -> DataFrame:
+        sent = rows.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(sent.value)
+            for batch in batches:
+                yield batch.filter(pa.array([not matcher.find(t.as_py() or "") for t in batch.column(at)], pa.bool_()))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    return reduce(cleaned, item_blocks(benchmark, error_rate, min_length), docs)
+
+
 SCHEMA = "doc_id long, item_id long, distance int, allowed int, begin int, end int"
 
 

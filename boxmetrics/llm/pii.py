@@ -1,0 +1,328 @@
+"""PII by weak supervision, in DataFrame operations only.
+
+Four kinds have a fixed definition and are always reported: email, ip, card and
+phone. Further candidates (secret, ssn, name) come from loose patterns; regex,
+gazetteer and context labelers vote on each. Their votes are aggregated by
+Spark into a table of vote patterns, whose size is bounded by the labelers and
+bins, not by the corpus. Expectation-maximisation over that table estimates
+each labeler's reliability per kind and each pattern's probability; a logistic
+span classifier is trained on those probabilities from the votes and the
+candidate's own shape. Candidates it accepts are added.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import table, texts
+
+BASE = ("email", "ip", "card", "phone")
+KINDS = (*BASE, "secret", "ssn", "name")
+
+# Possessive forms of the contract's patterns: they match the same, without
+# backtracking or recursion on long runs. \G lets a match begin where the last
+# one ended; elsewhere a run is only tried from its first sign, as a later
+# start would fail for the same reason.
+PATTERNS = {
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "card": r"[0-9](?:[ -]?[0-9])++",
+    "phone": r"\+[0-9][ ().0-9-]+[0-9]",
+    "secret": r"(?:\G|(?<![A-Za-z0-9_/+=-]))[A-Za-z0-9_/+-]{16,}+",
+    "ssn": r"(?:\G|(?<![0-9-]))[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "name": r"\b[A-Z][a-z]{1,20} [A-Z][a-z]{1,20}\b",
+}
+
+# Common given names.
+GIVEN = ["james", "mary", "john", "patricia", "robert", "jennifer", "michael", "linda", "william", "elizabeth", "david", "barbara", "richard", "susan", "joseph", "jessica", "thomas", "sarah", "charles", "karen", "anna", "peter", "paul", "maria", "hans", "klaus", "ursula", "jean", "pierre", "marie", "sophie", "jose", "juan", "carmen", "luis", "ana", "pedro", "laura", "emma", "oliver"]
+KEYWORDS = r"(?i)(?:password|passwd|pwd|secret|token|api.?key|access.?key|credential)[\"' ]{0,3}[:=]?[\"' ]{0,3}$"
+SSN_CONTEXT = r"(?i)(?:ssn|social security|tax id)\W{0,12}$"
+NAME_CONTEXT = r"(?i)(?:my name is|mr\.?|mrs\.?|ms\.?|dr\.?|contact|signed|regards,?|dear) ?$"
+BEFORE = 30
+ACCEPT = 0.5
+ROUNDS = 60
+
+
+def matches(text: Column, pattern: str) -> Column:
+    """All matches as structs (start, end, match), in code points, end exclusive.
+
+    The pattern splits the text into the gaps between its matches; the lengths
+    of gaps and matches, summed up in turn, give the places.
+    """
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
+    steps = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(F.char_length(g).alias("g"), F.char_length(m).alias("n"), m.alias("m")))
+    empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
+
+    def step(acc, x):
+        start = acc["at"] + x["g"]
+        span = F.struct(start.alias("start"), (start + x["n"]).alias("end"), x["m"].alias("match"))
+        return F.struct((start + x["n"]).alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+
+    return F.when(F.size(found) > 0, F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step)["spans"]).otherwise(empty)
+
+
+def _digits(m: Column) -> Column:
+    return F.regexp_replace(m, "[^0-9]", "")
+
+
+def luhn(digits: Column) -> Column:
+    """Whether a string of digits passes the Luhn test."""
+    at = F.split(F.reverse(digits), "")
+
+    def value(d, i):
+        n = d.cast("int")
+        return F.when(i % 2 == 0, n).when(n < 5, 2 * n).otherwise(2 * n - 9)
+
+    return F.aggregate(F.transform(F.filter(at, lambda d: d != ""), value), F.lit(0), lambda a, v: a + v) % 10 == 0
+
+
+def _small_part(p: Column) -> Column:
+    bare = F.regexp_replace(p, "^0+", "")
+    return (F.char_length(bare) <= 3) & (F.when(F.char_length(bare) <= 3, F.coalesce(F.try_to_number(F.concat(F.lit("0"), bare), F.lit("9999")), F.lit(0))).otherwise(999) <= 255)
+
+
+def _passes(kind: str, m: Column) -> Column:
+    if kind == "ip":
+        return F.forall(F.split(m, r"\."), _small_part)
+    if kind == "card":
+        d = _digits(m)
+        return F.char_length(d).between(14, 19) & luhn(d)
+    if kind == "phone":
+        return F.char_length(_digits(m)).between(10, 15)
+    return F.lit(True)
+
+
+def base_spans(text: Column) -> dict[str, Column]:
+    """The fixed kinds: per kind an array of (start, end, match)."""
+
+    def passing(kind: str) -> Column:
+        return F.filter(matches(text, PATTERNS[kind]), lambda s: _passes(kind, s["match"]))
+
+    return {k: passing(k) for k in BASE}
+
+
+# ---------------------------------------------------------------- candidates and votes
+
+
+def _before(text: Column, start: Column) -> Column:
+    return F.substring(text, F.greatest(start - BEFORE + 1, F.lit(1)), F.least(start, F.lit(BEFORE)))
+
+
+def _vote(yes: Column, no: Column) -> Column:
+    """1 for, 0 against, -1 no opinion."""
+    return F.when(yes, 1).when(no, 0).otherwise(-1)
+
+
+def _votes(kind: str, m: Column, before: Column) -> dict[str, Column]:
+    share = F.char_length(_digits(m)) / F.char_length(m)
+    mixed = m.rlike("[0-9]") & m.rlike("[A-Za-z]")
+    if kind == "secret":
+        shape = _vote(m.rlike(r"^(?:AKIA[0-9A-Z]{16}|[0-9a-f]{16,}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9]{20,})$") & mixed, ~m.rlike("[0-9]"))
+        book = _vote(before.rlike(KEYWORDS), F.lit(False))
+        context = _vote(before.rlike(r"[=:][\"' ]{0,3}$"), before.rlike(r"[/.@]$"))
+        spread = _vote(mixed & share.between(0.15, 0.9), (share == 0) | m.rlike(r"(.)\1{5}"))
+    elif kind == "ssn":
+        shape = _vote(~m.rlike(r"^(?:000|666|9)|-00-|-0000$"), m.rlike(r"^(?:000|666|9)|-00-|-0000$"))
+        book = _vote(F.lit(False), m.isin("123-45-6789", "111-11-1111", "078-05-1120"))
+        context = _vote(before.rlike(SSN_CONTEXT), before.rlike(r"(?i)(?:isbn|order|part|no\.?) ?$"))
+        spread = _vote(F.lit(False), m.rlike(r"(\d)\1\1-\1\1-"))
+    else:
+        shape = _vote(F.lit(False), m.rlike(r"^(?:The|This|That|And|But|For|With|From|Not|Die|Der|Das|Les|Los|Las|El|La|Le)\b"))
+        book = _vote(F.lower(F.substring_index(m, " ", 1)).isin(GIVEN), F.lit(False))
+        context = _vote(before.rlike(NAME_CONTEXT), before.rlike(r"[|#*]\s*$"))
+        spread = _vote(F.lit(False), ~F.lower(F.substring_index(m, " ", 1)).isin(GIVEN) & ~before.rlike(NAME_CONTEXT))
+    return {"shape": shape, "book": book, "context": context, "spread": spread}
+
+
+LABELERS = ("shape", "book", "context", "spread")
+
+
+def candidates(text: Column, base: Column) -> Column:
+    """Candidates of the further kinds that no fixed span overlaps, with votes and a length bin."""
+
+    def of(kind: str) -> Column:
+        free = F.filter(matches(text, PATTERNS[kind]), lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+
+        def voted(s):
+            votes = _votes(kind, s["match"], _before(text, s["start"]))
+            size = F.least(F.floor(F.log2(F.char_length(s["match"]).cast("double"))), F.lit(8)).cast("int")
+            return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), size.alias("size"), *[v.cast("int").alias(n) for n, v in votes.items()])
+
+        return F.transform(free, voted)
+
+    return F.concat(*[of(k) for k in KINDS[len(BASE) :]])
+
+
+def with_candidates(docs: DataFrame) -> DataFrame:
+    """``docs`` (with a text that is not null) plus ``base`` and ``extra`` arrays of spans."""
+    spans = base_spans(F.col("text"))
+
+
+    def named(kind: str) -> Column:
+        return F.transform(spans[kind], lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+
+    flat = F.concat(*[named(k) for k in BASE])
+    return docs.withColumn("base", flat).withColumn("extra", candidates(F.col("text"), F.col("base")))
+
+
+# ---------------------------------------------------------------- aggregation of the votes
+
+
+def vote_table(docs: DataFrame) -> list[tuple]:
+    """(kind, size, votes..., n): at most kinds x sizes x 3^labelers rows, whatever the corpus."""
+    rows = with_candidates(texts(docs)).select(F.explode("extra").alias("c")).groupBy("c.kind", "c.size", *[f"c.{n}" for n in LABELERS]).count().collect()
+    return sorted(tuple(r) for r in rows)
+
+
+def estimate(rows: list[tuple], rounds: int = ROUNDS) -> tuple[dict, list[float]]:
+    """EM over vote patterns: (reliabilities by (kind, labeler), probability of each row).
+
+    Labelers are taken as independent given the truth. A labeler's chances of
+    each vote, for real and for chance spans, start from "right three times of
+    four" and are smoothed, so a pattern never seen has a defined probability.
+    """
+    kinds = sorted({r[0] for r in rows})
+    share = dict.fromkeys(kinds, 0.5)
+    chance = {(k, n, y, v): (0.6 if v == y else 0.2 if v >= 0 else 0.4) for k in kinds for n in LABELERS for y in (0, 1) for v in (-1, 0, 1)}
+    p: list[float] = []
+    for _ in range(rounds):
+        p = []
+        for r in rows:
+            odds = math.log(share[r[0]] / (1 - share[r[0]]))
+            for n, v in zip(LABELERS, r[2:-1], strict=True):
+                odds += math.log(chance[r[0], n, 1, v] / chance[r[0], n, 0, v])
+            p.append(1 / (1 + math.exp(-max(-30.0, min(30.0, odds)))))
+        for k in kinds:
+            mine = [(r, q) for r, q in zip(rows, p, strict=True) if r[0] == k]
+            total, real = sum(r[-1] for r, _ in mine), sum(r[-1] * q for r, q in mine)
+            share[k] = (real + 1) / (total + 2)
+            for i, n in enumerate(LABELERS):
+                for y in (0, 1):
+                    mass = real if y else total - real
+                    for v in (-1, 0, 1):
+                        seen = sum(r[-1] * (q if y else 1 - q) for r, q in mine if r[2 + i] == v)
+                        prior = 0.6 if v == y else 0.2 if v >= 0 else 0.4
+                        chance[k, n, y, v] = (seen + 4 * prior) / (mass + 4 * 1.2)
+    return {(k, n): tuple(round(chance[k, n, y, y], 6) for y in (0, 1)) for k in kinds for n in LABELERS}, p
+
+
+def span_classifier(rows: list[tuple], p: list[float], rounds: int = 800) -> dict[tuple, float]:
+    """Logistic weights by (kind, feature, value), trained on the estimated probabilities of the rows."""
+    w: dict[tuple, float] = {}
+
+    def parts(r):
+        return [(r[0], "bias", 0), (r[0], "size", r[1]), *[(r[0], n, v) for n, v in zip(LABELERS, r[2:-1], strict=True)]]
+
+    weight = [math.log1p(r[-1]) for r in rows]
+    total = sum(weight) or 1.0
+    for _ in range(rounds):
+        g: dict[tuple, float] = {}
+        for r, q, n in zip(rows, p, weight, strict=True):
+            fs = parts(r)
+            z = sum(w.get(f, 0.0) for f in fs)
+            d = (1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) - q) * n / total
+            for f in fs:
+                g[f] = g.get(f, 0.0) + d
+        for f, d in g.items():
+            w[f] = w.get(f, 0.0) - 2.0 * (d + 1e-4 * w.get(f, 0.0))
+    return w
+
+
+def _probability(c: Column, weights: dict[tuple, float]) -> Column:
+    z = F.lit(0.0)
+    for field in ("size", *LABELERS):
+        rule = F.lit(0.0)
+        for (kind, name, value), x in sorted(weights.items()):
+            if name == field:
+                rule = F.when((c["kind"] == kind) & (c[field] == value), x).otherwise(rule)
+        z = z + rule
+    rule = F.lit(-30.0)  # a kind that was never seen
+    for (kind, name, _), x in sorted(weights.items()):
+        if name == "bias":
+            rule = F.when(c["kind"] == kind, x).otherwise(rule)
+    return 1 / (1 + F.exp(-(z + rule)))
+
+
+class Model:
+    def __init__(self, reliabilities: dict, weights: dict[tuple, float]):
+        self.reliabilities, self.weights = reliabilities, weights
+
+
+def train(docs: DataFrame) -> Model:
+    rows = vote_table(docs)
+    if not rows:
+        return Model({}, {})
+    reliabilities, p = estimate(rows)
+    return Model(reliabilities, span_classifier(rows, p))
+
+
+# ---------------------------------------------------------------- results
+
+
+def find(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """One row (doc_id, text, spans) per row of ``docs``; spans are (start, rank, kind, end, base), sorted.
+
+    ``rank`` is the kind's place in KINDS. Fixed kinds are all there; further
+    spans are those that the classifier accepts. Null texts are empty; empty
+    texts have no spans. A null doc_id keeps its row, repeated rows are kept, an
+    empty table gives no rows.
+    """
+    model = model or train(docs)
+    return _with_spans(texts(docs), model).select("doc_id", "text", "spans")
+
+
+def _with_spans(docs: DataFrame, model: Model) -> DataFrame:
+    rank = {k: i for i, k in enumerate(KINDS)}
+
+    def placed(s, base):
+        r = F.lit(None).cast("int")
+        for k, i in rank.items():
+            r = F.when(s["kind"] == k, i).otherwise(r)
+        return F.struct(s["start"].alias("start"), r.alias("rank"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(base).alias("base"))
+
+    extra = F.filter("extra", lambda c: _probability(c, model.weights) >= ACCEPT)
+    spans = F.array_sort(F.concat(F.transform("base", lambda s: placed(s, True)), F.transform(extra, lambda s: placed(s, False))))
+    return with_candidates(docs).withColumn("spans", spans)
+
+
+def redact(text: Column, spans: Column) -> Column:
+    """``text`` with each span replaced by its kind in brackets; of spans that overlap the first goes whole."""
+
+    def step(acc, s):
+        fresh = s["start"] >= acc["at"]
+        piece = F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))), F.lit("<"), s["kind"], F.lit(">"))
+        return F.struct(F.when(fresh, s["end"]).otherwise(F.greatest(acc["at"], s["end"])).alias("at"), F.when(fresh, piece).otherwise(acc["out"]).alias("out"))
+
+    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
+    return F.when(F.size(spans) == 0, text).otherwise(F.concat(done["out"], F.substring(text, done["at"] + 1, F.char_length(text))))
+
+
+def masked(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """``docs`` with all its columns, the spans of each text replaced by their kinds, n_chars brought up to date.
+
+    A null text stays null.
+    """
+    model = model or train(docs)
+    packed = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    done = _with_spans(packed, model).withColumn("clean", F.when(F.col("row.text").isNotNull(), redact(F.col("text"), F.col("spans"))))
+    new = {"text": F.col("clean"), "n_chars": F.char_length("clean").cast("long")}
+    return done.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op5_pii_weak(spark, sf_dir: str) -> DataFrame:
+    found = find(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in BASE]
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))

@@ -3,7 +3,9 @@
 from .decontam import op2_decontaminate
 from .gif import op1_gif_media
 from .hmm import op3_hmm_score
+from .license import op9_license_scan
 from .mixing import op7_temperature_mix
+from .pii import op5_pii_weak
 from .quality import op6_quality_pu
 from .simhash import op10_simhash_covering
 from .substring import OP8_SQL, op8_substring_countmin
@@ -14,9 +16,11 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_hmm_score": op3_hmm_score,
     "op4_toxicity_zstd": op4_toxicity_zstd,
+    "op5_pii_weak": op5_pii_weak,
     "op6_quality_pu": op6_quality_pu,
     "op7_temperature_mix": op7_temperature_mix,
     "op8_substring_countmin": op8_substring_countmin,
+    "op9_license_scan": op9_license_scan,
     "op10_simhash_covering": op10_simhash_covering,
 }
 ORACLE = {"op8_substring_countmin": OP8_SQL}

@@ -2,11 +2,13 @@
 
 From a bounded sample of labelled texts, byte grams that mark toxic texts are
 found by a log-likelihood ratio; the toxic dictionary is trained on the words
-that hold them, the ordinary one on windows of ordinary texts. A window (one
-word with its spaces) is compressed with each; how much shorter the toxic
-dictionary makes it is the window's distance. A text is scored by how many of
-its windows reach each of several distances, by a logistic calibration that is
-fitted on the sample.
+that hold them, the ordinary one on windows of ordinary texts without them. A
+window (one word with its spaces) is compressed with each; how much shorter the
+toxic dictionary makes it is the window's distance. Both dictionaries end with
+the same carrier bytes, which go before each window: without them zstandard
+would store a short window as it is, whatever the dictionary holds. A text is
+scored by how many of its windows reach each of several distances, by a
+logistic calibration that is fitted on the sample.
 """
 
 from __future__ import annotations
@@ -28,9 +30,11 @@ MIN_RATIO = 100.0  # log-likelihood ratio of a marking gram
 MAX_GRAMS = 2000
 MAX_SAMPLES = 40_000
 DICT_BYTES = 8192
+LEAST_BYTES = 512
 WINDOW = 1
 STEPS = (-6, -4, -2, 0, 2, 4, 6)
 THRESHOLD = 0.3
+CARRIER = bytes(range(128, 192))
 N_FEATURES = 2 * len(STEPS) + 4
 
 
@@ -87,12 +91,15 @@ def marking_grams(sample: DataFrame, n_toxic: int, n_other: int) -> list[bytes]:
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
-    """A trained dictionary; too few samples for training make a raw one of the commonest."""
+    """A trained dictionary; where there is too little to train one, a raw one of the commonest samples."""
     try:
-        return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
+        trained = zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
-        common = [w for w, _ in Counter(samples).most_common(500)]
-        return b"".join(reversed(common))[-DICT_BYTES:].rjust(8, b" ")
+        trained = b""
+    if len(trained) >= LEAST_BYTES:
+        return trained
+    common = [w for w, _ in Counter(samples).most_common(500)]
+    return b"".join(reversed(common))[-DICT_BYTES:].rjust(8, b" ")
 
 
 class Distances(dict):
@@ -102,7 +109,7 @@ class Distances(dict):
         super().__init__()
         self.pair = []
         for d in (toxic, ordinary):
-            d = zstandard.ZstdCompressionDict(d)
+            d = zstandard.ZstdCompressionDict(d + CARRIER)
             d.precompute_compress(level=3)
             self.pair.append(zstandard.ZstdCompressor(level=3, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
 
@@ -110,7 +117,7 @@ class Distances(dict):
         if len(self) > 200_000:
             self.clear()
         toxic, ordinary = self.pair
-        spaced = b" " + window + b" "
+        spaced = CARRIER + b" " + window + b" "
         self[window] = d = len(ordinary(spaced)) - len(toxic(spaced))
         return d
 
@@ -165,7 +172,11 @@ def train_classifier(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) ->
                 kinds, out = [], []
                 for t, y in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     words = lowered_words(t)
-                    got = [b" " + w + b" " for w in words if not marks.isdisjoint(grams(w))] if y > 0 else [b" ".join(words[i : i + 8]) for i in range(0, len(words), 8)]
+                    if y > 0:
+                        got = [b" " + w + b" " for w in words if not marks.isdisjoint(grams(w))]
+                    else:
+                        words = [w for w in words if marks.isdisjoint(grams(w))]
+                        got = [b" ".join(words[i : i + 8]) for i in range(0, len(words), 8)]
                     out += got
                     kinds += [y > 0] * len(got)
                 yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.bool_()), pa.array(out, pa.binary())], ["toxic", "window"])
@@ -215,6 +226,24 @@ def score_toxicity(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, th
     return texts(docs).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def keep_ordinary(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, size: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``threshold``; nothing is shuffled."""
+    sent = docs.sparkSession.sparkContext.broadcast(train_classifier(train_docs, labels, size))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        distances = Distances(model.toxic, model.ordinary) if model else None
+        for batch in batches:
+            if model and batch.num_rows:
+                raw = [t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()]
+                p = model.probability(np.array([features(t, distances) for t in raw]))
+                batch = batch.filter(pa.array(p < threshold))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out():
     return remainder("doc_id", 4) == 2
 

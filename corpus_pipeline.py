@@ -1,11 +1,57 @@
-"""Corpus pipeline: not assembled yet."""
+"""A corpus made ready for training: five stages, each one of the operators.
 
-STAGES = []
+toxicity drops documents that the compression classifier rejects; near_dedup
+keeps one document of each group of near copies; decontaminate drops documents
+that hold a benchmark item; pii masks personal data in the texts; mix gives
+each use of a document in a mixture of the sources, hot sources once and small
+ones up to twice.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+
+from boxmetrics.llm import decontam, mixing, pii, simhash, toxicity
+from boxmetrics.llm.common import staged, table
+
+REPETITION_LIMIT = 2.0
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    known = ~toxicity.held_out()
+    return toxicity.keep_ordinary(docs, docs.where(known), table(spark, sf_dir, "labels").where(known))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_first(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.without_items(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.masked(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    uses = mixing.mix(docs, repetition_limit=REPETITION_LIMIT).drop("source")
+    return docs.join(uses, "doc_id")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("pii", mask_pii),
+    ("mix", mix_sources),
+]
+
+#: SQL cannot express the stages; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; what a stage returns is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

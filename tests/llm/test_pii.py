@@ -1,0 +1,98 @@
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from boxmetrics.llm import pii
+
+from ..conftest import MEDIUM
+from .cases import AWKWARD, docs
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(d):
+    total = 0
+    for i, c in enumerate(reversed(d)):
+        n = int(c) * (1 + i % 2)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def brute(text):
+    spans = []
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    for rank, (kind, rx) in enumerate((("email", EMAIL), ("ip", IP), ("card", CARD), ("phone", PHONE))):
+        for m in rx.finditer(text):
+            s, d = m.group(), digits(m.group())
+            if kind == "ip" and any(len(p.lstrip("0")) > 3 or int(p) > 255 for p in s.split(".")):
+                continue
+            if kind == "card" and not (14 <= len(d) <= 19 and luhn(d)):
+                continue
+            if kind == "phone" and not 10 <= len(d) <= 15:
+                continue
+            spans.append((m.start(), rank, kind, m.end()))
+    return sorted(spans)
+
+
+def got_base(frame):
+    return sorted(((r.doc_id, [(s.start, s["rank"], s.kind, s.end) for s in r.spans if s.base]) for r in pii.find(frame).select("doc_id", "spans").collect()), key=str)
+
+
+def test_base_equals_brute_force_on_odd_texts(spark):
+    rng = random.Random(7)
+    bits = ["a", "b@", "@c", ".d", "x.y@z.w", "é", "😀", "_", "%", "-", " ", "\n", "1", "23", "4.", ".5", "256", "+1", "(377)", " 555-0271", "4111 1111 1111 1111", "10.0.0.1", "0001.2.3.4", "+", "4242424242424242", "\x00", "1.2.3.4.5.6.7.8"]
+    rows = [(i, "".join(rng.choices(bits, k=rng.randint(1, 40)))) for i in range(600)]
+    want = sorted(((i, brute(t)) for i, t in rows), key=str)
+    assert got_base(docs(spark, rows)) == want
+    assert sum(len(s) for _, s in want) > 500
+
+
+def test_query_equals_brute_force(spark):
+    got = {r.doc_id: r for r in pii.op5_pii_weak(spark, MEDIUM).collect()}
+    rows = spark.read.parquet(f"{MEDIUM}/documents.parquet").collect()
+    assert len(got) == len(rows)
+    secrets = 0
+    for r in rows:
+        spans = brute(r.text or "")
+        g = got[r.doc_id]
+        assert [g.n_email, g.n_ip, g.n_card, g.n_phone] == [sum(s[1] == k for s in spans) for k in range(4)]
+        assert g.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{z}" for a, _, k, z in spans).encode()).hexdigest()
+        for m in re.finditer(r"AKIA[0-9A-Z]{16}|(?<=password=)[0-9a-f]{18}|(?<=token = \")[0-9a-f]{40}", r.text or ""):
+            secrets += 1
+            assert f"secret:{m.start()}:{m.end()}" in g.spans.split(","), (m.group(), g.spans)
+    assert secrets > 0
+    assert not [s for g in got.values() for s in g.spans.split(",") if s.startswith("name")]
+
+
+def test_luhn_and_redaction(spark):
+    rows = [(1, "4111111111111111"), (2, "4111111111111112"), (3, "0"), (4, "")]
+    assert [r.v for r in docs(spark, rows).orderBy("doc_id").select(pii.luhn(F.col("text")).alias("v")).collect()] == [True, False, True, True]
+    frame = pii.find(docs(spark, [(1, "é mail a@b.co or +1 (377) 555-0271!"), (2, "none")]))
+    out = {r.doc_id: r.t for r in frame.select("doc_id", pii.redact(F.col("text"), F.col("spans")).alias("t")).collect()}
+    assert out == {1: "é mail <email> or <phone>!", 2: "none"}
+
+
+def test_em_recovers_reliabilities():
+    rng = random.Random(3)
+    table = {}
+    for _ in range(20_000):
+        real = rng.random() < 0.3
+        votes = tuple((int(real) if rng.random() < a else 1 - int(real)) if rng.random() < 0.8 else -1 for a in (0.95, 0.9, 0.8, 0.7))
+        table[votes] = table.get(votes, 0) + 1
+    rows = sorted(("secret", 4, *v, n) for v, n in table.items())
+    trust, p = pii.estimate(rows)
+    for n, a in zip(pii.LABELERS, (0.95, 0.9, 0.8, 0.7), strict=True):
+        assert abs(trust["secret", n][1] - 0.8 * a) < 0.05
+    w = pii.span_classifier(rows, p)
+    assert w["secret", "shape", 1] > w["secret", "spread", 1] > w["secret", "spread", 0]
+
+
+def test_awkward_rows(spark):
+    want = sorted(((i, brute(t or "")) for i, t in AWKWARD), key=str)
+    assert got_base(docs(spark, AWKWARD)) == want
+    assert pii.find(docs(spark, [])).count() == 0
