@@ -20,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lowered_words, remainder, staged, table, texts
+from .common import lowered_words, remainder, staged, table
 
 STATES = 8
 HEAD = 1 << 16
@@ -76,30 +76,25 @@ def word_counts(train: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- symbols
 
 
-class Symbols:
-    """Words to symbols: 0 the end, then the head words, then the tail classes."""
+class Symbols(dict):
+    """Words to symbols: 0 the end, then the head words, then the tail classes. Remembers words of late."""
 
     def __init__(self, head: np.ndarray):
+        super().__init__()
         self.ids = {k: i for i, k in enumerate(head.tolist(), 1)}
         self.first_tail = len(head) + 1
-        self.size = self.first_tail + TAIL
-        self.known: dict[bytes, int] = {}
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        i = self.ids.get(word_key(word))
+        self[word] = i = self.first_tail + tail_class(word) if i is None else i
+        return i
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > 150_000:
-            known.clear()
-        out = np.empty(len(words) + 1, np.int32)
-        out[-1] = 0
-        try:
-            out[:-1] = [known[w] for w in words]
-        except KeyError:
-            ids, first = self.ids, self.first_tail
-            for w in set(words):
-                if w not in known:
-                    i = ids.get(word_key(w))
-                    known[w] = first + tail_class(w) if i is None else i
-            out[:-1] = [known[w] for w in words]
+        """The symbols of a text, the end last."""
+        out = np.zeros(len(words) + 1, np.int32)
+        out[:-1] = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
         return out
 
 
@@ -234,36 +229,49 @@ class Model:
         self.emit = (uses + SMOOTHING * self.share[:, None]) / (uses.sum(axis=0) + SMOOTHING)
 
 
-_GROUP = 150_000
+_GROUP = 400_000
+
+
+def encoded(docs: DataFrame, head: np.ndarray) -> DataFrame:
+    """``docs`` (doc_id, same, learn, text) with the text's symbols as 32-bit integers in its place."""
+    sent = docs.sparkSession.sparkContext.broadcast(head)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbols = Symbols(sent.value)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                out = [symbols.of(lowered_words(t)).tobytes() for t in part.column(3).cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(out, pa.binary())], ["doc_id", "same", "learn", "symbols"])
+
+    return docs.mapInArrow(run, "doc_id long, same long, learn boolean, symbols binary")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], symbols: Symbols, column: int) -> Iterator[tuple[list, list[np.ndarray], list[list[bytes]]]]:
-    """Texts some at a time: (their batch rows, symbols, words), about _GROUP words each."""
-    rows, docs, words, n = [], [], [], 0
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
+    """Rows whose last column is encoded, some at a time: about _GROUP symbols."""
+    rows, docs, n = [], [], 0
     for batch in batches:
-        ids = batch.column(0).to_pylist() if column else [None] * batch.num_rows
-        for i, t in zip(ids, batch.column(column).cast(pa.binary()).to_pylist(), strict=True):
-            w = lowered_words(t)
-            rows.append(i)
-            docs.append(symbols.of(w))
-            words.append(w)
-            n += len(w) + 1
+        *ids, seqs = (c.to_pylist() for c in batch.columns)
+        for row, s in zip(zip(*ids, strict=True) if ids else ((),) * len(seqs), seqs, strict=True):
+            rows.append(row)
+            docs.append(np.frombuffer(s, np.int32))
+            n += len(docs[-1])
             if n > _GROUP:
-                yield rows, docs, words
-                rows, docs, words, n = [], [], [], 0
+                yield rows, docs
+                rows, docs, n = [], [], 0
     if docs:
-        yield rows, docs, words
+        yield rows, docs
 
 
-def baum_welch_round(train: DataFrame, model: Model) -> float:
-    """One round over all training texts; returns the log likelihood before it."""
-    sent = train.sparkSession.sparkContext.broadcast(model)
+def baum_welch_round(learned: DataFrame, model: Model) -> float:
+    """One round over all encoded training texts; returns the log likelihood before it."""
+    sent = learned.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        symbols, k = Symbols(m.head), len(m.pi)
+        k = len(m.pi)
         first, moves, uses, ll = np.zeros(k), np.zeros((k, k)), np.zeros((len(m.share), k)), 0.0
-        for _, docs, _ in _groups(batches, symbols, 0):
+        for _, docs in _groups(batches):
             f, mv, u, x = expected_counts(docs, m.pi, m.move, m.emit)
             first, moves, uses, ll = first + f, moves + mv, uses + u, ll + x
         # rows -1, -2: starts and likelihood; -3 - i: moves from state i
@@ -275,7 +283,7 @@ def baum_welch_round(train: DataFrame, model: Model) -> float:
 
     k = len(model.pi)
     schema = "symbol int, " + ", ".join(f"s{i} double" for i in range(k))
-    sums = train.select("text").mapInArrow(run, schema).groupBy("symbol").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]).toArrow()
+    sums = learned.select("symbols").mapInArrow(run, schema).groupBy("symbol").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]).toArrow()
     symbol = sums.column(0).to_numpy()
     values = np.stack([sums.column(i + 1).to_numpy() for i in range(k)], axis=1)
     at = {int(s): v for s, v in zip(symbol[symbol < 0], values[symbol < 0], strict=True)}
@@ -288,61 +296,59 @@ def baum_welch_round(train: DataFrame, model: Model) -> float:
     return float(at[-2][0])
 
 
-def train_model(train: DataFrame, counts: DataFrame, states: int = STATES, head: int = HEAD, rounds: int = ROUNDS) -> Model:
-    """Symbols from the word counts, then ``rounds`` of Baum-Welch over all of ``train``."""
-    texts_seen = train.count()
+def start_model(counts: DataFrame, texts_seen: int, states: int = STATES, head: int = HEAD) -> Model:
+    """Symbols and first parameters from the word counts: the ``head`` commonest words that occur twice."""
     total = counts.agg(F.sum("n"), F.count("*")).first()
     top = counts.where("n > 1").orderBy(F.desc("n"), "key").limit(head).select("key", "tail", "n").collect()
     mass = np.full(TAIL, 0.5)
     for r in counts.groupBy("tail").agg((F.sum("n") + 0.5 * F.count("*")).alias("m")).collect():
         mass[r["tail"]] += float(r.m)
-    keys, numbers = np.array([r.key for r in top], np.int64), np.array([r.n for r in top], np.float64)
     for r in top:
         mass[r["tail"]] -= r.n + 0.5
-    model = Model(keys, numbers, mass, int(total[0] or 0) + texts_seen, int(total[1]) + (texts_seen > 0), texts_seen, states)
-    for _ in range(rounds):
-        baum_welch_round(train, model)
-    return model
+    keys, numbers = np.array([r.key for r in top], np.int64), np.array([r.n for r in top], np.float64)
+    return Model(keys, numbers, mass, int(total[0] or 0) + texts_seen, int(total[1]) + (texts_seen > 0), texts_seen, states)
 
 
 # ---------------------------------------------------------------- scoring
 
 
-def score_texts(docs: DataFrame, train: DataFrame, states: int = STATES, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
+def score_texts(docs: DataFrame, learn: Column, states: int = STATES, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
     """One row (doc_id, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
 
-    ``base_score`` is the smoothed word-frequency score, ``score`` the model's
-    log10 probability of the whole text. Null texts are empty: one end token.
-    Repeated rows get a row each; a null doc_id keeps its row. Without training
-    texts all counts are zero and both scores are those of the smoothing. An
-    empty table gives no rows.
+    The model learns from the rows where ``learn`` is true. ``base_score`` is
+    the smoothed word-frequency score, ``score`` the model's log10 probability
+    of the whole text. Null texts are empty: one end token. Repeated rows get a
+    row each; a null doc_id keeps its row. Without training texts all counts
+    are zero and both scores are those of the smoothing. An empty table gives
+    no rows.
     """
-    train = texts(train)
+    own = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    own = own.select("doc_id", F.xxhash64("text").alias("same"), "learn", "text")
+    train = own.where("learn")
     counts = staged(word_counts(train), "hmm-counts")
-    model = train_model(train, counts, states, head, rounds)
+    model = start_model(counts, train.count(), states, head)
+    sequences = staged(encoded(own, model.head), "hmm-symbols")
+    for _ in range(rounds):
+        baum_welch_round(sequences.where("learn"), model)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    own = texts(docs).select("doc_id", F.xxhash64("text").alias("same"), "text")
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        symbols = Symbols(m.head)
-        tail0 = symbols.first_tail
+        tail0 = len(m.head) + 1
         known = np.concatenate([[m.texts_seen], m.counts])
         logs = np.log10(np.concatenate([known + 0.5, m.tail_mass]))
-        flat = (pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([b.column(0), b.column(1)], ["d", "s"]), b.column(2)], ["id", "text"]) for b in batches)
-        for rows, docs_, _ in _groups(flat, symbols, 1):
-            ll = log_likelihoods(docs_, m.pi, m.move, m.emit) / math.log(10)
+        for rows, texts_ in _groups(batches):
+            ll = log_likelihoods(texts_, m.pi, m.move, m.emit) / math.log(10)
             out = []
-            for r, d, x in zip(rows, docs_, ll.tolist(), strict=True):
+            for r, d, x in zip(rows, texts_, ll.tolist(), strict=True):
                 in_head = d[d < tail0]
-                out.append((r["d"], r["s"], len(d), int((known[in_head] > 0).sum()), float(logs[in_head].sum()), x - float(logs[d[d >= tail0]].sum())))
+                out.append((*r, len(d), int((known[in_head] > 0).sum()), float(logs[in_head].sum()), x - float(logs[d[d >= tail0]].sum())))
             cols = list(zip(*out, strict=True))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["doc_id", "same", "n_tokens", "head_known", "head_log", "model_log"])
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        symbols = Symbols(m.head)
+        symbols = Symbols(sent.value.head)
         for batch in batches:
             ids: list = []
             sames: list = []
@@ -350,17 +356,18 @@ def score_texts(docs: DataFrame, train: DataFrame, states: int = STATES, head: i
             times: list = []
             for d, s, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), strict=True):
                 w = lowered_words(t)
-                rare = Counter(x for x, y in zip(w, symbols.of(w).tolist(), strict=False) if y >= symbols.first_tail)
+                rare = Counter([w[i] for i in np.flatnonzero(symbols.of(w) >= symbols.first_tail).tolist()])
                 ids += [d] * len(rare)
                 sames += [s] * len(rare)
                 keys += map(word_key, rare)
                 times += rare.values()
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sames, pa.int64()), pa.array(keys, pa.int64()), pa.array(times, pa.int32())], ["doc_id", "same", "key", "times"])
 
-    scored = own.mapInArrow(forward, "doc_id long, same long, n_tokens long, head_known long, head_log double, model_log double")
-    # equal rows have equal words: they are looked up once
-    rare = own.dropDuplicates(["doc_id", "same"]) if _repeats(own) else own
-    rare = rare.mapInArrow(tails, "doc_id long, same long, key long, times int")
+    scored = sequences.select("doc_id", "same", "symbols").mapInArrow(forward, "doc_id long, same long, n_tokens long, head_known long, head_log double, model_log double")
+    # rows that are equal have equal words: they are looked up once
+    repeats = not sequences.groupBy("doc_id", "same").count().where("count > 1").isEmpty()
+    rare = own.select("doc_id", "same", "text")
+    rare = (rare.dropDuplicates(["doc_id", "same"]) if repeats else rare).mapInArrow(tails, "doc_id long, same long, key long, times int")
     looked = rare.join(counts.select("key", "n"), "key", "left").withColumn("c", F.coalesce("n", F.lit(0)))
     by_text = looked.groupBy("doc_id", "same").agg(F.sum(F.col("times") * F.log10(F.col("c") + 0.5)).alias("tail_log"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("tail_known"))
     by_text = by_text.withColumnsRenamed({"doc_id": "d", "same": "s"})
@@ -377,13 +384,7 @@ def score_texts(docs: DataFrame, train: DataFrame, states: int = STATES, head: i
     )
 
 
-def _repeats(own: DataFrame) -> bool:
-    """Whether rows with the same id and text exist; only ids and hashes are compared."""
-    return not own.groupBy("doc_id", "same").count().where("count > 1").isEmpty()
-
-
 def op3_hmm_score(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
     held = remainder("doc_id", 5) == 1
-    out = score_texts(docs, docs.where(~held))
-    return out.select("doc_id", (remainder("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    out = score_texts(table(spark, sf_dir, "documents"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

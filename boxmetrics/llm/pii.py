@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, texts
+from .common import staged, table, texts
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret", "ssn", "name")
@@ -172,9 +172,14 @@ def with_candidates(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- aggregation of the votes
 
 
-def vote_table(docs: DataFrame) -> list[tuple]:
+def candidate_table(docs: DataFrame) -> DataFrame:
+    """(doc_id, base, extra) per row, written to the shared folder: the texts are searched once."""
+    return staged(with_candidates(texts(docs)).select("doc_id", "base", "extra"), "pii-candidates")
+
+
+def vote_table(found: DataFrame) -> list[tuple]:
     """(kind, size, votes..., n): at most kinds x sizes x 3^labelers rows, whatever the corpus."""
-    rows = with_candidates(texts(docs)).select(F.explode("extra").alias("c")).groupBy("c.kind", "c.size", *[f"c.{n}" for n in LABELERS]).count().collect()
+    rows = found.select(F.explode("extra").alias("c")).groupBy("c.kind", "c.size", *[f"c.{n}" for n in LABELERS]).count().collect()
     return sorted(tuple(r) for r in rows)
 
 
@@ -252,8 +257,9 @@ class Model:
         self.reliabilities, self.weights = reliabilities, weights
 
 
-def train(docs: DataFrame) -> Model:
-    rows = vote_table(docs)
+def train(found: DataFrame) -> Model:
+    """Reliabilities and span classifier from a table with candidates (``extra``)."""
+    rows = vote_table(found)
     if not rows:
         return Model({}, {})
     reliabilities, p = estimate(rows)
@@ -264,15 +270,15 @@ def train(docs: DataFrame) -> Model:
 
 
 def find(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """One row (doc_id, text, spans) per row of ``docs``; spans are (start, rank, kind, end, base), sorted.
+    """One row (doc_id, spans) per row of ``docs``; spans are (start, rank, kind, end, base), sorted.
 
     ``rank`` is the kind's place in KINDS. Fixed kinds are all there; further
     spans are those that the classifier accepts. Null texts are empty; empty
     texts have no spans. A null doc_id keeps its row, repeated rows are kept, an
     empty table gives no rows.
     """
-    model = model or train(docs)
-    return _with_spans(texts(docs), model).select("doc_id", "text", "spans")
+    found = candidate_table(docs)
+    return _with_spans(found, model or train(found)).select("doc_id", "spans")
 
 
 def _with_spans(docs: DataFrame, model: Model) -> DataFrame:
@@ -286,7 +292,7 @@ def _with_spans(docs: DataFrame, model: Model) -> DataFrame:
 
     extra = F.filter("extra", lambda c: _probability(c, model.weights) >= ACCEPT)
     spans = F.array_sort(F.concat(F.transform("base", lambda s: placed(s, True)), F.transform(extra, lambda s: placed(s, False))))
-    return with_candidates(docs).withColumn("spans", spans)
+    return docs.withColumn("spans", spans)
 
 
 def redact(text: Column, spans: Column) -> Column:
@@ -306,9 +312,9 @@ def masked(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     A null text stays null.
     """
-    model = model or train(docs)
+    model = model or train(candidate_table(docs))
     packed = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    done = _with_spans(packed, model).withColumn("clean", F.when(F.col("row.text").isNotNull(), redact(F.col("text"), F.col("spans"))))
+    done = _with_spans(with_candidates(packed), model).withColumn("clean", F.when(F.col("row.text").isNotNull(), redact(F.col("text"), F.col("spans"))))
     new = {"text": F.col("clean"), "n_chars": F.char_length("clean").cast("long")}
     return done.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 

@@ -215,10 +215,10 @@ def candidate_windows(docs: DataFrame, window: int, bits: int, cells) -> DataFra
             h = _mixed(_rolled(tokens, window, _ODD[0]))[at].view(np.int64)
             g = (_mixed(_rolled(tokens, window, _ODD[1]))[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
             own = row[at]
-            doc, same = (np.array([x[i] for x in some], np.int64)[own] for i in (0, 1))
+            doc, same = (np.array([x[i] for x in some], kind)[own] for i, kind in ((0, np.int64), (1, np.int32)))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, g, doc, same, (at - starts[own]).astype(np.int32))], ["h", "g", "doc_id", "same", "at"])
 
-    return docs.mapInArrow(run, "h long, g int, doc_id long, same long, at int")
+    return docs.mapInArrow(run, "h long, g int, doc_id long, same int, at int")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -231,7 +231,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     with one doc_id are judged each for itself; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    keyed = texts(docs).select("doc_id", F.xxhash64("text").alias("same"), "text")
+    keyed = texts(docs).select("doc_id", F.hash("text").alias("same"), "text")
     bits, maps = repeated_cells(docs, window)
     cells = spark.sparkContext.broadcast(maps)
     found = candidate_windows(keyed, window, bits, cells)

@@ -72,9 +72,10 @@ def test_query_equals_brute_force(spark):
 def test_luhn_and_redaction(spark):
     rows = [(1, "4111111111111111"), (2, "4111111111111112"), (3, "0"), (4, "")]
     assert [r.v for r in docs(spark, rows).orderBy("doc_id").select(pii.luhn(F.col("text")).alias("v")).collect()] == [True, False, True, True]
-    frame = pii.find(docs(spark, [(1, "é mail a@b.co or +1 (377) 555-0271!"), (2, "none")]))
-    out = {r.doc_id: r.t for r in frame.select("doc_id", pii.redact(F.col("text"), F.col("spans")).alias("t")).collect()}
-    assert out == {1: "é mail <email> or <phone>!", 2: "none"}
+    frame = docs(spark, [(1, "é mail a@b.co or +1 (377) 555-0271!"), (2, "none"), (3, None)])
+    out = pii.masked(frame)
+    assert out.columns == frame.columns
+    assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == {1: ("é mail <email> or <phone>!", 26), 2: ("none", 4), 3: (None, None)}
 
 
 def test_em_recovers_reliabilities():
