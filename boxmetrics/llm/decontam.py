@@ -4,7 +4,9 @@ An item of length m with k allowed edits is cut into k + 1 pieces. Where a text
 holds the item with at most k edits, one piece at least is there unchanged. An
 Aho-Corasick automaton finds all piece hits; each hit says where the item would
 lie, and Myers' bit-parallel algorithm computes the smallest distance in that
-stretch. Case and runs of white space are levelled on both sides.
+stretch. Pieces are the leaves of a tree of halves: k errors leave one half at
+most a or the other at most b of a + b = k - 1, so a hit is first checked
+against the small stretches above its piece, and most chance hits end there. Case and runs of white space are levelled on both sides.
 """
 
 from __future__ import annotations
@@ -28,11 +30,25 @@ def levelled(text: str) -> str:
     return " ".join(text.casefold().split())
 
 
-def pieces(item: str, budget: int) -> list[tuple[int, str]]:
-    """(offset, piece) of ``budget`` + 1 pieces of nearly equal length."""
-    n = budget + 1
-    cuts = [len(item) * i // n for i in range(n + 1)]
-    return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+def pieces(item: str, budget: int) -> list[tuple[int, str, list[tuple[int, int, int]]]]:
+    """(offset, piece, stretches above it but for the whole, smallest first) of ``budget`` + 1 pieces.
+
+    A stretch is (begin, end, errors) within the item.
+    """
+    out = []
+
+    def halved(a: int, z: int, k: int, above: list[tuple[int, int, int]]) -> None:
+        if k == 0:
+            out.append((a, item[a:z], above))
+            return
+        left = (k - 1) // 2
+        cut = a + (z - a) * (left + 1) // (k + 1)
+        above = [(a, z, k), *above] if (a, z) != (0, len(item)) else above
+        halved(a, cut, left, above)
+        halved(cut, z, k - 1 - left, above)
+
+    halved(0, len(item), budget, [])
+    return out
 
 
 def best_distance(pattern: str, text: str) -> tuple[int, int]:
@@ -69,10 +85,10 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str, int]]):
         self.items = items
         self.automaton = ahocorasick.Automaton()
-        where: dict[str, list[tuple[int, int]]] = {}
+        where: dict[str, list[tuple[int, int, list[tuple[str, int, int]]]]] = {}
         for n, (_, text, budget) in enumerate(items):
-            for offset, piece in pieces(text, budget):
-                where.setdefault(piece, []).append((n, offset))
+            for offset, piece, above in pieces(text, budget):
+                where.setdefault(piece, []).append((n, offset, [(text[a:z], a, k) for a, z, k in above]))
         for piece, spots in where.items():
             self.automaton.add_word(piece, (len(piece), spots))
         if where:
@@ -87,8 +103,18 @@ class Matcher:
         spots: dict[int, list[int]] = {}
         for last, (size, places) in self.automaton.iter(text):
             begin = last + 1 - size
-            for n, offset in places:
-                spots.setdefault(n, []).append(begin - offset)
+            for n, offset, above in places:
+                spot = begin - offset  # where the item would begin
+                near = spots.get(n)
+                if near and abs(spot - near[-1]) <= offset + len(self.items[n][1]):
+                    near.append(spot)  # next to a stretch that is searched anyway: no look of its own
+                    continue
+                for part, a, k in above:
+                    lo = spot + a - k
+                    if best_distance(part, text[max(0, lo) : spot + a + len(part) + k])[0] > k:
+                        break
+                else:
+                    spots.setdefault(n, []).append(spot)
         out = []
         for n, begins in spots.items():
             item, pattern, budget = self.items[n]
