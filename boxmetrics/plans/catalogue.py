@@ -302,11 +302,15 @@ def anti_or(spark, d):
     return read(spark, d, "customer").select("c_custkey").join(big, "c_custkey", "left_anti").join(other, "c_custkey", "left_anti")
 
 
-def _match(spark, d):
+def _match_sides(spark, d):
     catalogue = read(spark, d, "part").select(tx.title_key(F.col("p_name")).alias("key"), F.col("p_partkey").alias("id"), (F.col("p_partkey") % 12 + 1988).cast("int").alias("year")).where("id % 40 = 0")
     names = read(spark, d, "part").select(F.col("p_partkey").alias("o_custkey"), tx.title_key(F.col("p_name")).alias("key"))
     orders = read(spark, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"), F.when(F.col("o_orderpriority") == "1-URGENT", "redemption").when(F.col("o_orderpriority") != "5-LOW", "other").alias("kind"))
-    return tb.route(tb.candidates(orders.join(names, "o_custkey").select(F.col("o_orderkey").alias("query_id"), "key", "year", "kind"), catalogue))
+    return orders.join(names, "o_custkey").select(F.col("o_orderkey").alias("query_id"), "key", "year", "kind"), catalogue
+
+
+def _match(spark, d):
+    return tb.route(tb.candidates(*_match_sides(spark, d)))
 
 
 _MATCH = """WITH n AS (SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS key FROM part),
