@@ -20,12 +20,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import staged, texts
 
 WINDOW = 50
 CHUNK_BITS = 18
 MAX_BITS = 28
 ROWS = 2
+HOT = 2000
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _FLUSH = 4_000_000
 
@@ -221,6 +222,22 @@ def candidate_windows(docs: DataFrame, window: int, bits: int, cells) -> DataFra
     return docs.mapInArrow(run, "h long, g int, doc_id long, same int, at int")
 
 
+def later_windows(found: DataFrame, first: DataFrame) -> DataFrame:
+    """Rows of ``found`` whose window also starts in an earlier document.
+
+    ``first`` has (h, g, low, n). A window with over 1/HOT of all rows is looked up
+    in a broadcast table, which holds fewer than HOT rows whatever the corpus; its rows
+    then spread over the partitions of the join with the other windows.
+    """
+    total = first.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(first.where(F.col("n") > total / HOT).select("h", "g", F.col("low").alias("hot_low")))
+    rest = first.select(F.col("h").alias("key"), F.col("g").alias("more"), "low")
+    known = F.col("hot_low").isNotNull()
+    spread = F.when(known, F.xxhash64("doc_id", "at")).otherwise(F.col("h"))
+    dealt = found.join(hot, ["h", "g"], "left").withColumn("key", spread).withColumn("more", F.col("g"))
+    return dealt.join(rest, ["key", "more"], "left").where(F.col("doc_id") > F.coalesce("hot_low", "low"))
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row (doc_id, n_words, n_removed, kept) per row: the words that no earlier document's window covers.
 
@@ -235,8 +252,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     bits, maps = repeated_cells(docs, window)
     cells = spark.sparkContext.broadcast(maps)
     found = candidate_windows(keyed, window, bits, cells)
-    first = found.groupBy("h", "g").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
-    covered = found.join(first, ["h", "g"]).where("doc_id > low").groupBy("doc_id", "same").agg(F.collect_list("at").alias("at"))
+    counted = found.groupBy("h", "g").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
+    first = staged(counted.where("low < high").drop("high"), "substring-windows")
+    covered = later_windows(found, first).groupBy("doc_id", "same").agg(F.collect_list("at").alias("at"))
     joined = keyed.join(covered, ["doc_id", "same"], "left").select("doc_id", "text", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
