@@ -1,7 +1,8 @@
 """A corpus made ready for training: five stages, each one of the operators.
 
 toxicity drops documents that the compression classifier rejects; near_dedup
-keeps one document of each group of near copies; decontaminate drops documents
+keeps one document of each group of near copies, by five-word shingles and a
+similarity of 0.8 or more, not by op10's radius; decontaminate drops documents
 that hold a benchmark item; pii masks personal data in the texts; mix gives
 each use of a document in a mixture of the sources, hot sources once and small
 ones up to twice.
@@ -9,7 +10,7 @@ ones up to twice.
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boxmetrics.llm import decontam, mixing, pii, simhash, toxicity
+from boxmetrics.llm import decontam, mixing, neardup, pii, toxicity
 from boxmetrics.llm.common import staged, table
 
 REPETITION_LIMIT = 2.0
@@ -21,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_first(docs)
+    return neardup.keep_first(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
