@@ -87,8 +87,9 @@ def mix(
     budget: int | None = None,
     block_tokens: int = BLOCK_TOKENS,
     seed: int = 7,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per use of a document: (doc_id, source, tokens, epoch, block, at, within).
+    """One row per use of a document: (doc_id, source, tokens, epoch, block, at, within), and the columns ``carry``.
 
     Without ``budget`` the tokens are as many as let the least repeated source
     be used exactly once, so every document is used. With one, the document that
@@ -98,7 +99,7 @@ def mix(
     repeated rows are used each. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    own = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long").alias("tokens"))
+    own = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long").alias("tokens"), *carry)
     own = staged(own, "mixing")
     found = own.groupBy("source").agg(F.sum("tokens").alias("tokens")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
@@ -129,10 +130,10 @@ def mix(
     uses = uses.withColumn("at", (F.col("epoch") + F.when(F.col("epoch") < F.col("whole"), F.col("before") / F.greatest(full, F.lit(1))).otherwise(F.col("before") / F.greatest("rest", F.lit(1.0)) * (F.col("epochs") - F.col("whole")))) / F.col("epochs"))
     uses = uses.withColumn("partial", F.coalesce(F.col("left") < F.col("block_tokens"), F.lit(False)))
     uses = uses.select("source", "block", "epoch", "at", "left", "partial")
-    rows = placed.select("doc_id", "source", "tokens", "block").join(uses, ["source", "block"]).withColumn("within", F.xxhash64(F.lit(seed), "epoch", "doc_id"))
-    out = ["doc_id", "source", "tokens", "epoch", "block", "at", "within"]
+    rows = placed.select("doc_id", "source", "tokens", "block", *carry).join(uses, ["source", "block"]).withColumn("within", F.xxhash64(F.lit(seed), "epoch", "doc_id"))
+    out = ["doc_id", "source", "tokens", "epoch", "block", "at", "within", *carry]
     # only the block that crosses a source's budget is cut, document by document
-    upto = Window.partitionBy("source", "block", "epoch").orderBy("within", "tokens").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("source", "block", "epoch").orderBy("within", "tokens", *carry).rowsBetween(Window.unboundedPreceding, -1)
     cut = rows.where("partial").withColumn("used", F.coalesce(F.sum("tokens").over(upto), F.lit(0))).where(F.col("used") < F.col("left"))
     return rows.where("NOT partial").select(*out).union(cut.select(*out))
 

@@ -170,16 +170,6 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return own.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs``, all columns: of each group of near copies the one with the smallest doc_id.
-
-    Rows with one doc_id leave one row. A row with a null doc_id cannot be told
-    from others without one and is left out.
-    """
-    first = near_duplicates(docs, radius).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-
-
 def op10_simhash_covering(spark, sf_dir: str) -> DataFrame:
     from .common import table
 

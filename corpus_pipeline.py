@@ -9,9 +9,11 @@ ones up to twice.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from boxmetrics.llm import decontam, mixing, neardup, pii, toxicity
 from boxmetrics.llm.common import staged, table
+from boxmetrics.llm.neardup import ROW
 
 REPETITION_LIMIT = 2.0
 
@@ -34,8 +36,9 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    uses = mixing.mix(docs, repetition_limit=REPETITION_LIMIT).drop("source")
-    return docs.join(uses, "doc_id")
+    rows = staged(docs.withColumn(ROW, F.monotonically_increasing_id()), "mix-rows")
+    uses = mixing.mix(rows, repetition_limit=REPETITION_LIMIT, carry=(ROW,)).drop("doc_id", "source")
+    return rows.join(uses, ROW).drop(ROW)
 
 
 STAGES = [
