@@ -1,45 +1,50 @@
 """Toxicity by compression distance: one zstandard dictionary of toxic text, one of ordinary text.
 
-From a bounded sample of labelled texts, byte grams that mark toxic texts are
-found by a log-likelihood ratio; the toxic dictionary is trained on the words
-that hold them, the ordinary one on windows of ordinary texts without them. A
-window (one word with its spaces) is compressed with each; how much shorter the
-toxic dictionary makes it is the window's distance. Both dictionaries end with
-the same carrier bytes, which go before each window: without them zstandard
-would store a short window as it is, whatever the dictionary holds. A text is
-scored by how many of its windows reach each of several distances, by a
-logistic calibration that is fitted on the sample.
+A text is cut into windows of WINDOW words, each STRIDE words after the last. A
+window is compressed with each dictionary; how much shorter the toxic one makes
+it is the window's distance. The ordinary dictionary is trained on windows of
+ordinary texts. Toxic texts are ordinary text for the most part, so the toxic
+dictionary is the ordinary one followed by one trained on those words of toxic
+texts that a log-likelihood ratio of byte grams finds to mark them: what both
+hold cancels out in the distance. Both end with the same carrier bytes, which
+go before each window: without them zstandard would store a short window as it
+is, whatever the dictionary holds. A text is scored by how many of its windows
+reach each of several distances, by a logistic calibration; each half of the
+sample is measured with dictionaries of the other half, so the calibration sees
+distances as texts not learned from have them.
 """
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lowered_words, remainder, table, texts
 
-SAMPLE = 8000  # labelled texts, about
+SAMPLE = 8000  # labelled texts, about; all that is learned comes from them
 GRAM = 6
-MIN_RATIO = 100.0  # log-likelihood ratio of a marking gram
-MAX_GRAMS = 2000
-MAX_SAMPLES = 40_000
-DICT_BYTES = 8192
+MIN_RATIO = 60.0  # log-likelihood ratio of a marking gram
+DICT_BYTES = 16384
+TRAIN_BYTES = 200 * DICT_BYTES  # of ordinary windows, about
 LEAST_BYTES = 512
-WINDOW = 1
-STEPS = (-6, -4, -2, 0, 2, 4, 6)
+WINDOW, STRIDE = 4, 2
+STEPS = (-4, -2, 0, 2, 4, 6, 8, 10, 14)
 THRESHOLD = 0.3
+RIDGE = 5.0
 CARRIER = bytes(range(128, 192))
 N_FEATURES = 2 * len(STEPS) + 4
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, column: str, size: int) -> DataFrame:
-    """About ``size`` texts with labels (doc_id, text, y), chosen by a hash of the id; equal texts once.
+    """About ``size`` texts with labels (doc_id, text, y), chosen by a hash of the id; of copies and most near copies one.
 
     Conflicting labels of one id count as the larger; null labels are left out.
     """
@@ -48,7 +53,20 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, column: str, size: int)
     share = min(1.0, size / n) if n else 1.0
     named = named.where(F.pmod(F.xxhash64("doc_id", F.lit(column)), F.lit(1 << 30)) < int(share * (1 << 30)))
     # the chosen ids are about `size` rows whatever the tables' size, so they are sent to the documents
-    return texts(docs).join(F.broadcast(named), "doc_id").dropDuplicates(["text"])
+    found = texts(docs).join(F.broadcast(named), "doc_id")
+    return found.mapInArrow(_signed, "doc_id long, text string, y int, first long, second long").dropDuplicates(["first"]).dropDuplicates(["second"]).select("doc_id", "text", "y")
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Two minima of hashes of a text's five-word shingles: copies and most near copies share one of them."""
+    for batch in batches:
+        low = ([], [])
+        for t in batch.column(1).cast(pa.binary()).to_pylist():
+            words = lowered_words(t)
+            runs = [b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))]
+            for seed in (0, 1):
+                low[seed].append(min(xxhash.xxh64_intdigest(r, seed) for r in runs))
+        yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in low]], ["doc_id", "text", "y", "first", "second"])
 
 
 def grams(word: bytes) -> list[bytes]:
@@ -56,38 +74,55 @@ def grams(word: bytes) -> list[bytes]:
     return [b[i : i + GRAM] for i in range(max(1, len(b) - GRAM + 1))]
 
 
-def marking_grams(sample: DataFrame, n_toxic: int, n_other: int) -> list[bytes]:
-    """Grams that stand in far more toxic texts of the sample than their number explains."""
+def windows_of(words: list[bytes], window: int = WINDOW, stride: int = STRIDE) -> list[bytes]:
+    """Runs of ``window`` words, one each ``stride`` words; every word is in one. No words, no windows."""
+    return [b" ".join(words[i : i + window]) for i in range(0, max(1, len(words) - window + stride), stride)] if words else []
+
+
+def marking_grams(sample: DataFrame, texts_by: dict[tuple[int, bool], int]) -> list[set[bytes]]:
+    """Grams that stand in far more toxic texts than their number explains: of both halves, of half 0, of half 1.
+
+    ``sample`` has (text, y, half); ``texts_by`` counts its texts by half and class.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = (Counter(), Counter())
+        counts = [Counter() for _ in range(4)]
 
         def rows() -> pa.RecordBatch:
-            keys = list(counts[0].keys() | counts[1].keys())
-            out = pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *[pa.array([c[k] for k in keys], pa.int64()) for c in counts]], ["gram", "other", "toxic"])
+            keys = list(set().union(*counts))
+            out = pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *[pa.array([c[k] for k in keys], pa.int64()) for c in counts]], ["gram", "o0", "t0", "o1", "t1"])
             for c in counts:
                 c.clear()
             return out
 
         for batch in batches:
-            for t, y in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[y > 0].update({g for w in set(lowered_words(t)) for g in grams(w)})
-                if len(counts[0]) + len(counts[1]) > 300_000:
+            for t, y, h in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                counts[2 * h + (y > 0)].update({g for w in set(lowered_words(t)) for g in grams(w)})
+                if sum(map(len, counts)) > 300_000:
                     yield rows()
         yield rows()
 
-    n = float(n_toxic + n_other)
-    counted = sample.select("text", "y").mapInArrow(run, "gram binary, other long, toxic long").groupBy("gram").agg(F.sum("toxic").alias("a"), F.sum("other").alias("b"))
-    p = (F.col("a") + F.col("b")) / n
+    parts = sample.select("text", "y", "half").mapInArrow(run, "gram binary, o0 long, t0 long, o1 long, t1 long")
+    counted = parts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("o0", "t0", "o1", "t1")]).withColumns({"o": F.col("o0") + F.col("o1"), "t": F.col("t0") + F.col("t1")})
+
+    def marks(a, b, n_toxic: int, n_other: int):
+        if not n_toxic or not n_other:
+            return F.lit(False)
+        n = float(n_toxic + n_other)
+        p = (a + b) / n
 
-    def part(seen, expected):
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+        def part(seen, expected):
+            return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
-    ratio = 2 * (part(F.col("a"), n_toxic * p) + part(F.col("b"), n_other * p) + part(n_toxic - F.col("a"), n_toxic * (1 - p)) + part(n_other - F.col("b"), n_other * (1 - p)))
-    best = counted.where((F.col("a") >= 3) & (F.col("a") * n_other > 3 * F.col("b") * n_toxic)).withColumn("ratio", ratio)
-    # a small sample cannot reach a high ratio: there a tenth of what it could reach
-    least = min(MIN_RATIO, 0.1 * 2 * (n_toxic * np.log(n / n_toxic) + n_other * np.log(n / n_other)))
-    return [bytes(r.gram) for r in best.where(F.col("ratio") > float(least)).orderBy(F.desc("ratio"), "gram").limit(MAX_GRAMS).collect()]
+        ratio = 2 * (part(a, n_toxic * p) + part(b, n_other * p) + part(n_toxic - a, n_toxic * (1 - p)) + part(n_other - b, n_other * (1 - p)))
+        # a small sample cannot reach a high ratio: there a tenth of what it could reach
+        least = min(MIN_RATIO, 0.1 * 2 * (n_toxic * np.log(n / n_toxic) + n_other * np.log(n / n_other)))
+        return (a >= 3) & (a * n_other > 3 * b * n_toxic) & (ratio > float(least))
+
+    of = lambda y, *halves: sum(texts_by.get((h, y), 0) for h in halves)
+    flags = [marks(F.col("t"), F.col("o"), of(True, 0, 1), of(False, 0, 1)), *[marks(F.col(f"t{h}"), F.col(f"o{h}"), of(True, h), of(False, h)) for h in (0, 1)]]
+    found = counted.select("gram", *[f.alias(f"m{i}") for i, f in enumerate(flags)]).where("m0 OR m1 OR m2").collect()
+    return [{bytes(r.gram) for r in found if r[f"m{i}"]} for i in range(3)]
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
@@ -102,31 +137,26 @@ def _dictionary(samples: list[bytes]) -> bytes:
     return b"".join(reversed(common))[-DICT_BYTES:].rjust(8, b" ")
 
 
-class Distances(dict):
-    """Window to the bytes by which the toxic dictionary compresses it shorter; remembers windows of late."""
+class Distances:
+    """Window to the bytes by which the toxic dictionary compresses it shorter."""
 
     def __init__(self, toxic: bytes, ordinary: bytes):
-        super().__init__()
         self.pair = []
         for d in (toxic, ordinary):
             d = zstandard.ZstdCompressionDict(d + CARRIER)
             d.precompute_compress(level=3)
             self.pair.append(zstandard.ZstdCompressor(level=3, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
 
-    def __missing__(self, window: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
+    def __getitem__(self, window: bytes) -> int:
         toxic, ordinary = self.pair
         spaced = CARRIER + b" " + window + b" "
-        self[window] = d = len(ordinary(spaced)) - len(toxic(spaced))
-        return d
+        return len(ordinary(spaced)) - len(toxic(spaced))
 
 
-def features(text: bytes, distances: Distances, window: int = WINDOW) -> np.ndarray:
-    words = lowered_words(text)
-    if not words:
+def features(text: bytes, distances: Distances) -> np.ndarray:
+    windows = windows_of(lowered_words(text))
+    if not windows:
         return np.zeros(N_FEATURES)
-    windows = words if window == 1 else [b" ".join(words[i : i + window]) for i in range(0, len(words), window)]
     d = np.fromiter(map(distances.__getitem__, windows), np.int64, len(windows))
     over = np.array([(d >= s).sum() for s in STEPS])
     top = np.sort(d)[-3:]
@@ -155,54 +185,71 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def train_dictionaries(sample: DataFrame, texts_by: dict[tuple[int, bool], int], ordinary_bytes: int) -> list[tuple[bytes, bytes]]:
+    """(toxic, ordinary) dictionaries learned from the whole sample, from its half 0 and from its half 1."""
+    marks = marking_grams(sample, texts_by)
+    sent = sample.sparkSession.sparkContext.broadcast(marks)
+    every = max(1, ordinary_bytes // TRAIN_BYTES)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = sent.value
+        for batch in batches:
+            rows = []
+            for t, y, h in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                words = lowered_words(t)
+                if y > 0:
+                    for w in words:
+                        gs = grams(w)
+                        kinds = [not m.isdisjoint(gs) for m in marks]
+                        if any(kinds):
+                            rows.append((h, True, kinds[0], kinds[1 + h], b" " + w + b" "))
+                else:
+                    rows += [(h, False, True, True, w) for w in windows_of(words, WINDOW, WINDOW) if xxhash.xxh32_intdigest(w) % every == 0]
+            cols = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = (pa.int32(), pa.bool_(), pa.bool_(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["half", "toxic", "whole", "own", "window"])
+
+    rows = sample.select("text", "y", "half").mapInArrow(cut, "half int, toxic boolean, whole boolean, own boolean, window binary").toArrow()
+    half, toxic, whole, own, window = (rows.column(i).to_pylist() for i in range(5))
+    found = sorted(zip(window, half, toxic, whole, own, strict=True))
+    random.Random(1).shuffle(found)  # training takes stretches of neighbours: equal words must not stand together
+    out = []
+    for h in (None, 0, 1):
+        kinds = [[w for w, hh, t, all_, mine in found if t == y and (all_ if h is None else hh == h and mine)] for y in (True, False)]
+        ordinary = _dictionary(kinds[1])
+        out.append((ordinary + _dictionary(kinds[0]), ordinary))
+    sent.destroy()
+    return out
+
+
 def train_classifier(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Classifier | None:
     """Dictionaries and calibration from a sample of ``size`` labelled texts; None without both classes."""
     spark = docs.sparkSession
-    sample = sample_labelled(docs, labels, "toxic", size).repartition(16, "doc_id").persist()
+    sample = sample_labelled(docs, labels, "toxic", size).withColumn("half", F.pmod(F.xxhash64("text", F.lit("half")), F.lit(2)).cast("int"))
+    sample = sample.repartition(16, "doc_id").persist()
     try:
-        n = {bool(r.y): r["count"] for r in sample.groupBy(F.col("y") > 0).count().toDF("y", "count").collect()}
-        if len(n) < 2:
+        found = sample.groupBy("half", (F.col("y") > 0).alias("toxic")).agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).collect()
+        texts_by = {(r.half, r.toxic): r.n for r in found}
+        if len({y for _, y in texts_by}) < 2:
             return None
-        marks = set(marking_grams(sample, n[True], n[False]))
-        sent = spark.sparkContext.broadcast(marks)
-
-        def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            marks = sent.value
-            for batch in batches:
-                kinds, out = [], []
-                for t, y in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    words = lowered_words(t)
-                    if y > 0:
-                        got = [b" " + w + b" " for w in words if not marks.isdisjoint(grams(w))]
-                    else:
-                        words = [w for w in words if marks.isdisjoint(grams(w))]
-                        got = [b" ".join(words[i : i + 8]) for i in range(0, len(words), 8)]
-                    out += got
-                    kinds += [y > 0] * len(got)
-                yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.bool_()), pa.array(out, pa.binary())], ["toxic", "window"])
-
-        cut = sample.select("text", "y").mapInArrow(windows, "toxic boolean, window binary").withColumn("order", F.xxhash64("window", F.spark_partition_id()))
-        dictionaries = []
-        for toxic in (True, False):
-            rows = cut.where(F.col("toxic") == toxic).orderBy("order", "window").limit(MAX_SAMPLES).select("window").toArrow()
-            dictionaries.append(_dictionary(rows.column(0).to_pylist()))
-        both = spark.sparkContext.broadcast(tuple(dictionaries))
+        pairs = train_dictionaries(sample, texts_by, sum(r.size for r in found if not r.toxic))
+        both = spark.sparkContext.broadcast(pairs)
 
         def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            distances = Distances(*both.value)
+            other = [Distances(*both.value[2]), Distances(*both.value[1])]  # for texts of half 0, of half 1
             for batch in batches:
-                x = [features(t, distances).tobytes() for t in batch.column(0).cast(pa.binary()).to_pylist()]
+                x = [features(t, other[h]).tobytes() for t, h in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), batch.column(1)], ["x", "y"])
 
-        rows = sample.select("text", "y").mapInArrow(featured, "x binary, y int").toArrow()
+        rows = sample.select("text", "y", "half").mapInArrow(featured, "x binary, y int").toArrow()
     finally:
         sample.unpersist()
     x = np.stack([np.frombuffer(b) for b in rows.column(0).to_pylist()])
     y = (rows.column(1).to_numpy() > 0).astype(float)
-    order = np.lexsort(x.T)
+    order = np.lexsort((y, *x.T))
     x, y = x[order], y[order]
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    return Classifier(*dictionaries, mean, scale, logistic((x - mean) / scale, y))
+    return Classifier(*pairs[0], mean, scale, logistic((x - mean) / scale, y, RIDGE))
 
 
 def score_toxicity(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, size: int = SAMPLE) -> DataFrame:
