@@ -21,11 +21,15 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset, as in local tests, a temporary folder is chosen and set.
+    Only where it is unset and all tasks run in this process, as in local tests, a
+    temporary folder is chosen and set. Staged tables stay there until the folder is
+    cleared, so that a lost executor can read them again.
     """
     sc = spark.sparkContext
     known = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not known:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         known = tempfile.mkdtemp(prefix="spark-shared-")
         sc.setCheckpointDir(known)
     return known.rstrip("/")
@@ -39,6 +43,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = "_" + name
+    return name
+
+
 def remainder(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus

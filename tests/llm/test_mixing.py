@@ -9,17 +9,49 @@ from ..conftest import MEDIUM
 from .cases import AWKWARD, docs
 
 
-def test_exponent_meets_targets():
+def brute_weights(p, a):
+    raw = [x**a for x in p]
+    return [r / sum(raw) for r in raw]
+
+
+def brute_exponent(p, target_entropy=None, repetition_limit=None, share=None):
+    """Plain bisection over the list of shares."""
+    lo, hi = 0.0, 1.0 if repetition_limit is not None else 40.0
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        q = brute_weights(p, mid)
+        if target_entropy is not None:
+            low = -sum(x * math.log(x) for x in q if x > 0) >= target_entropy
+        else:
+            ratios = [w / x for w, x in zip(q, p, strict=True)]
+            low = (max(ratios) / min(ratios) if share is None else max(ratios) * share) > repetition_limit
+        lo, hi = (mid, hi) if low else (lo, mid)
+    return lo
+
+
+def solve(spark, p, **kwargs):
+    return mixing.solve_exponent(mixing.Curve(spark.createDataFrame([(float(x),) for x in p], "share double")), **kwargs)
+
+
+def test_exponent_meets_targets(spark):
     p = [0.6, 0.25, 0.1, 0.05]
-    a = mixing.solve_exponent(p, target_entropy=1.3)
-    assert mixing.entropy(mixing.weights_at(p, a)) == pytest.approx(1.3)
-    a = mixing.solve_exponent(p, repetition_limit=3.0)
+    natural = mixing.entropy(p)
+    for target in (1.3, natural, 0.5, 0.1):  # below the shares' own entropy the exponent exceeds 1
+        a = solve(spark, p, target_entropy=target)
+        assert mixing.entropy(mixing.weights_at(p, a)) == pytest.approx(target) and (a > 1 + 1e-9) == (target < natural - 1e-9)
+        assert a == pytest.approx(brute_exponent(p, target_entropy=target))
+    a = solve(spark, p, repetition_limit=3.0)
+    assert a == pytest.approx(brute_exponent(p, repetition_limit=3.0))
     q = mixing.weights_at(p, a)
     assert max(w / s for w, s in zip(q, p, strict=True)) / min(w / s for w, s in zip(q, p, strict=True)) == pytest.approx(3.0)
-    assert mixing.solve_exponent(p, target_entropy=9) == 0 and mixing.solve_exponent(p, target_entropy=0) == 1
-    assert mixing.solve_exponent(p, repetition_limit=1) == pytest.approx(1) and mixing.solve_exponent([], repetition_limit=2) == 0
+    assert solve(spark, p, target_entropy=9) == 0
+    assert mixing.weights_at(p, solve(spark, p, target_entropy=0)) == pytest.approx([1, 0, 0, 0])
+    assert solve(spark, p, repetition_limit=1) == pytest.approx(1) and solve(spark, [], repetition_limit=2) == 0
+    many = [i / 5_000_050_000 for i in range(1, 100_001)]  # as many sources as there are
+    a = solve(spark, many, repetition_limit=10.0)
+    assert (many[0] / many[-1]) ** (a - 1) == pytest.approx(10.0)
     with pytest.raises(ValueError):
-        mixing.solve_exponent(p)
+        solve(spark, p)
 
 
 def by_source(rows):
@@ -38,7 +70,7 @@ def test_budget_weights_and_epochs(spark):
     for budget, kwargs in ((None, {"repetition_limit": 2.5}), (total, {"target_entropy": 1.0}), (total // 3, {"repetition_limit": 1.0})):
         got = mixing.mix(docs(spark, rows), budget=budget, block_tokens=200, **kwargs).collect()
         p = [tokens[s] / total for s in sorted(tokens)]
-        q = mixing.weights_at(p, mixing.solve_exponent(p, **kwargs, budget_share=budget / total if budget else None))
+        q = brute_weights(p, brute_exponent(p, **kwargs, share=budget / total if budget else None))
         want = budget or total / min(w / s for w, s in zip(q, p, strict=True))
         for (s, uses), w in zip(sorted(by_source(got).items()), q, strict=True):
             used = sum(u.tokens for u in uses)
@@ -73,3 +105,32 @@ def test_awkward_rows(spark):
     assert {r.doc_id for r in got} == {r[0] for r in rows} and {r.source for r in got} == {"", "one", "only empty"}
     assert mixing.mix(docs(spark, []), repetition_limit=2.0).count() == 0
     assert {r.doc_id for r in mixing.mix(docs(spark, [(1, ""), (2, None)]), target_entropy=0.5).collect()} == {1, 2}
+
+
+def test_query_against_brute_force(spark):
+    """Weights by plain bisection; every use of a document, its epochs, and what each source was given."""
+    table = spark.read.parquet(f"{MEDIUM}/documents.parquet").collect()
+    words = {r.doc_id: len((r.text or "").split()) for r in table}  # these texts hold no other blanks
+    own = {}
+    for r in table:
+        own[r.source] = own.get(r.source, 0) + words[r.doc_id]
+    names = sorted(own)
+    p = [own[s] / sum(own.values()) for s in names]
+    q = brute_weights(p, brute_exponent(p, repetition_limit=2.0))
+    total = sum(own.values()) / min(w / x for w, x in zip(q, p, strict=True))
+    used, times = {}, {}
+    for r in mixing.op7_temperature_mix(spark, MEDIUM).collect():
+        assert r.tokens == words[r.doc_id]
+        used[r.source] = used.get(r.source, 0) + r.tokens
+        times[r.doc_id] = times.get(r.doc_id, []) + [r.epoch]
+    for s, w in zip(names, q, strict=True):
+        assert -1 <= used[s] - total * w <= max(words.values())
+    assert set(times) == set(words)
+    assert all(e == list(range(len(e))) for e in map(sorted, times.values()))
+
+
+def test_hot_keys_are_spread(spark):
+    rows = [(None, "a b c d", "s")] * 600 + [(1, "a b c d", "s")] * 600
+    got = mixing.mix(docs(spark, rows), repetition_limit=1.0, block_tokens=100)
+    assert got.count() == 1200
+    assert got.groupBy("block").count().agg({"count": "max"}).first()[0] < 100

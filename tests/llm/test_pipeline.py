@@ -4,6 +4,7 @@ import corpus_pipeline
 from boxmetrics.llm import decontam, mixing, toxicity
 
 from ..conftest import SMALL
+from .test_mixing import brute_exponent, brute_weights
 from .test_pii import brute as base_spans
 from .test_simhash import brute_components, brute_fingerprint
 
@@ -28,12 +29,12 @@ def test_each_stage_against_brute_force(spark):
     low = brute_components([(r.doc_id, brute_fingerprint(r.text or "")) for r in toxic])
     assert sorted(r.doc_id for r in near) == sorted(d for d, _, c in low if d == c)
 
-    bench = [decontam.levelled(r.text or "") for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    bench = [decontam.prepared(r.text or "", decontam.ERROR_RATE) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     held = set()
     for r in near:
-        t = decontam.levelled(r.text or "")
-        for b in bench:
-            if len(b) >= decontam.MIN_LENGTH and decontam.best_distance(b, t)[0] <= int(len(b) * decontam.ERROR_RATE):
+        t = f" {decontam.levelled(r.text or '')} "
+        for b, budget in bench:
+            if decontam.best_distance(b, t)[0] <= budget:
                 held.add(r.doc_id)
                 break
     assert sorted(r.doc_id for r in clean) == sorted(r.doc_id for r in near if r.doc_id not in held)
@@ -56,7 +57,7 @@ def test_each_stage_against_brute_force(spark):
     for r in pii:
         own[r.source] = own.get(r.source, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
     shares = [own[s] / sum(own.values()) for s in sorted(own)]
-    q = mixing.weights_at(shares, mixing.solve_exponent(shares, repetition_limit=corpus_pipeline.REPETITION_LIMIT))
+    q = brute_weights(shares, brute_exponent(shares, repetition_limit=corpus_pipeline.REPETITION_LIMIT))
     total = sum(own.values()) / min(w / p for w, p in zip(q, shares, strict=True))
     longest = max(r.tokens for r in mix)
     for s, w in zip(sorted(own), q, strict=True):
