@@ -1,6 +1,7 @@
 import hashlib
 import random
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -133,7 +134,13 @@ def test_query_columns_equal_brute_force(spark):
         payload = raw + bytes(-len(raw) % 64 or (0 if raw else 64))
         assert (r.doc_id, r.n_bytes, r.payload_bytes) == (i, len(raw), len(payload))
         assert r.payload_sha256 == hashlib.sha256(payload).hexdigest() and r.tail_crc32 == zlib.crc32(payload[-64:])
-        assert r.error == "" and sum(r.histogram) >= len(payload) and r.media_bytes > 0
+        assert r.error == "" and r.media_bytes > 0 and len(r.frames) == r.n_frames == -(-len(payload) // 16384)
+        for k, f in enumerate(r.frames):
+            cells = [0] * 65
+            for v in payload[k * 16384 : (k + 1) * 16384]:
+                cells[(v >> 6) * 21] += 1
+            assert (f.start_ms, f.delay_ms, f.disposal) == (100 * k, 100, 1 + k % 3)
+            assert len(payload[k * 16384 :]) < 16384 and k or list(f.histogram) == cells
 
 
 def test_frames_table(spark):
@@ -147,3 +154,39 @@ def test_frames_table(spark):
 
 def test_empty_table(spark):
     assert gif.gif_digest(gif.text_to_gif(docs(spark, []))).count() == 0
+
+
+def test_stripes_equal_the_whole_canvas(spark):
+    frames = [(0, 0, 5, 40, [i % 4 for i in range(200)], 1, 2, 5, True, None), (1, 7, 3, 30, [i % 3 for i in range(90)], 3, None, 5, False, None), (2, 20, 3, 15, [1] * 45, 2, None, 0, True, None), (0, 3, 5, 9, [2] * 45, 1, 1, 0, False, None)]
+    data = image(frames, 5, 40)
+    whole = gif.decode(data)
+    for pixels in (5, 35, 64):
+        cut = gif.decode(data, max_pixels=pixels)
+        assert all((a.pixels == b.pixels).all() and a.box == b.box for a, b in zip(whole.frames, cut.frames, strict=True)) and not cut.error
+    table = spark.createDataFrame([(1, bytearray(data))], "id long, gif binary")
+    rows = gif.gif_frames(table, max_pixels=35).orderBy("frame", "top").collect()
+    assert [b"".join(bytes(r.pixels) for r in rows if r.frame == i) for i in range(4)] == [f.pixels.tobytes() for f in whole.frames]
+
+
+def _forged(width, height, codes):
+    """A full table, then codes of its longest entries: each stands for thousands of samples."""
+    run = [256, 0, *range(258, 4096), *[4095] * codes]
+    widths = np.concatenate([[9], np.minimum(12, np.frexp(257 + np.maximum(np.arange(len(run) - 1), 1))[1])])
+    stream = gif._packed(np.array(run, np.uint32), widths)
+    blocks = b"".join(bytes([len(stream[i : i + 255])]) + stream[i : i + 255] for i in range(0, len(stream), 255))
+    return b"GIF89a" + struct.pack("<HHBBB", width, height, 0, 0, 0) + b"\x2c" + struct.pack("<HHHHB", 0, 0, width, height, 0) + b"\x08" + blocks + b"\0\x3b"
+
+
+def test_forged_streams_and_canvases_need_little_memory():
+    small, large = _forged(64, 64, 700_000), _forged(65535, 65535, 10)
+    tracemalloc.start()
+    try:
+        assert gif.decode(small).error == "wrong number of samples"
+        assert tracemalloc.get_traced_memory()[1] < 60 << 20
+        im = gif.Reader(large)
+        low, high = im.stripes(1 << 18)[-1]
+        assert [f.any_drawn for f in im.frames(low, high)] == [False]
+        assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    finally:
+        tracemalloc.stop()
+    assert gif.lzw_decode(b"", 9, 4) == (b"", "bad code size") and gif.lzw_decode(b"", 0, 4) == (b"", "bad code size")
