@@ -11,15 +11,15 @@ def weekly_chart(facts: DataFrame, size: int = 25) -> DataFrame:
 
     Adds rank within the week, and per film the chart week's number and running totals.
     """
-    week = F.to_date(F.date_trunc("week", "day")).alias("week")
-    totals = facts.groupBy(week, "film").agg(
+    rows = facts.withColumn("week", F.to_date(F.date_trunc("week", "day")))
+    totals = rows.groupBy("week", "film").agg(
         F.sum("revenue").alias("revenue"),
         F.sum("spectators").cast("long").alias("spectators"),
-        F.count_distinct("venue").alias("venues"),
+        F.collect_set("venue").alias("_venues"),
         F.count("*").alias("screens"),
     )
     best = Window.partitionBy("week").orderBy(F.desc("revenue"), "film")
-    ranked = totals.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= size)
+    ranked = totals.withColumn("venues", F.size("_venues").cast("long")).drop("_venues").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= size)
     run = Window.partitionBy("film").orderBy("week")
     upto = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
@@ -87,15 +87,18 @@ def segment_stats(shares: DataFrame, last: int = 52, least: int = 4, full: int =
 
 
 def classify(shares: DataFrame, stats: DataFrame, width: float = 1.5) -> DataFrame:
-    """Each week's top share against mean and deviation; with enough weeks refined by quartiles."""
+    """Each week's top share against mean and deviation, refined by quartiles; no level where the weeks are too few.
+
+    ``stats`` is the one row of :func:`segment_stats`.
+    """
     s = shares.join(F.broadcast(stats), F.lit(True))
     x = F.col("top1")
     kind = (
-        F.when(F.col("mean").isNull(), None)
+        F.when(F.col("mean").isNull() | F.col("low_data"), None)
         .when(x > F.col("mean") + width * F.col("deviation"), "very high")
         .when(x < F.greatest(F.col("mean") - width * F.col("deviation"), F.lit(0.0)), "very low")
-        .when(~F.col("low_data") & (x > F.col("p75")), "high")
-        .when(~F.col("low_data") & (x < F.col("p25")), "low")
+        .when(x > F.col("p75"), "high")
+        .when(x < F.col("p25"), "low")
         .otherwise("normal")
     )
     return s.select("week", "top1", "top3", "top5", "rest", kind.alias("level"))
@@ -118,9 +121,8 @@ def capacity(totals: DataFrame) -> DataFrame:
 
 def decay_curve(chart: DataFrame, weeks: int = 10) -> DataFrame:
     """Mean share of a film's total by chart week, over films that ever led, and the mean running share."""
-    leaders = chart.where("rank = 1").select("film").distinct()
-    films = chart.join(leaders, "film", "left_semi")
     whole = Window.partitionBy("film")
+    films = chart.withColumn("_best", F.min("rank").over(whole)).where("_best = 1")
     total = F.nullif(F.sum("spectators").over(whole).cast("double"), F.lit(0.0))
     rows = films.select("run_week", (F.col("spectators") / total).alias("share"), (F.col("spectators_total") / total).alias("upto"))
     six = lambda c: F.round(F.avg(c).cast("decimal(18,9)"), 6).cast("double")

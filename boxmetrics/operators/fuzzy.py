@@ -21,20 +21,37 @@ def ratio(query: pd.Series, candidate: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(query, candidate, strict=True)], dtype="float64")
 
 
-def fuzzy_candidates(queries: DataFrame, catalogue: DataFrame, common: int = 3000, scored: int = 100, least: float = 0.55, best: int = 5) -> DataFrame:
+# Titles a gram may be in and still block, titles compared, least ratio, ids kept.
+COMMON, SCORED, LEAST, BEST = 3000, 100, 0.55, 5
+
+
+def fuzzy_candidates(queries: DataFrame, catalogue: DataFrame, common: int = COMMON, scored: int = SCORED, least: float = LEAST, best: int = BEST) -> DataFrame:
     """Up to ``best`` catalogue rows (id, key) for each query (query_id, key).
 
-    Grams of more than ``common`` catalogue rows do not block; of the rest the
-    ``scored`` rows with most shared grams are compared. Null or empty keys find nothing.
+    Keys are looked up once each, however many rows have them; ids come back
+    after the ranking. Grams of more than ``common`` keys do not block; a query
+    all of whose grams are so common is looked up by its rarest one. Of the keys
+    found the ``scored`` with most shared grams are compared, and an equal key
+    always. Null or empty keys find nothing.
     """
-    some = lambda df: df.where(F.length("key") > 0)
-    index = some(catalogue).select(F.col("id"), F.explode(trigrams(F.col("key"))).alias("gram"))
-    rare = index.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") <= common).select("gram")
-    asked = some(queries).select("query_id", F.explode(trigrams(F.col("key"))).alias("gram"))
-    shared = asked.join(rare, "gram").join(index, "gram").groupBy("query_id", "id").agg(F.count("*").alias("shared"))
-    near = Window.partitionBy("query_id").orderBy(F.desc("shared"), "id")
-    block = shared.withColumn("place", F.row_number().over(near)).where(F.col("place") <= scored)
-    texts = block.join(queries.select("query_id", F.col("key").alias("asked")), "query_id").join(catalogue.select("id", F.col("key").alias("found")), "id")
-    rows = texts.select("query_id", "id", ratio("asked", "found").alias("score")).where(F.col("score") >= least)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= best)
+    keys = lambda df, name: df.where(F.length("key") > 0).select(F.col("key").alias(name)).distinct()
+    asked, known = keys(queries, "asked"), keys(catalogue, "found")
+    index = known.select("found", F.explode(trigrams(F.col("found"))).alias("gram"))
+    sizes = index.groupBy("gram").agg(F.count("*").alias("n"))
+    grams = asked.select("asked", F.explode(trigrams(F.col("asked"))).alias("gram")).join(sizes, "gram")
+    rarest = Window.partitionBy("asked").orderBy("n", "gram")
+    grams = grams.withColumn("_n", F.row_number().over(rarest)).where((F.col("n") <= common) | (F.col("_n") == 1)).select("asked", "gram")
+    shared = grams.join(index, "gram").groupBy("asked", "found").agg(F.count("*").alias("shared"))
+    near = Window.partitionBy("asked").orderBy((F.col("asked") != F.col("found")).cast("int"), F.desc("shared"), "found")
+    block = shared.withColumn("_n", F.row_number().over(near)).where(F.col("_n") <= scored)
+    rows = block.select("asked", "found", ratio("asked", "found").alias("score")).where(F.col("score") >= least)
+    # a key has one id at least: keys of lower scores than the best few are not needed
+    rows = rows.withColumn("_n", F.dense_rank().over(Window.partitionBy("asked").orderBy(F.desc("score")))).where(F.col("_n") <= best)
+    ids = rows.join(catalogue.select("id", F.col("key").alias("found")), "found").join(queries.select("query_id", F.col("key").alias("asked")), "asked")
+    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    return ids.withColumn("place", F.row_number().over(place)).where(F.col("place") <= best).select("query_id", "id", "score", "place")
+
+
+def unresolved(queries: DataFrame, assigned: DataFrame, exact: DataFrame) -> DataFrame:
+    """The queries (query_id, key) that have neither an assignment nor a catalogue key equal to theirs: only these are searched for."""
+    return queries.join(assigned.select("query_id"), "query_id", "left_anti").join(exact.select("key"), "key", "left_anti").select(*queries.columns)

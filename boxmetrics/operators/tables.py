@@ -28,9 +28,15 @@ def canonical(sources: list[DataFrame], key: str, fields: list[str]) -> DataFram
     return best_row(union.withColumn("complete", completeness(fields)), [key], [F.desc("complete"), F.col("origin")])
 
 
-def merge_latest(base: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Upsert: a row of ``updates`` replaces the row of ``base`` with its key."""
-    return base.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
+def latest(updates: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """One update a key: the first in ``order``; without one the largest by all its columns, so that a rerun agrees."""
+    rest = [F.desc_nulls_last(c) for c in updates.columns if c not in keys]
+    return best_row(updates, keys, order or rest or [F.col(keys[0])])
+
+
+def merge_latest(base: DataFrame, updates: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """Upsert: a row of ``updates`` replaces the rows of ``base`` with its key; of several for a key one counts, see :func:`latest`."""
+    return base.join(updates.select(*keys), keys, "left_anti").unionByName(latest(updates, keys, order))
 
 
 def insert_if_absent(base: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -38,8 +44,8 @@ def insert_if_absent(base: DataFrame, rows: DataFrame, keys: list[str]) -> DataF
 
 
 def guarded_merge(base: DataFrame, updates: DataFrame, key: str, protected: Column, value: str) -> DataFrame:
-    """Upsert of one column that leaves protected rows as they are; ``protected`` reads the base's columns."""
-    new = updates.select(F.col(key).alias("_key"), F.col(value).alias("_new"))
+    """Upsert of one column that leaves protected rows as they are; ``protected`` reads the base's columns. A key is updated once."""
+    new = latest(updates.select(key, value), [key]).select(F.col(key).alias("_key"), F.col(value).alias("_new"))
     joined = base.join(new, base[key] == new["_key"], "left")
     return joined.withColumn(value, F.when(protected | F.col("_key").isNull(), F.col(value)).otherwise(F.col("_new"))).drop("_key", "_new")
 
@@ -72,11 +78,12 @@ def candidates(queries: DataFrame, catalogue: DataFrame) -> DataFrame:
     One row a query: number of distinct ids, the smallest, and whether it is
     alone and of a plausible year.
     """
-    c = catalogue.select(F.col("key"), F.col("id"), F.col("year").alias("made"))
-    hit = queries.join(c, "key", "left")
-    fits = plausible_year(F.col("made"), F.col("year"), F.col("kind"))
-    out = hit.groupBy("query_id").agg(F.count_distinct("id").alias("n"), F.min(F.struct("id", fits.alias("fits"))).alias("first"))
-    return out.select("query_id", "n", F.col("first.id").alias("id"), F.coalesce(F.col("n") == 1, F.lit(False)).alias("alone"), F.when(F.col("n") == 1, F.col("first.fits")).otherwise(False).alias("safe"))
+    # one row a key before the join: a common key does not meet all of its queries
+    first = F.min(F.struct("id", F.col("year").alias("made"))).alias("first")
+    c = catalogue.groupBy("key").agg(F.count_distinct("id").alias("n"), first)
+    out = queries.join(c, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    fits = plausible_year(F.col("first.made"), F.col("year"), F.col("kind"))
+    return out.select("query_id", "n", F.col("first.id").alias("id"), (F.col("n") == 1).alias("alone"), ((F.col("n") == 1) & fits).alias("safe"))
 
 
 def route(found: DataFrame) -> DataFrame:
@@ -85,15 +92,40 @@ def route(found: DataFrame) -> DataFrame:
 
 
 def percentile_tiers(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Exact quantiles per group and, above each, the number and mean of the values (tiers overlap)."""
+    """Exact quantiles per group and, above each, the number and mean of the values (tiers overlap).
+
+    Values are counted first. Ranks come from sums over ranges of values and a
+    running sum within each range, so a group's values need not meet in one task.
+    """
     ps = (25, 50, 75, 90)
-    q = df.groupBy(group).agg(F.percentile(value, F.array(*[F.lit(p / 100) for p in ps])).alias("q"))
     two = lambda c: F.round(c.cast("decimal(18,6)"), 2).cast("double")
-    above = [F.col(value) >= F.col("q")[i] for i in range(len(ps))]
-    counts = [F.count_if(a).alias(f"n{p}") for a, p in zip(above, ps, strict=True)]
-    means = [two(F.avg(F.when(a, F.col(value)))).alias(f"mean{p}") for a, p in zip(above, ps, strict=True)]
-    cuts = [two(F.first(F.col("q")[i])).alias(f"p{p}") for i, p in enumerate(ps)]
-    return df.join(q, group).groupBy(group).agg(*cuts, *counts, *means)
+    v = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where("v IS NOT NULL").groupBy("g", "v").agg(F.count("*").alias("n"))
+    span = v.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("all"))
+    width = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
+    v = v.join(F.broadcast(span) if _few(span) else span, "g").withColumn("bin", F.coalesce(F.least(F.floor((F.col("v") - F.col("lo")) / width * BINS), F.lit(BINS - 1)), F.lit(0)))
+    bins = v.groupBy("g", "bin").agg(F.sum("n").alias("inside"))
+    before = Window.partitionBy("g").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.select("g", "bin", F.coalesce(F.sum("inside").over(before), F.lit(0)).alias("under"))
+    upto = Window.partitionBy("g", "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    v = v.join(bins, ["g", "bin"]).withColumn("last", F.col("under") + F.sum("n").over(upto))  # ranks last - n .. last - 1 hold v
+    at = {p: (F.col("all") - 1) * F.lit(p / 100) for p in ps}
+    holds = lambda rank: (F.col("last") > rank) & (F.col("last") - F.col("n") <= rank)
+    ends = [F.max(F.when(holds(f(at[p])), F.col("v"))).alias(f"{n}{p}") for p in ps for n, f in (("a", F.floor), ("b", F.ceil))]
+    q = v.groupBy("g").agg(F.first("all").alias("all"), *ends)
+    q = q.select("g", *[(F.col(f"a{p}") + (F.col(f"b{p}") - F.col(f"a{p}")) * (at[p] - F.floor(at[p]))).alias(f"q{p}") for p in ps])
+    above = [F.col("v") >= F.col(f"q{p}") for p in ps]
+    counts = [F.sum(F.when(a, F.col("n")).otherwise(0)).alias(f"n{p}") for a, p in zip(above, ps, strict=True)]
+    means = [two(F.sum(F.when(a, F.col("v") * F.col("n"))) / F.sum(F.when(a, F.col("n")))).alias(f"mean{p}") for a, p in zip(above, ps, strict=True)]
+    cuts = [two(F.first(f"q{p}")).alias(f"p{p}") for p in ps]
+    return v.join(q, "g").groupBy(F.col("g").alias(group)).agg(*cuts, *counts, *means)
+
+
+BINS = 1024
+
+
+def _few(df: DataFrame, most: int = 100_000) -> bool:
+    """Whether a table is small enough to send to all tasks; looks at no more than that many rows."""
+    return df.limit(most + 1).count() <= most
 
 
 def mature(released: Column, made: Column, as_of: str, months: int = 2) -> Column:

@@ -107,8 +107,8 @@ def top_year(spark, d):
     return money(ch.top_of_year(weekly(spark, d), 1997))
 
 
-@query("concentration", SEGMENTS + """ SELECT week, top1, top3, top5, rest, CASE WHEN weeks < 4 THEN NULL WHEN top1 > mean + 1.5 * deviation THEN 'very high'
-  WHEN top1 < greatest(mean - 1.5 * deviation, 0.0) THEN 'very low' WHEN weeks >= 8 AND top1 > p75 THEN 'high' WHEN weeks >= 8 AND top1 < p25 THEN 'low' ELSE 'normal' END AS level FROM seg, stats""")
+@query("concentration", SEGMENTS + """ SELECT week, top1, top3, top5, rest, CASE WHEN weeks < 8 THEN NULL WHEN top1 > mean + 1.5 * deviation THEN 'very high'
+  WHEN top1 < greatest(mean - 1.5 * deviation, 0.0) THEN 'very low' WHEN top1 > p75 THEN 'high' WHEN top1 < p25 THEN 'low' ELSE 'normal' END AS level FROM seg, stats""")
 def concentration(spark, d):
     shares = ch.segments(weekly(spark, d))
     return ch.classify(shares, ch.segment_stats(shares))
@@ -244,11 +244,10 @@ def gold_history(spark, d):
     return money(tb.best_row(rows, ["film", "class"], [F.desc_nulls_last("revenue"), F.col("year"), F.col("origin")])).select("year", "film", "class", "origin", "revenue")
 
 
-@query("merge_upsert", "SELECT doc_id, quality FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 4 = 0) UNION ALL SELECT doc_id, 9 FROM documents WHERE doc_id % 4 = 0")
+@query("merge_upsert", "SELECT doc_id, quality FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) UNION ALL SELECT doc_id, max((n_chars % 7)::INT) FROM documents GROUP BY doc_id")
 def merge_upsert(spark, d):
     base = read(spark, d, "labels").select("doc_id", "quality")
-    new = read(spark, d, "documents").where("doc_id % 4 = 0").select("doc_id", F.lit(9).alias("quality"))
-    return tb.merge_latest(base, new, ["doc_id"])
+    return tb.merge_latest(base, read(spark, d, "documents").select("doc_id", (F.col("n_chars") % 7).cast("int").alias("quality")), ["doc_id"])
 
 
 @query("insert_if_absent", "SELECT doc_id, quality FROM labels UNION ALL SELECT doc_id, 9 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -257,9 +256,9 @@ def insert_if_absent(spark, d):
     return tb.insert_if_absent(base, read(spark, d, "documents").select("doc_id", F.lit(9).alias("quality")), ["doc_id"])
 
 
-@query("guarded_merge", "SELECT doc_id, CASE WHEN toxic = 1 OR d.id IS NULL THEN quality ELSE 9 END AS quality, toxic FROM labels LEFT JOIN (SELECT doc_id AS id FROM documents WHERE doc_id % 2 = 0) d ON d.id = doc_id")
+@query("guarded_merge", "SELECT l.doc_id, CASE WHEN toxic = 1 OR d.q IS NULL THEN quality ELSE d.q END AS quality, toxic FROM labels l LEFT JOIN (SELECT doc_id, max((n_chars % 7)::INT) AS q FROM documents GROUP BY doc_id) d ON d.doc_id = l.doc_id")
 def guarded_merge(spark, d):
-    new = read(spark, d, "documents").where("doc_id % 2 = 0").select("doc_id", F.lit(9).alias("quality"))
+    new = read(spark, d, "documents").select("doc_id", (F.col("n_chars") % 7).cast("int").alias("quality"))
     return tb.guarded_merge(read(spark, d, "labels").select("doc_id", "quality", "toxic"), new, "doc_id", F.col("toxic") == 1, "quality")
 
 
@@ -303,18 +302,19 @@ def anti_or(spark, d):
 
 
 def _match_sides(spark, d):
-    catalogue = read(spark, d, "part").select(tx.title_key(F.col("p_name")).alias("key"), F.col("p_partkey").alias("id"), (F.col("p_partkey") % 12 + 1988).cast("int").alias("year")).where("id % 40 = 0")
-    names = read(spark, d, "part").select(F.col("p_partkey").alias("o_custkey"), tx.title_key(F.col("p_name")).alias("key"))
-    orders = read(spark, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"), F.when(F.col("o_orderpriority") == "1-URGENT", "redemption").when(F.col("o_orderpriority") != "5-LOW", "other").alias("kind"))
-    return orders.join(names, "o_custkey").select(F.col("o_orderkey").alias("query_id"), "key", "year", "kind"), catalogue
+    """Orders ask for the part of their number by name and brand; all parts are the catalogue."""
+    parts = read(spark, d, "part").select("p_partkey", tx.title_key(F.concat_ws(" ", "p_name", "p_brand")).alias("key"))
+    catalogue = parts.select("key", F.col("p_partkey").alias("id"), (F.col("p_partkey") % 12 + 1988).cast("int").alias("year"))
+    orders = read(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("p_partkey"), F.year("o_orderdate").alias("year"), F.when(F.col("o_orderpriority") == "1-URGENT", "redemption").when(F.col("o_orderpriority") != "5-LOW", "other").alias("kind"))
+    return orders.join(parts, "p_partkey").select(F.col("o_orderkey").alias("query_id"), "key", "year", "kind"), catalogue
 
 
 def _match(spark, d):
     return tb.route(tb.candidates(*_match_sides(spark, d)))
 
 
-_MATCH = """WITH n AS (SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS key FROM part),
-c AS (SELECT key, p_partkey AS id, (p_partkey % 12 + 1988)::INT AS made FROM n WHERE p_partkey % 40 = 0),
+_MATCH = """WITH n AS (SELECT p_partkey, trim(regexp_replace(lower(p_name || ' ' || p_brand), '[^a-z0-9]+', ' ', 'g')) AS key FROM part),
+c AS (SELECT key, p_partkey AS id, (p_partkey % 12 + 1988)::INT AS made FROM n),
 q AS (SELECT o_orderkey AS query_id, key, year(o_orderdate)::INT AS year, CASE o_orderpriority WHEN '1-URGENT' THEN 'redemption' WHEN '5-LOW' THEN NULL ELSE 'other' END AS kind FROM orders JOIN n ON p_partkey = o_custkey),
 h AS (SELECT query_id, id, coalesce(made BETWEEN CASE WHEN kind = 'other' THEN year - 2 ELSE year - 6 END AND CASE WHEN kind = 'redemption' THEN year ELSE year + 6 END, false) AS fits FROM q LEFT JOIN c USING (key)),
 g AS (SELECT query_id, count(DISTINCT id) AS n, min(id) AS id, coalesce(bool_or(fits), false) AS fits FROM h GROUP BY query_id),
@@ -340,13 +340,22 @@ def match_stats(spark, d):
 _UNACCENT = f"translate(lower({{}}), '{tx.ACCENTED}', '{tx.PLAIN}')"
 for _a, _b in tx.EXPANDED:
     _UNACCENT = f"replace({_UNACCENT}, '{_a}', '{_b}')"
-_FIRST = "split_part(text, chr(10), 1)"
+_TITLE = "CASE doc_id % 4 WHEN 0 THEN split_part(text, chr(10), 1) || ', La' WHEN 1 THEN split_part(text, chr(10), 1) || ' (2019)' WHEN 2 THEN split_part(text, chr(10), 1) || ' (V.O.), unos' ELSE split_part(text, chr(10), 1) END"
+_OPENED = f"regexp_replace(trim(regexp_replace({_TITLE}, '\\([^)]*\\)', ' ', 'g')), '^(.*),\\s*(el|la|los|las|un|una|unos|unas)$', '\\2 \\1', 'i')"
 
 
-@query("title_norm", f"SELECT doc_id, trim(regexp_replace({_UNACCENT.format(_FIRST)}, '[^a-z0-9]+', ' ', 'g')) AS title_key, regexp_replace({_UNACCENT.format(_FIRST)}, '[^a-z0-9]', '', 'g') AS alnum_key, regexp_replace(lower({_FIRST}), '[^a-z0-9]', '', 'g') AS raw_key FROM documents")
-def title_norm(spark, d):
+def _titles(spark, d):
+    """The documents' first lines as titles: some with an article behind, some with a note in brackets."""
     first = F.substring_index("text", "\n", 1)
-    return read(spark, d, "documents").select("doc_id", tx.title_key(first).alias("title_key"), tx.alnum_key(first).alias("alnum_key"), tx.raw_key(first).alias("raw_key"))
+    kind = F.col("doc_id") % 4
+    title = F.concat(first, F.when(kind == 0, ", La").when(kind == 1, " (2019)").when(kind == 2, " (V.O.), unos").otherwise(""))
+    return read(spark, d, "documents").select("doc_id", title.alias("title"))
+
+
+@query("title_norm", f"SELECT doc_id, trim(regexp_replace({_UNACCENT.format(_OPENED)}, '[^a-z0-9]+', ' ', 'g')) AS title_key, regexp_replace({_UNACCENT.format(_TITLE)}, '[^a-z0-9]', '', 'g') AS alnum_key, regexp_replace(lower({_TITLE}), '[^a-z0-9]', '', 'g') AS raw_key FROM documents")
+def title_norm(spark, d):
+    t = F.col("title")
+    return _titles(spark, d).select("doc_id", tx.title_key(t).alias("title_key"), tx.alnum_key(t).alias("alnum_key"), tx.raw_key(t).alias("raw_key"))
 
 
 @query("norm_search", f"SELECT doc_id FROM documents WHERE contains(regexp_replace({_UNACCENT.format('text')}, '[^a-z0-9]', '', 'g'), 'cionesta')")

@@ -123,19 +123,20 @@ def merge_rankings(spark, d):
 # Nested fields, JSON and people
 
 
-def dialogues(spark, d):
+def dialogues(spark, d, *fields):
+    """Dialogues with their turns in order, each with the fields asked for."""
     c = read(spark, d, "conversations")
-    return c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    return c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", *fields))).alias("turns"))
 
 
 @query("nested_exists", "SELECT conv_id FROM conversations GROUP BY conv_id HAVING bool_or(role = 'system')")
 def nested_exists(spark, d):
-    return dialogues(spark, d).where(F.exists("turns", lambda t: t["role"] == "system")).select("conv_id")
+    return dialogues(spark, d, "role").where(F.exists("turns", lambda t: t["role"] == "system")).select("conv_id")
 
 
 @query("nested_distinct", "SELECT DISTINCT 'role' AS field, role AS value FROM conversations WHERE trim(role) <> '' UNION SELECT DISTINCT 'k', props->>'$.k' FROM events WHERE props->>'$.k' <> ''")
 def nested_distinct(spark, d):
-    roles = dialogues(spark, d).select(F.explode("turns.role").alias("value")).where(F.trim("value") != "").distinct().select(F.lit("role").alias("field"), "value")
+    roles = dialogues(spark, d, "role").select(F.explode("turns.role").alias("value")).where(F.trim("value") != "").distinct().select(F.lit("role").alias("field"), "value")
     k = read(spark, d, "events").select(F.get_json_object("props", "$.k").alias("value")).where("value <> ''").distinct().select(F.lit("k").alias("field"), "value")
     return roles.unionByName(k)
 
@@ -144,7 +145,7 @@ def nested_distinct(spark, d):
 def nested_sort(spark, d):
     keyed = F.transform("turns", lambda t: F.struct((-F.length(t["text"])).alias("n"), t["turn"].alias("turn"), t["role"].alias("role")))
     label = F.transform(F.slice(F.array_sort(keyed), 1, 3), lambda t: F.concat(t["role"], F.lit(" ("), (-t["n"]).cast("string"), F.lit(")")))
-    return dialogues(spark, d).select("conv_id", F.array_join(label, ", ").alias("longest"))
+    return dialogues(spark, d, "role", "text").select("conv_id", F.array_join(label, ", ").alias("longest"))
 
 
 @query("json_flatten", "SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events")
@@ -152,9 +153,11 @@ def json_flatten(spark, d):
     return read(spark, d, "events").select("event_id", F.from_json("props", "k BIGINT")["k"].alias("k"))
 
 
-@query("role_coverage", "SELECT event_type, count(*) AS n, count(*) FILTER (value > 20) AS flagged, round((100.0 * count(*) FILTER (value > 20)::DOUBLE / count(*)::DOUBLE)::DECIMAL(18,6), 1)::DOUBLE AS share FROM events GROUP BY 1")
+@query("role_coverage", """WITH u AS (SELECT user_id, list(DISTINCT event_type) AS roles, max(value) AS best FROM events GROUP BY user_id), e AS (SELECT unnest(roles) AS role, best FROM u)
+  SELECT role, count(*) AS n, count(*) FILTER (best > 90) AS flagged, round((100.0 * count(*) FILTER (best > 90)::DOUBLE / count(*)::DOUBLE)::DECIMAL(18,6), 1)::DOUBLE AS share FROM e GROUP BY role""")
 def role_coverage(spark, d):
-    c = read(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 20).alias("flagged"))
+    u = read(spark, d, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("roles"), F.max("value").alias("best"))
+    c = u.select(F.explode("roles").alias("role"), "best").groupBy("role").agg(F.count("*").alias("n"), F.count_if(F.col("best") > 90).alias("flagged"))
     return c.withColumn("share", F.round((100.0 * F.col("flagged").cast("double") / F.col("n").cast("double")).cast("decimal(18,6)"), 1).cast("double"))
 
 
@@ -172,23 +175,28 @@ _WORD = "split_part(text, ' ', 1)"
 @query("benchmark_people", f"SELECT key, min(word) AS name, count(DISTINCT conv_id) AS films, count(*) AS turns FROM (SELECT conv_id, {_WORD} AS word, regexp_replace({_UN.format(_WORD)}, '[^a-z0-9]', '', 'g') AS key FROM conversations) WHERE key <> '' GROUP BY key HAVING count(DISTINCT conv_id) >= 2")
 def benchmark_people(spark, d):
     word = F.substring_index("text", " ", 1)
-    people = dialogues(spark, d).select("conv_id", F.explode("turns.text").alias("text")).select("conv_id", word.alias("word"), tx.alnum_key(word).alias("key")).where("key <> ''")
+    people = dialogues(spark, d, "text").select("conv_id", F.explode("turns.text").alias("text")).select("conv_id", word.alias("word"), tx.alnum_key(word).alias("key")).where("key <> ''")
     return people.groupBy("key").agg(F.min("word").alias("name"), F.count_distinct("conv_id").alias("films"), F.count("*").alias("turns")).where("films >= 2")
 
 
 # Titles and names
 
 
-@query("title_dedup", "SELECT p_partkey, p_name AS title FROM part")
+@query("title_dedup", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_name || ' ' || p_type ELSE p_name END AS title FROM part")
 def title_dedup(spark, d):
-    return read(spark, d, "part").select("p_partkey", tx.undoubled(F.concat_ws(" ", "p_name", F.upper("p_name"))).alias("title"))
+    kind = F.col("p_partkey") % 3
+    shown = F.when(kind == 0, F.concat_ws("  ", "p_name", F.upper("p_name"))).when(kind == 1, F.concat_ws(" ", "p_name", "p_type")).otherwise(F.col("p_name"))
+    return read(spark, d, "part").select("p_partkey", tx.undoubled(shown).alias("title"))
 
 
-@query("title_variants", """SELECT DISTINCT p_partkey, v AS variant FROM (SELECT p_partkey, unnest([p_name || ', ' || p_type, p_type || ' ' || p_name, regexp_replace(p_name || ', ' || p_type, '[^A-Za-z0-9 ]', '', 'g'), p_name]) AS v FROM part)""")
+@query("title_variants", """WITH t AS (SELECT p_partkey, 'la ' || p_name || ': Ñu ' || p_brand AS a, p_name || ': Ñu ' || p_brand || ' , la' AS b FROM part),
+  w AS (SELECT *, trim(regexp_replace(regexp_replace(x, '[:#,]', ' ', 'g'), '\\s+', ' ', 'g')) AS y FROM (SELECT p_partkey, unnest([a, b]) AS x, a, b FROM t)),
+  f AS (SELECT p_partkey, [a, b, (list(y) FILTER (x = a))[1], (list(y) FILTER (x = b))[1]] AS v FROM w GROUP BY p_partkey, a, b),
+  g AS (SELECT p_partkey, v, list_transform(v, lambda x: translate(x, 'Ñ', 'N')) AS u FROM f)
+  SELECT p_partkey, array_to_string(v || u || [upper(v[1]), upper(v[2])] || [split_part(v[1], ':', 1), split_part(v[2], ':', 1), upper(split_part(v[1], ':', 1)), upper(split_part(v[2], ':', 1))], '|') AS variants FROM g""")
 def title_variants(spark, d):
-    t = F.concat_ws(", ", "p_name", "p_type")
-    forms = F.array(t, F.regexp_replace(t, r"^([^,]*), (.*)$", "$2 $1"), F.regexp_replace(t, "[^A-Za-z0-9 ]", ""), F.substring_index(t, ",", 1))
-    return read(spark, d, "part").select("p_partkey", F.explode(F.array_distinct(forms)).alias("variant"))
+    shown = F.concat("p_name", F.lit(": Ñu "), "p_brand", F.lit(" (2019), la Entertainment"))
+    return read(spark, d, "part").select("p_partkey", F.array_join(tx.title_variants(shown), "|").alias("variants"))
 
 
 @query("name_norm", " UNION ALL ".join(f"SELECT '{t}' AS origin, {k} AS id, split_part({n}, '#', 2) || ' ' || lower(split_part({n}, '#', 1)) AS name FROM {t}" for t, k, n in (("supplier", "s_suppkey", "s_name"), ("customer", "c_custkey", "c_name"))))
@@ -266,15 +274,21 @@ def candidate_confidence(spark, d):
     return tb.best_row(rows, ["title"], [F.col("grade"), F.desc("s"), F.col("found")]).select("title", "found", "grade")
 
 
-@query("name_score", f"SELECT s_suppkey, c_custkey, {ROUND4.format('0.5 + least(greatest(c_acctbal, 0.0) / 500000.0, 0.05)')} AS score FROM supplier JOIN customer ON split_part(s_name, '#', 2) = split_part(c_name, '#', 2)")
+_DIGIT = "right(s_name, 2)"
+
+
+@query("name_score", f"""WITH s AS (SELECT s_suppkey, {_DIGIT} AS tail, 'De ' || {_DIGIT} || ' Roca, Ana' AS asked, ['de', {_DIGIT}, 'roca', 'ana'] AS x FROM supplier),
+  c AS (SELECT c_custkey, c_acctbal, right(c_name, 2) AS tail, CASE c_custkey % 3 WHEN 0 THEN ['ana', 'de', right(c_name, 2), 'roca'] WHEN 1 THEN ['ana', right(c_name, 2), 'roca'] ELSE ['pep', right(c_name, 2)] END AS y FROM customer)
+  SELECT s_suppkey, c_custkey, {ROUND4.format("least(1.0, CASE WHEN len(y) = 4 THEN 1.0 ELSE len(list_intersect(x, y))::DOUBLE / greatest(len(x), len(y)) END + least(c_acctbal / 500.0, 0.05))")} AS score
+  FROM s JOIN c USING (tail) WHERE CASE WHEN len(y) = 4 THEN 1.0 ELSE len(list_intersect(x, y))::DOUBLE / greatest(len(x), len(y)) END + least(c_acctbal / 500.0, 0.05) >= 0.4""")
 def name_score(spark, d):
-    word = lambda c: F.replace(F.lower(c), F.lit("#"), F.lit(" "))
-    s = read(spark, d, "supplier").select("s_suppkey", word("s_name").alias("a"), F.substring_index("s_name", "#", -1).alias("last"))
-    c = read(spark, d, "customer").select("c_custkey", "c_acctbal", word("c_name").alias("b"), F.substring_index("c_name", "#", -1).alias("last"))
-    turned = F.regexp_replace("b", r"^(\S+) (\S+)$", "$2 $1")
-    best = F.greatest(tx.token_overlap(F.col("a"), F.col("b")), tx.token_overlap(F.col("a"), turned))
-    score = best + F.least(F.greatest("c_acctbal", F.lit(0.0)) / 500000.0, F.lit(0.05))
-    return s.join(c, "last").where(best >= 0.4).select("s_suppkey", "c_custkey", round4(score).alias("score"))
+    tail = lambda c: F.substring(c, -2, 2)
+    s = read(spark, d, "supplier").select("s_suppkey", tail("s_name").alias("tail"), F.concat(F.lit("De "), tail("s_name"), F.lit(" Roca, Ana")).alias("asked"))
+    kind = F.col("c_custkey") % 3
+    name = F.when(kind == 0, F.concat(F.lit("Ana de "), "tail", F.lit(" Roca"))).when(kind == 1, F.concat(F.lit("Ana "), "tail", F.lit(" ROCA"))).otherwise(F.concat(F.lit("Pep "), "tail"))
+    c = read(spark, d, "customer").select("c_custkey", "c_acctbal", tail("c_name").alias("tail")).withColumn("name", name)
+    score = F.least(F.lit(1.0), tx.person_score(F.col("asked"), F.col("name")) + F.least(F.col("c_acctbal") / 500, F.lit(0.05)))
+    return s.join(c, "tail").select("s_suppkey", "c_custkey", round4(score).alias("score")).where("score >= 0.4")
 
 
 @query("resolved_status", """SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN CASE WHEN quality = 1 THEN 'matched' ELSE 'no_sheet' END WHEN item_id IS NOT NULL THEN 'matched' WHEN n_chars > 5000 THEN 'pending' ELSE 'review' END AS status,
@@ -317,9 +331,11 @@ def stub_fill(spark, d):
 
 
 def fuzzy_candidates(spark, d):
-    head = lambda c: tx.title_key(F.substring(c, 1, 60)).alias("key")
-    asked = read(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), head("text"))
-    return fuzzy.fuzzy_candidates(asked, read(spark, d, "documents").select(F.col("doc_id").alias("id"), head("text")))
+    """The parts' names, misspelt and with brand and type about them, among names and brands; parts that are bound already are not asked for."""
+    known = read(spark, d, "part").select(F.col("p_partkey").alias("id"), tx.title_key(F.concat_ws(" ", "p_name", "p_brand")).alias("key"))
+    asked = read(spark, d, "part").select(F.col("p_partkey").alias("query_id"), tx.title_key(F.concat_ws(" ", "p_brand", F.translate("p_name", "aeo", "e"), "p_type")).alias("key"))
+    bound = read(spark, d, "labels").select(F.col("doc_id").alias("query_id"))
+    return fuzzy.fuzzy_candidates(fuzzy.unresolved(asked, bound, known), known)
 
 
 QUERIES["fuzzy_candidates"] = fuzzy_candidates
