@@ -1,4 +1,8 @@
 import random
+import re
+import textwrap
+
+import pytest
 
 from boxmetrics.llm import license as lic
 
@@ -6,42 +10,84 @@ from ..conftest import MEDIUM
 from .cases import AWKWARD, docs
 
 
+def blocks(text):
+    """Blocks of lines up to blank ones, without signs of comments."""
+    out = [[]]
+    for line in text.split("\n"):
+        line = re.sub(r"^[ \t]*(/\*+|\*+/|\*+|//+|#+|;+|--+|%+)?[ \t]*(\*/)?[ \t]*\r?$", "", line)
+        line = re.sub(r"^[ \t]*(/\*+|\*+|//+|#+|;+|--+|%+)[ \t]*", "", line)
+        if line.strip(" \t\r"):
+            out[-1].append(line)
+        elif out[-1]:
+            out.append([])
+    return [b for b in out if b]
+
+
 def brute(rows, model):
-    """Every line of every text scored in Python, without anchors."""
+    """Every block and line of every text scored in Python, without anchors."""
     out = []
     for i, t in rows:
-        for n, line in enumerate((t or "").split("\n")):
-            p = model.probabilities(line)
-            k = max(range(len(p)), key=p.__getitem__)
-            f = model.classes[k]
-            if f != lic.UNKNOWN and p[k] >= model.accept:
-                known = lic.grams_of(lic.words_of(line)) & model.weights.keys()
-                share = max(len(g & known) / len(g) for s in [*lic.NAMES[f], *lic.SENTENCES.get(f, [])] if (g := lic.grams_of(lic.words_of(s))))
-                out.append((i, n, f, round(p[k], 9), share >= 0.8))
+        for n, lines in enumerate(blocks(t or "")):
+            units = [(None, "\n".join(lines)), *(enumerate(lines) if len(lines) > 1 else ())]
+            scored = {}
+            for at, text in units:
+                p = model.probabilities(text)
+                k = max(range(len(p)), key=p.__getitem__)
+                f = model.classes[k]
+                ok = f != lic.UNKNOWN and p[k] >= model.accept
+                known = lic.grams_of(lic.words_of(text)) & model.weights.keys()
+                share = lambda ts, known=known: max((len(g & known) / len(g) for s in ts if (g := lic.grams_of(lic.words_of(s)) & model.weights.keys())), default=0)
+                wording = share(lic.SENTENCES.get(f, [])) if ok else 0
+                if ok or re.search(lic.SPEAKS, text):
+                    scored[at] = (ok, f if ok else lic.UNKNOWN, p[k], wording, max(wording, share(lic.NAMES[f]) if ok else 0))
+            whole = scored.get(None)
+            lines_ok = {at: s for at, s in scored.items() if at is not None and s[0]}
+            kept = {None: whole} if whole and whole[0] and whole[3] >= 0.8 else lines_ok or ({None: whole} if whole else {})
+            out += [(i, n, at, f, round(p, 9), c >= 0.8) for at, (_, f, p, _, c) in kept.items()]
     return sorted(out, key=str)
 
 
+def scanned(spark, rows, model=None):
+    return sorted(((r.doc_id, r.paragraph, r.line, r.family, round(r.probability, 9), r.confirmed) for r in lic.scan(docs(spark, rows), model).collect()), key=str)
+
+
 def test_scan_equals_brute_force_so_anchors_lose_nothing(spark):
     model = lic.train()
     rng = random.Random(1)
     vocabulary = sorted({w for g in model.weights for w in g.split()} | set(lic.STOP))
-    rows = [(i, "\n".join(" ".join(rng.choices(vocabulary, k=rng.randint(0, 14))) for _ in range(6))) for i in range(150)]
+    rows = [(i, "\n".join(rng.choice(["", "# ", " * "]) + " ".join(rng.choices(vocabulary, k=rng.randint(0, 14))) for _ in range(6))) for i in range(150)]
     rows += [(1000 + n, t) for n, (t, _) in enumerate(lic.training_notices()[::7])]
-    got = sorted(((r.doc_id, r.paragraph, r.family, round(r.probability, 9), r.confirmed) for r in lic.scan(docs(spark, rows), model).collect()), key=str)
-    want = brute(rows, model)
+    got, want = scanned(spark, rows, model), brute(rows, model)
     assert got == want and len(want) > 60
 
 
+@pytest.mark.parametrize("width", [60, 72, 79])
+def test_wrapped_texts_are_found_whole(spark, width):
+    rows, want = [], []
+    for n, (family, sentences) in enumerate(lic.SENTENCES.items()):
+        body = "\n * ".join(textwrap.wrap(" ".join(sentences).capitalize() + ".", width))
+        rows.append((n, f"/*\n * Copyright 2020 Somebody\n *\n * {body}\n */\n\nint main() {{\n return 0; }}"))
+        want.append((n, 1, None, family, True))
+    got = [(i, p, at, f, c) for i, p, at, f, _, c in scanned(spark, rows)]
+    assert sorted(got) == want
+
+
 def test_query_finds_the_notices_and_nothing_else(spark):
-    got = {(r.doc_id, r.paragraph): r for r in lic.op9_license_scan(spark, MEDIUM).collect()}
+    rows = lic.op9_license_scan(spark, MEDIUM).collect()
+    got = {(r.doc_id, r.paragraph, r.line): r for r in rows}
+    assert len(got) == len(rows)
     signs = {"Apache License": "apache", "MIT License": "mit", "GNU General Public License": "gpl", "CC BY": "cc"}
     want = {}
     for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").collect():
-        for n, line in enumerate((r.text or "").split("\n")):
-            for sign, family in signs.items():
-                if sign in line:
-                    want[r.doc_id, n] = family
-    assert {k: r.family for k, r in got.items()} == want and all(r.confirmed for r in got.values()) and want
+        for n, lines in enumerate(blocks(r.text or "")):
+            for at, line in enumerate(lines):
+                for sign, family in signs.items():
+                    if sign in line:
+                        want[r.doc_id, n, at if len(lines) > 1 else None] = family
+    known = {k: r for k, r in got.items() if r.family != lic.UNKNOWN}
+    assert {k: r.family for k, r in known.items()} == want and all(r.confirmed for r in known.values()) and want
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").collect()}
+    assert all(re.search(lic.SPEAKS, texts[i]) for (i, _, _), r in got.items() if r.family == lic.UNKNOWN)
 
 
 def test_unknown_is_calibrated():
@@ -51,8 +97,13 @@ def test_unknown_is_calibrated():
         assert max(p[:-1]) < model.accept
 
 
+def test_a_licence_of_no_known_family_is_reported_as_unknown(spark):
+    rows = [(1, "Released under the Quux Community Pact."), (2, "The film was released in May."), (3, "All rights reserved.\nby the owners")]
+    assert [(i, f) for i, _, _, f, _, _ in scanned(spark, rows)] == [(1, "unknown"), (3, "unknown")]
+
+
 def test_awkward_rows(spark):
-    rows = [*AWKWARD, (60, "x\n\nReleased under the MIT License."), (60, "x\n\nReleased under the MIT License."), (None, "GNU GPL")]
-    got = sorted(((str(r.doc_id), r.paragraph, r.family) for r in lic.scan(docs(spark, rows)).collect()))
-    assert got == [("60", 2, "mit"), ("60", 2, "mit"), ("None", 0, "gpl")]
+    rows = [*AWKWARD, (60, "x\n\nReleased under the MIT License."), (60, "x\n\nReleased under the MIT License."), (None, "GNU GPL"), (61, "y\nLicensed under the MIT License.\nz")]
+    got = sorted(((str(r.doc_id), r.paragraph, r.line, r.family) for r in lic.scan(docs(spark, rows)).collect()), key=str)
+    assert got == [("60", 1, None, "mit"), ("60", 1, None, "mit"), ("61", 0, 1, "mit"), ("None", 0, None, "gpl")]
     assert lic.scan(docs(spark, [])).count() == 0
