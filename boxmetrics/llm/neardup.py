@@ -1,11 +1,16 @@
-"""Near copies by word shingles: candidates from MinHash bands, then an exact Jaccard check.
+"""Near copies by word shingles: candidates from covering SimHash and MinHash bands, then an exact Jaccard check.
 
 Two texts are near copies if their sets of five-word shingles (lowered words; a
-shorter text is one shingle) have a Jaccard similarity of at least 0.8. A pair
-at 0.8 shares none of 40 bands of 6 minima with probability (1 - 0.8^6)^40,
-under 6 in a million, and one above it less often; no other pair is lost. Equal
+shorter text is one shingle) have a Jaccard similarity of at least 0.8. Equal
 word sequences are merged first, so texts without words are copies of each other.
 
+The first candidates are those of the covering SimHash operator: fingerprints of
+the five-word shingles within its radius of three bits. At a similarity of 0.8
+fingerprints differ at about ten of 64 bits, and masks that cover such a radius
+would be as many as the pairs, so a second source takes what lies further apart:
+a pair at 0.8 shares none of 40 bands of 6 minima with probability
+(1 - 0.8^6)^40, under 6 in a million, and one above it less often.
+
 Buckets are not compared all with all. Their members are checked against a
 leader, and what is linked is joined into components; where several components
 still meet in a bucket, its texts are brought together and the members of
@@ -25,7 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lowered_words, staged
+from . import simhash
+from .common import free_name, lowered_words, staged
 from .components import connected_components
 
 WIDTH = 5
@@ -51,9 +57,12 @@ def near(a: set[bytes], b: set[bytes]) -> bool:
     return 9 * len(a & b) >= 4 * (len(a) + len(b))
 
 
-def band_keys(grams: set[bytes]) -> list[int]:
-    """A signed 64-bit key a band; the band's number is part of it."""
-    hashes = np.array([xxhash.xxh64_intdigest(g, SEED) for g in grams], dtype=np.uint64)
+def gram_hashes(grams: set[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(g, SEED) for g in grams], dtype=np.uint64)
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """A signed 64-bit key a band from the hashes of the shingles; the band's number is part of it."""
     minima = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), _SLICE):
         np.minimum(minima, ((hashes[None, at : at + _SLICE] ^ _MIX) * _ODD).min(axis=1), out=minima)
@@ -62,17 +71,19 @@ def band_keys(grams: set[bytes]) -> list[int]:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, doc_id, text) to (row, doc_id, node, n, bands): node names the word sequence, n counts its shingles."""
+    """(row, doc_id, text) to (row, doc_id, node, n, fp, bands): node names the word sequence, n counts its shingles, fp is their SimHash."""
     for batch in batches:
-        nodes, sizes, bands = [], [], []
+        nodes, sizes, prints, bands = [], [], [], []
         for t in batch.column(2).cast(pa.binary()).to_pylist():
             words = lowered_words(t or b"")
             grams = shingles(words)
             nodes.append(xxhash.xxh64_intdigest(b" ".join(words), SEED + 1))
             sizes.append(len(grams))
-            bands.append(band_keys(grams) if grams else [])
-        columns = [batch.column(0), batch.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(bands, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, [ROW, "doc_id", "node", "n", "bands"])
+            hashes = gram_hashes(grams)
+            prints.append(simhash.majority(hashes))
+            bands.append(band_keys(hashes) if grams else [])
+        columns = [batch.column(0), batch.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(bands, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, [ROW, "doc_id", "node", "n", "fp", "bands"])
 
 
 def _by_bucket(body: Callable[..., Iterator[pa.RecordBatch]]):
@@ -178,24 +189,38 @@ def near_links(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     return staged(both.select("a", "b", "first", "second").mapInArrow(_alike, "a long, b long"), "near-links")
 
 
+def covering_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, fp) from the covering SimHash operator: of equal fingerprints, and of linked ones."""
+    first = nodes.groupBy("fp").agg(F.min("node").alias("first"))
+    alike = nodes.join(first, "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    links = simhash.near_links(first.select("fp"))
+    ends = links.join(first.toDF("a", "x"), "a").join(first.toDF("b", "y"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return alike.union(ends)
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns: of each group of near copies the row with the smallest doc_id.
 
     Rows are told apart by a key of their own, so one with a null doc_id stays
     unless its text has a copy; it is kept last. A null text counts as empty.
+    Of repeated rows one stays. An empty table gives no rows.
     """
-    rows = staged(docs.withColumn(ROW, F.monotonically_increasing_id()), "near-rows")
-    own = staged(rows.select(ROW, "doc_id", F.col("text").cast("string")).mapInArrow(_signatures, f"{ROW} long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, n int, bands array<long>"), "near-own")
+    key = free_name(docs.columns, ROW)
+    rows = staged(docs.withColumn(key, F.monotonically_increasing_id()), "near-rows")
+    keyed = rows.select(F.col(key).alias(ROW), "doc_id", F.col("text").cast("string").alias("text"))
+    own = staged(keyed.mapInArrow(_signatures, f"{ROW} long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, n int, fp long, bands array<long>"), "near-own")
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", ROW)
-    nodes = staged(own.groupBy("node").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(order).alias("best")), "near-nodes")
+    nodes = staged(own.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(order).alias("best")), "near-nodes")
 
     dealt = nodes.select(F.explode("bands").alias("key"), "node", "n").repartition("key").sortWithinPartitions("key")
     live = staged(dealt.mapInArrow(_by_bucket(_led), "key long, node long, n int, leader long, leader_n int"), "near-live")
     alike = 5 * F.least("n", "leader_n") >= 4 * F.greatest("n", "leader_n")
-    led = live.where("node <> leader").where(alike).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    shown = live.select("node").distinct().join(nodes.select("node", F.col(f"best.{ROW}").alias(ROW)), "node")
-    bodies = staged(rows.select(ROW, F.col("text").cast("string")).join(shown, ROW).select("node", F.coalesce("text", F.lit("")).alias("text")), "near-bodies")
-    links = near_links(led, bodies)
+    led = live.where("node <> leader").where(alike).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    pairs = staged(led.union(covering_pairs(nodes.where("n > 0").select("node", "fp"))).distinct(), "near-pairs")
+    seen = live.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    shown = seen.join(nodes.select("node", F.col(f"best.{ROW}").alias(ROW)), "node")
+    bodies = staged(keyed.select(ROW, "text").join(shown, ROW).select("node", F.coalesce("text", F.lit("")).alias("text")), "near-bodies")
+    links = near_links(pairs, bodies)
 
     roots = connected_components(links)
     placed = live.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"), "node")
@@ -207,4 +232,4 @@ def keep_first(docs: DataFrame) -> DataFrame:
         roots = connected_components(links.union(more))
 
     firsts = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
-    return rows.join(firsts.select(F.col(f"best.{ROW}").alias(ROW)), ROW, "left_semi").select(*docs.columns)
+    return rows.join(firsts.select(F.col(f"best.{ROW}").alias(key)), key, "left_semi").select(*docs.columns)

@@ -45,8 +45,12 @@ def fingerprint(data: bytes, width: int = WIDTH, seed: int = SEED) -> int:
     ends = (ends - 1).tolist()
     k = min(width, len(words))
     view, digest = memoryview(joined), xxhash.xxh64_intdigest
-    hashes = np.array([digest(view[a:b], seed) for a, b in zip(starts, ends[k - 1 :], strict=False)], dtype="<u8")
-    columns = hashes.view(np.uint8).reshape(-1, 8)
+    return majority(np.array([digest(view[a:b], seed) for a, b in zip(starts, ends[k - 1 :], strict=False)], dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the 64-bit hashes; 0 without any."""
+    columns = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
     counts = np.concatenate([np.bincount(columns[:, i], minlength=256) @ _BITS for i in range(8)])
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 

@@ -274,7 +274,12 @@ def score_toxicity(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, th
 
 
 def keep_ordinary(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, size: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs``, all columns, that score below ``threshold``; nothing is shuffled."""
+    """The rows of ``docs``, all columns, that score below ``threshold``; nothing is shuffled.
+
+    Rows are judged one by one by their text, a null one as empty: null ids and
+    repeated rows stay as many as they are. Without labels of both classes, and
+    of an empty table, nothing is taken away.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(train_classifier(train_docs, labels, size))
     at = docs.columns.index("text")
 
