@@ -2,13 +2,15 @@
 
 Symbols are the most frequent training words (up to HEAD of them), the end of a
 text, and TAIL classes of all other words by their last bytes. Baum-Welch runs
-over all training texts: each task sums expected counts for its texts, Spark
-adds them up by symbol, and the driver receives one row a symbol, a bound that
-does not depend on the corpus. A word of a tail class has the class's
-probability times its share (c + 0.5) within the class, where one unknown word
-a class stands for all others; so the model is a distribution over words.
-Word counts are aggregated by Spark and joined to the texts' tail words by key;
-no vocabulary is ever gathered.
+over all training texts, whole: each task sums expected counts for its texts,
+Spark adds them up by symbol, and the driver receives one row a symbol, a bound
+that does not depend on the corpus. The parameters are first updated after each
+of SLICES parts of the texts, which brings them near a maximum in one pass, then
+after all texts at once, until the likelihood gains less than GAIN. A word of a
+tail class has the class's probability times its share (c + 0.5) within the
+class, where one unknown word a class stands for all others; so the model is a
+distribution over words. Word counts are aggregated by Spark and joined to the
+texts' tail words by key; no vocabulary is ever gathered.
 """
 
 from __future__ import annotations
@@ -28,8 +30,9 @@ from .common import lowered_words, remainder, staged, table
 STATES = 8
 HEAD = 1 << 16
 TAIL = 256
-ROUNDS = 3
-CHUNK = 512
+SLICES = 4
+GAIN = 0.002  # of the log likelihood; a smaller one ends the rounds
+CHUNK = 512  # steps whose vectors are held at a time; no text is cut
 SMOOTHING = 20.0
 
 
@@ -98,59 +101,77 @@ class Symbols(dict):
         return out
 
 
-def _chunked(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All symbols in a row, with the begin and length of each chunk, longest first."""
-    begins, sizes, at = [], [], 0
-    for d in docs:
-        for c in range(0, len(d), CHUNK):
-            begins.append(at + c)
-            sizes.append(min(CHUNK, len(d) - c))
-        at += len(d)
-    order = np.argsort(-np.array(sizes), kind="stable")
-    return np.concatenate(docs), np.array(begins)[order], np.array(sizes)[order]
-
-
 def expected_counts(docs: list[np.ndarray], pi: np.ndarray, move: np.ndarray, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Baum-Welch sums of many texts at once: starts, moves, (symbol, state) uses, log likelihood.
 
-    Texts are cut into chunks of CHUNK symbols that all start from ``pi``.
-    ``emit`` has a row a symbol. All chunks take a step together; shorter ones
-    drop out as the step passes their end.
+    ``emit`` has a row a symbol. All texts take a step together; shorter ones
+    drop out as the step passes their end. Only CHUNK steps are held at a time:
+    a first sweep keeps the forward vector at the begin of each stretch, the
+    second goes from the last stretch to the first, runs each forward again and
+    then backward, and hands the backward vector on to the one before.
     """
-    flat, begins, sizes = _chunked(docs)
-    k, steps = len(pi), int(sizes[0])
-    live = [int(np.searchsorted(-sizes, -t, side="left")) for t in range(steps)]  # chunks longer than t
-    alphas, scales = [], []
-    a = None
-    for t in range(steps):
-        n = live[t]
-        e = emit[flat[begins[:n] + t]]
-        a = (pi if a is None else a[:n] @ move) * e
+    sizes = np.array([len(d) for d in docs])
+    order = np.argsort(-sizes, kind="stable")
+    flat, begins, sizes = np.concatenate(docs), (np.cumsum(sizes) - sizes)[order], sizes[order]
+    k, longest = len(pi), int(sizes[0])
+    live = lambda t: int(np.searchsorted(-sizes, -t, side="left"))  # texts longer than t
+    symbols = lambda t, n: flat[begins[:n] + t]
+
+    def step(a: np.ndarray | None, t: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        a = (pi if a is None else a[:n] @ move) * emit[symbols(t, n)]
         s = a.sum(axis=1)
-        a = a / s[:, None]
-        alphas.append(a)
-        scales.append(s)
-    uses = np.zeros((emit.shape[0], k))
-    moves = np.zeros((k, k))
-    beta = None
-    cells, weights = [], []
-    for t in range(steps - 1, -1, -1):
-        n = live[t]
-        b = np.ones((n, k))
-        if t + 1 < steps:
-            m = live[t + 1]
-            onward = emit[flat[begins[:m] + t + 1]] * beta / scales[t + 1][:, None]
-            b[:m] = onward @ move.T
-            moves += alphas[t][:m].T @ onward
-        gamma = alphas[t] * b
-        cells.append(flat[begins[:n] + t])
-        weights.append(gamma)
-        beta = b
-    first = weights[-1].sum(axis=0)
-    cells, weights = np.concatenate(cells), np.concatenate(weights)
-    for i in range(k):
-        uses[:, i] = np.bincount(cells, weights=weights[:, i], minlength=emit.shape[0])
-    return first, moves * move, uses, float(sum(np.log(s).sum() for s in scales))
+        return a / s[:, None], s
+
+    entering: list[np.ndarray | None] = [None]  # the forward vectors at the end of the stretch before
+    for begin in range(0, longest - CHUNK, CHUNK):
+        a, n = entering[-1], live(begin + CHUNK)
+        for t in range(begin, begin + CHUNK):
+            a, _ = step(a, t, n)
+        entering.append(a)
+
+    uses, moves, first, ll = np.zeros((emit.shape[0], k)), np.zeros((k, k)), np.zeros(k), 0.0
+    cells: list[np.ndarray] = []
+    weights: list[np.ndarray] = []
+    held = 0
+
+    def put_down() -> None:
+        nonlocal held
+        if cells:
+            at, w = np.concatenate(cells), np.concatenate(weights)
+            for i in range(k):
+                uses[:, i] += np.bincount(at, weights=w[:, i], minlength=len(uses))
+        cells.clear()
+        weights.clear()
+        held = 0
+
+    onward = None  # of the step after: emission times backward vector, scaled
+    for begin in range((longest - 1) // CHUNK * CHUNK, -1, -CHUNK):
+        alphas, scales = [], []
+        a = entering.pop()
+        for t in range(begin, min(begin + CHUNK, longest)):
+            a, s = step(a, t, live(t))
+            alphas.append(a)
+            scales.append(s)
+        for t in range(begin + len(alphas) - 1, begin - 1, -1):
+            a, s = alphas[t - begin], scales[t - begin]
+            b = np.ones_like(a)
+            if onward is not None:
+                m = len(onward)
+                b[:m] = onward @ move.T
+                moves += a[:m].T @ onward
+            x = symbols(t, len(a))
+            gamma = a * b
+            cells.append(x)
+            weights.append(gamma)
+            held += len(x)
+            if t == 0:
+                first = gamma.sum(axis=0)
+            onward = emit[x] * b / s[:, None]
+        ll += float(sum(np.log(s).sum() for s in scales))
+        if held > 1_000_000:
+            put_down()
+    put_down()
+    return first, moves * move, uses, ll
 
 
 def log_likelihoods(docs: list[np.ndarray], pi: np.ndarray, move: np.ndarray, emit: np.ndarray) -> np.ndarray:
@@ -229,11 +250,11 @@ class Model:
         self.emit = (uses + SMOOTHING * self.share[:, None]) / (uses.sum(axis=0) + SMOOTHING)
 
 
-_GROUP = 400_000
+_GROUP, _LONG = 400_000, 3_000_000
 
 
 def encoded(docs: DataFrame, head: np.ndarray) -> DataFrame:
-    """``docs`` (doc_id, same, learn, text) with the text's symbols as 32-bit integers in its place."""
+    """``docs`` (doc_id, same, learn, text) with the text's symbols (32-bit) and the keys of its tail words (64-bit) in its place."""
     sent = docs.sparkSession.sparkContext.broadcast(head)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,26 +262,36 @@ def encoded(docs: DataFrame, head: np.ndarray) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                out = [symbols.of(lowered_words(t)).tobytes() for t in part.column(3).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(out, pa.binary())], ["doc_id", "same", "learn", "symbols"])
-
-    return docs.mapInArrow(run, "doc_id long, same long, learn boolean, symbols binary")
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
-    """Rows whose last column is encoded, some at a time: about _GROUP symbols."""
-    rows, docs, n = [], [], 0
+                out, keys = [], []
+                for t in part.column(3).cast(pa.binary()).to_pylist():
+                    words = lowered_words(t)
+                    found = symbols.of(words)
+                    out.append(found.tobytes())
+                    rare = np.flatnonzero(found >= symbols.first_tail).tolist()
+                    keys.append(np.fromiter((word_key(words[j]) for j in rare), np.int64, len(rare)).tobytes())
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(out, pa.binary()), pa.array(keys, pa.binary())], ["doc_id", "same", "learn", "symbols", "rare"])
+
+    return docs.mapInArrow(run, "doc_id long, same long, learn boolean, symbols binary, rare binary")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], limit: int = _GROUP, long_limit: int = _LONG) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
+    """Rows whose last column is encoded, some at a time: about ``limit`` symbols; texts of over CHUNK by themselves, ``long_limit`` at a time."""
+    held: list[tuple[list, list]] = [([], []), ([], [])]
+    sizes, limits = [0, 0], (limit, long_limit)
     for batch in batches:
         *ids, seqs = (c.to_pylist() for c in batch.columns)
         for row, s in zip(zip(*ids, strict=True) if ids else ((),) * len(seqs), seqs, strict=True):
-            rows.append(row)
-            docs.append(np.frombuffer(s, np.int32))
-            n += len(docs[-1])
-            if n > _GROUP:
-                yield rows, docs
-                rows, docs, n = [], [], 0
-    if docs:
-        yield rows, docs
+            doc = np.frombuffer(s, np.int32)
+            kind = int(len(doc) > CHUNK)
+            held[kind][0].append(row)
+            held[kind][1].append(doc)
+            sizes[kind] += len(doc)
+            if sizes[kind] > limits[kind]:
+                yield held[kind]
+                held[kind], sizes[kind] = ([], []), 0
+    for group in held:
+        if group[1]:
+            yield group
 
 
 def baum_welch_round(learned: DataFrame, model: Model) -> float:
@@ -297,9 +328,19 @@ def baum_welch_round(learned: DataFrame, model: Model) -> float:
 
 
 def start_model(counts: DataFrame, texts_seen: int, states: int = STATES, head: int = HEAD) -> Model:
-    """Symbols and first parameters from the word counts: the ``head`` commonest words that occur twice."""
+    """Symbols and first parameters from the word counts: the commonest words that occur twice, ``head`` at most.
+
+    A histogram of the counts tells from which count on the words are no more
+    than ``head``; words of one count are taken all or none.
+    """
     total = counts.agg(F.sum("n"), F.count("*")).first()
-    top = counts.where("n > 1").orderBy(F.desc("n"), "key").limit(head).select("key", "tail", "n").collect()
+    room, least = head, None
+    for r in counts.where("n > 1").groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        room -= r.words
+        if room < 0:
+            break
+        least = r.n
+    top = counts.where(F.col("n") >= F.lit(least)).select("key", "tail", "n").orderBy("key").collect() if least else []
     mass = np.full(TAIL, 0.5)
     for r in counts.groupBy("tail").agg((F.sum("n") + 0.5 * F.count("*")).alias("m")).collect():
         mass[r["tail"]] += float(r.m)
@@ -309,10 +350,28 @@ def start_model(counts: DataFrame, texts_seen: int, states: int = STATES, head:
     return Model(keys, numbers, mass, int(total[0] or 0) + texts_seen, int(total[1]) + (texts_seen > 0), texts_seen, states)
 
 
+def train(learned: DataFrame, model: Model, gain: float = GAIN, slices: int = SLICES) -> list[float]:
+    """Baum-Welch until the likelihood settles; the log likelihoods before each round over all texts.
+
+    The first pass updates after each of ``slices`` parts of the texts, by a
+    hash. All further rounds are over all of them, so the counts that the model
+    ends with are those of all texts.
+    """
+    part = F.pmod(F.xxhash64("same", "doc_id"), F.lit(slices))
+    for i in range(slices if slices > 1 else 0):
+        baum_welch_round(learned.where(part == i), model)
+    seen: list[float] = []
+    while len(seen) < 2 or seen[-1] - seen[-2] > gain * abs(seen[-2]):
+        seen.append(baum_welch_round(learned, model))
+        if not seen[-1]:  # no texts
+            break
+    return seen
+
+
 # ---------------------------------------------------------------- scoring
 
 
-def score_texts(docs: DataFrame, learn: Column, states: int = STATES, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
+def score_texts(docs: DataFrame, learn: Column, states: int = STATES, head: int = HEAD, gain: float = GAIN) -> DataFrame:
     """One row (doc_id, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
 
     The model learns from the rows where ``learn`` is true. ``base_score`` is
@@ -324,12 +383,11 @@ def score_texts(docs: DataFrame, learn: Column, states: int = STATES, head: int
     """
     own = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
     own = own.select("doc_id", F.xxhash64("text").alias("same"), "learn", "text")
-    train = own.where("learn")
-    counts = staged(word_counts(train), "hmm-counts")
-    model = start_model(counts, train.count(), states, head)
+    learned = own.where("learn")
+    counts = staged(word_counts(learned), "hmm-counts")
+    model = start_model(counts, learned.count(), states, head)
     sequences = staged(encoded(own, model.head), "hmm-symbols")
-    for _ in range(rounds):
-        baum_welch_round(sequences.where("learn"), model)
+    train(sequences.where("learn"), model, gain)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,7 +395,7 @@ def score_texts(docs: DataFrame, learn: Column, states: int = STATES, head: int
         tail0 = len(m.head) + 1
         known = np.concatenate([[m.texts_seen], m.counts])
         logs = np.log10(np.concatenate([known + 0.5, m.tail_mass]))
-        for rows, texts_ in _groups(batches):
+        for rows, texts_ in _groups(batches, long_limit=_GROUP):
             ll = log_likelihoods(texts_, m.pi, m.move, m.emit) / math.log(10)
             out = []
             for r, d, x in zip(rows, texts_, ll.tolist(), strict=True):
@@ -348,25 +406,19 @@ def score_texts(docs: DataFrame, learn: Column, states: int = STATES, head: int
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["doc_id", "same", "n_tokens", "head_known", "head_log", "model_log"])
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = Symbols(sent.value.head)
         for batch in batches:
-            ids: list = []
-            sames: list = []
-            keys: list = []
-            times: list = []
-            for d, s, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), strict=True):
-                w = lowered_words(t)
-                rare = Counter([w[i] for i in np.flatnonzero(symbols.of(w) >= symbols.first_tail).tolist()])
-                ids += [d] * len(rare)
-                sames += [s] * len(rare)
-                keys += map(word_key, rare)
-                times += rare.values()
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sames, pa.int64()), pa.array(keys, pa.int64()), pa.array(times, pa.int32())], ["doc_id", "same", "key", "times"])
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                found = [np.unique(np.frombuffer(b, np.int64), return_counts=True) for b in part.column(2).to_pylist()]
+                each = np.array([len(k) for k, _ in found], np.int64)
+                at = pa.array(np.repeat(np.arange(part.num_rows), each))
+                keys, times = (np.concatenate([f[j] for f in found]) if found else np.zeros(0, np.int64) for j in (0, 1))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(keys), pa.array(times.astype(np.int32))], ["doc_id", "same", "key", "times"])
 
     scored = sequences.select("doc_id", "same", "symbols").mapInArrow(forward, "doc_id long, same long, n_tokens long, head_known long, head_log double, model_log double")
     # rows that are equal have equal words: they are looked up once
     repeats = not sequences.groupBy("doc_id", "same").count().where("count > 1").isEmpty()
-    rare = own.select("doc_id", "same", "text")
+    rare = sequences.select("doc_id", "same", "rare")
     rare = (rare.dropDuplicates(["doc_id", "same"]) if repeats else rare).mapInArrow(tails, "doc_id long, same long, key long, times int")
     looked = rare.join(counts.select("key", "n"), "key", "left").withColumn("c", F.coalesce("n", F.lit(0)))
     by_text = looked.groupBy("doc_id", "same").agg(F.sum(F.col("times") * F.log10(F.col("c") + 0.5)).alias("tail_log"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("tail_known"))

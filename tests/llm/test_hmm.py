@@ -49,10 +49,13 @@ def test_forward_is_exact(monkeypatch):
     assert np.allclose(hmm.log_likelihoods(long, pi, move, emit), [forward(s, pi, move, emit) for s in long])
 
 
-def test_expected_counts_equal_brute_force():
+@pytest.mark.parametrize("chunk", [512, 1, 2, 3])
+def test_expected_counts_equal_brute_force(monkeypatch, chunk):
+    """However few steps are held at a time, no text is cut."""
+    monkeypatch.setattr(hmm, "CHUNK", chunk)
     rng = np.random.default_rng(4)
     pi, move, emit = model(rng)
-    seqs = [rng.integers(0, 6, n).astype(np.int32) for n in (1, 4, 5)]
+    seqs = [rng.integers(0, 6, n).astype(np.int32) for n in (1, 4, 5, 6, 2)]
     first, moves, uses, ll = hmm.expected_counts(seqs, pi, move, emit)
     f2, m2, u2 = np.zeros(3), np.zeros((3, 3)), np.zeros((6, 3))
     for s in seqs:
@@ -96,7 +99,7 @@ def test_query_base_and_held_out_gain(spark):
 
 def test_awkward_rows(spark):
     frame = docs(spark, AWKWARD)
-    got = [tuple(r) for r in hmm.score_texts(frame, ~(hmm.remainder("doc_id", 5) == 1), rounds=1).collect()]
+    got = [tuple(r) for r in hmm.score_texts(frame, ~(hmm.remainder("doc_id", 5) == 1), gain=1.0).collect()]
     want = brute_base(AWKWARD)
     same([(g[0], None, *g[1:]) for g in got], [(w[0], None, *w[2:]) for w in want])
     assert all(math.isfinite(g[5]) for g in got)
@@ -106,6 +109,53 @@ def test_awkward_rows(spark):
     assert (alone.n_tokens, alone.n_known, alone.train_tokens) == (3, 0, 0) and math.isfinite(alone.score)
 
 
+def test_score_is_the_models_probability_of_the_text(spark):
+    """The whole query by plain code: head words and classes, Baum-Welch by the same schedule, forward over the text."""
+    rng = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(60)] + ["x"]
+    rows = [(i, " ".join(rng.choices(vocabulary, weights=[1 / (j + 1) for j in range(61)], k=rng.randint(0, 30)))) for i in range(120)] + [(200, "never seen words")]
+    frame = docs(spark, rows)
+    learn = F.col("doc_id") < 100
+    got = {r.doc_id: r.score for r in hmm.score_texts(frame, learn, states=2, head=10, gain=0.05).collect()}
+    train = [t.encode().split() for i, t in rows if i < 100]
+    c = Counter(w for ws in train for w in ws)
+    by_count = sorted({n for n in c.values() if n > 1}, reverse=True)
+    least = max((n for n in by_count if sum(v >= n for v in c.values()) <= 10), key=lambda n: sum(v >= n for v in c.values()))
+    head = sorted((w for w in c if c[w] >= least), key=hmm.word_key)
+    mass = np.full(hmm.TAIL, 0.5)
+    for w in c:
+        if w not in head:
+            mass[hmm.tail_class(w)] += c[w] + 0.5
+    m = hmm.Model(np.array([hmm.word_key(w) for w in head]), np.array([float(c[w]) for w in head]), mass, sum(c.values()) + 100, len(c) + 1, 100, 2)
+    symbol = lambda w: head.index(w) + 1 if w in head else len(head) + 1 + hmm.tail_class(w)
+    seqs = {i: np.array([*map(symbol, t.encode().split()), 0], np.int32) for i, t in rows}
+    keyed = frame.select("doc_id", F.pmod(F.xxhash64(F.xxhash64(F.coalesce("text", F.lit(""))), "doc_id"), F.lit(hmm.SLICES)).alias("part")).collect()
+    part = {r.doc_id: r.part for r in keyed}
+    for k in range(hmm.SLICES):
+        m.update(*hmm.expected_counts([seqs[i] for i in seqs if i < 100 and part[i] == k], m.pi, m.move, m.emit)[:3])
+    seen = []
+    while len(seen) < 2 or seen[-1] - seen[-2] > 0.05 * abs(seen[-2]):
+        *sums, ll = hmm.expected_counts([seqs[i] for i in seqs if i < 100], m.pi, m.move, m.emit)
+        m.update(*sums)
+        seen.append(ll)
+    for i, t in rows:
+        score = forward(seqs[i], m.pi, m.move, m.emit) / math.log(10)
+        for w in t.encode().split():
+            if w not in head:  # its share of its class
+                score += math.log10(c[w] + 0.5) - math.log10(mass[hmm.tail_class(w)])
+        assert got[i] == pytest.approx(score, rel=1e-6), (i, t)
+
+
+def test_rounds_go_on_until_the_likelihood_settles(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(["aa bb", "cc dd", "ee ff", "gg"], k=12))) for i in range(60)]
+    frame = docs(spark, rows)
+    m = hmm.start_model(hmm.word_counts(frame.select("text")), 60, states=3, head=8)
+    seqs = hmm.encoded(frame.select("doc_id", F.lit(0).cast("long").alias("same"), F.lit(True).alias("learn"), "text"), m.head)
+    seen = hmm.train(seqs, m, gain=1e-3, slices=2)
+    assert seen == sorted(seen) and len(seen) > 2 and seen[-1] - seen[-2] <= 1e-3 * abs(seen[-2]) < seen[1] - seen[0] + 1
+
+
 def test_words_of_a_class_sum_to_one(spark):
     rng = random.Random(1)
     rows = [(i, " ".join(rng.choices(["aa", "bb", "cc", "dd", "eee", "fff"], k=5))) for i in range(30)]
