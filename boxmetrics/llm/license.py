@@ -6,9 +6,9 @@ for a short notice within other text. A multinomial logistic
 regression over word unigrams and bigrams (present or not) is trained on notices
 made from the templates below, a bounded set, on the driver: names in phrases,
 texts whole and in pieces, and each with the words of others about it. Scanning
-uses built-in functions alone. The anchor words that select units before the
-features are built are chosen from the weights so that no unit without one could
-reach the accepting probability: nothing is lost by them. The accepting
+uses built-in functions alone. A unit without any of the cues below, bits
+of words of which every notice has one, is unknown; so most texts are passed over
+before they are cut into units. The accepting
 probability is calibrated on notices that training did not see. A unit whose best
 class falls short of it is unknown; one that speaks of a licence all the same is
 reported as unknown. A prediction is confirmed when a template of its family (its
@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,6 +91,8 @@ OTHERS = [
     "licensed under our own terms", "you may use this file", "this file is part of a project", "mozilla foundation", "gnu project", "apache helicopter", "mit professors", "the affero company", "sold under license", "license fee for public use",
     "the software is sold with a warranty of two years", "without warranty the phone costs less", "copies of the book are free of charge", "the above notice was posted at the door", "permission to enter is granted to any person with a ticket", "provided as is on a best effort basis", "see the license for details", "the following conditions are met by all members", "the names of its contributors are listed below", "redistribution of income and wealth", "in no event shall the match be played at night",
 ]
+# Bits of lowered text of which a notice has one at least.
+CUES = ["licens", "licenc", "copyright", "permission", "warrant", "redistribut", "rights reserved", "public domain", "released under", "distributed under", "software", "gnu", "gpl", "apache", "bsd", "mozilla", "mpl 2", "mpl-2", "cc by", "cc0", "creative commons", "bsl-", "zlib", "epl-", "eupl", "artistic", "spdx"]
 UNKNOWN = "unknown"
 LEAST = 0.7  # accepting probability at least
 CONFIRMED = 0.8  # of a template's grams
@@ -140,6 +143,8 @@ class Model:
         self.classes, self.weights, self.bias, self.accept = classes, weights, bias, accept
 
     def probabilities(self, text: str) -> list[float]:
+        if not any(c in text.lower() for c in CUES):
+            return [float(c == UNKNOWN) for c in self.classes]
         z = list(self.bias)
         for g in grams_of(words_of(text)):
             for k, w in enumerate(self.weights.get(g, ())):
@@ -148,32 +153,6 @@ class Model:
         e = [math.exp(v - top) for v in z]
         return [v / sum(e) for v in e]
 
-    def anchors(self) -> list[str]:
-        """Words of which an accepted paragraph must hold one.
-
-        A family's odds against unknown cannot exceed its bias plus the positive
-        gains of the grams present. Words leave with all their grams, largest
-        gain first, until what is left cannot reach the accepting odds.
-        """
-        u = self.classes.index(UNKNOWN)
-        need = math.log(self.accept / (1 - self.accept))
-        out: set[str] = set()
-        for k in range(len(self.classes)):
-            if k == u:
-                continue
-            gains = {g: w[k] - w[u] for g, w in self.weights.items() if w[k] > w[u]}
-            while True:
-                left = {g: x for g, x in gains.items() if out.isdisjoint(g.split())}
-                if self.bias[k] - self.bias[u] + sum(left.values()) < need - 1e-6:
-                    break
-                by_word: dict[str, float] = {}
-                for g, x in left.items():
-                    for w in g.split():
-                        if w not in STOP:
-                            by_word[w] = by_word.get(w, 0.0) + x
-                out.add(max(sorted(by_word), key=by_word.get))
-        return sorted(out)
-
 
 def train(rounds: int = 300, rate: float = 2.0, ridge: float = 0.002) -> Model:
     """Batch gradient descent on the notices; every fourth is kept for calibrating the accepting probability."""
@@ -226,6 +205,11 @@ def _grams(words: Column) -> Column:
 SPEAKS = r"(?i)licen[cs]ed under|released under|distributed under the terms|spdx-license-identifier|permission (?:is hereby granted|to use, copy)|redistribution and use|all rights reserved"
 
 
+def has_cue(text: Column) -> Column:
+    low = F.lower(text)
+    return reduce(lambda a, b: a | b, [low.contains(c) for c in CUES])
+
+
 def units(text: Column) -> Column:
     """The text's units as structs (paragraph, line, text): blocks of lines with line -1, and the lines of blocks of several.
 
@@ -255,10 +239,8 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     model = model or train()
-    anchors = "|".join(re.escape(a) for a in model.anchors())
-    near = rf"(?i)(?<![a-z0-9])(?:{anchors})(?![a-z0-9])"
-    hot = F.filter(units(F.col("text")), lambda u: u["text"].rlike(near) | u["text"].rlike(SPEAKS))
-    found = texts(docs).where(F.col("text").rlike(near) | F.col("text").rlike(SPEAKS)).withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", F.explode(hot).alias("p"))
+    hot = F.filter(units(F.col("text")), lambda u: has_cue(u["text"]))
+    found = texts(docs).where(has_cue(F.col("text"))).withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", F.explode(hot).alias("p"))
     found = found.select("row", "doc_id", "p.paragraph", "p.line", F.col("p.text").rlike(SPEAKS).alias("speaks"), _grams(_words(F.col("p.text"))).alias("grams"))
     k = len(model.classes)
     # one row a template gram: a size fixed by the templates
