@@ -123,6 +123,11 @@ def last_weekend(today: Column) -> Column:
     return F.struct(F.date_sub(sunday, 2).alias("start"), sunday.alias("end"))
 
 
+def weekend_start(day: Column) -> Column:
+    """The Friday of the weekend the day lies in; null for Monday to Thursday."""
+    return F.when(F.weekday(day) >= 4, F.date_sub(day, F.weekday(day) - 4))
+
+
 def weekend_of(day: Column) -> Column:
     """The Friday on or before the day."""
     return F.date_sub(day, F.pmod(F.weekday(day) + 3, F.lit(7)))

@@ -127,7 +127,7 @@ SYNOPSES = ["Sinopsis en Castellano:", "Sinopsis en Inglés:"]
 
 def film_page(pages: DataFrame, id_col: str, html: str) -> DataFrame:
     """One row per page with a title: all fields of the film, nested where it has lists."""
-    page = pages.select(F.col(id_col), F.col(html).alias("_html"), ht.element(F.col(html), "h2").alias("title")).where("title IS NOT NULL")
+    page = pages.select(F.col(id_col), F.col(html).alias("_html"), F.nullif(inner_text(F.regexp_extract(F.col(html), r"(?is)<h2\b[^>]*>(.*?)</h2>", 1)), F.lit("")).alias("title")).where("title IS NOT NULL")
     page = page.withColumns({"_labels": labels(F.col("_html")), "_tables": tables(F.col("_html"))})
     at = {n: label_value(F.col("_labels"), name) for n, name in LABELS.items()}
     found = F.col("_tables")
@@ -224,6 +224,12 @@ def harvest(dump: DataFrame, text: str, known: DataFrame) -> DataFrame:
     return ids.join(titled, "id", "left").select("id", F.coalesce("title", F.lit("Unknown Title")).alias("title"))
 
 
+def new_finds(dump: DataFrame, text: str, existing: DataFrame) -> DataFrame:
+    """What a harvest has that is not in ``existing`` (id) yet."""
+    none = existing.limit(0)
+    return harvest(dump, text, none).join(existing.select(F.col("id").cast("string").alias("id")), "id", "left_anti")
+
+
 # ---------------------------------------------------------------- answers of a film service, as JSON
 
 NAMED = "array<struct<name:string>>"

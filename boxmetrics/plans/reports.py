@@ -436,3 +436,63 @@ def page_ids(spark, d):
     kind, i = F.col("page_id") % 4, F.col("page_id").cast("string")
     url = F.when(kind == 0, F.concat(F.lit("/f?x=1&Pelicula="), i)).when(kind == 1, F.concat(F.lit("/a/Caratulas/"), i, F.lit("/big"))).when(kind == 2, F.concat(F.lit("/p/P"), i, F.lit(".pdf"))).otherwise(F.col("url").substr(1, 0))
     return read(spark, d, "pages").select("page_id", pg.id_of_url(url).alias("id"))
+
+
+# ---------------------------------------------------------------- ingest
+
+
+@query("expected_weekend", """WITH d AS (SELECT DISTINCT ts::DATE AS day FROM events), w AS (SELECT day, (day - (isodow(day))::INT)::DATE AS sunday FROM d), k AS (SELECT DISTINCT event_type, ts::DATE AS on_day FROM events WHERE value > 97)
+  SELECT day, sunday - 2 AS friday, sunday, coalesce(string_agg(kind, ',' ORDER BY kind) FILTER (NOT seen), '') AS missing FROM (SELECT day, sunday, kind, EXISTS (SELECT 1 FROM k WHERE event_type = kind AND on_day BETWEEN sunday - 2 AND sunday) AS seen FROM w, (SELECT unnest(['purchase', 'signup']) AS kind)) GROUP BY day, sunday""")
+def expected_weekend(spark, d):
+    """For each day the last weekend that is over, and which of the two reports for it are not there."""
+    from boxmetrics.functions import dates as dt
+
+    e = read(spark, d, "events").select("event_type", F.to_date("ts").alias("day"), "value")
+    w = e.select("day").distinct().select("day", dt.last_weekend(F.col("day")).alias("w")).select("day", F.col("w.start").alias("friday"), F.col("w.end").alias("sunday"))
+    loaded = e.where("value > 97").select("event_type", dt.weekend_start(F.col("day")).alias("friday")).where("friday IS NOT NULL").groupBy("friday").agg(F.collect_set("event_type").alias("got"))
+    kinds = F.array(F.lit("purchase"), F.lit("signup"))
+    missing = F.array_except(kinds, F.coalesce("got", F.array().cast("array<string>")))
+    return w.join(loaded, "friday", "left").select("day", "friday", "sunday", F.array_join(F.array_sort(missing), ",").alias("missing"))
+
+
+@query("last_wins", "WITH k AS (SELECT lower(p_name) AS key, max(p_partkey) AS id FROM part GROUP BY 1) SELECT p_partkey, id FROM part JOIN k ON key = lower(p_name)")
+def last_wins(spark, d):
+    """Each part with the last of its key: of several the largest id."""
+    p = read(spark, d, "part").select("p_partkey", tx.alnum_key(F.col("p_name")).alias("key"))
+    last = tb.best_row(p, ["key"], [F.desc("p_partkey")]).select("key", F.col("p_partkey").alias("id"))
+    return p.join(last, "key").select("p_partkey", "id")
+
+
+@query("exploded_counts", "SELECT role AS person, count(DISTINCT conv_id) AS films, count(*) AS credits FROM conversations WHERE nullif(trim(text), '') IS NOT NULL GROUP BY role HAVING count(*) >= 2")
+def exploded_counts(spark, d):
+    """Films and credits of a person over nested lists; the credits decide who is listed, blank ones aside."""
+    from boxmetrics.plans.records import dialogues
+
+    c = dialogues(spark, d, "role", "text").select("conv_id", F.explode("turns").alias("t")).where(F.nullif(F.trim("t.text"), F.lit("")).isNotNull())
+    return c.groupBy(F.col("t.role").alias("person")).agg(F.count_distinct("conv_id").alias("films"), F.count("*").alias("credits")).where("credits >= 2")
+
+
+@query("sentinels", "SELECT c_custkey, coalesce(CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END, 'none') AS land, c_name FROM customer")
+def sentinels(spark, d):
+    from boxmetrics.sources import files
+
+    c = read(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("land"), "c_name")
+    return files.fill_missing(c, {"land": "none"})
+
+
+@query("whole_documents", "SELECT l_orderkey, count(*) AS lines FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE NOT coalesce(l_discount < 0.09, false)) GROUP BY 1")
+def whole_documents(spark, d):
+    """Orders all of whose lines are good: one bad line takes back its order."""
+    from boxmetrics.streaming import ingest
+
+    lines = read(spark, d, "lineitem").select("l_orderkey", "l_discount")
+    return ingest.each_whole(lines, "l_orderkey", F.col("l_discount") < 0.09).groupBy("l_orderkey").agg(F.count("*").alias("lines"))
+
+
+@query("array_values", "SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS roles, list_sort(list(DISTINCT event_type))[1] AS first, len(list(event_type)) AS n FROM events GROUP BY user_id")
+def array_values(spark, d):
+    """Arrays joined, sorted, indexed and counted."""
+    half = lambda k: F.collect_list(F.when(F.col("event_id") % 2 == k, F.col("event_type")))
+    u = read(spark, d, "events").groupBy("user_id").agg(half(0).alias("a"), half(1).alias("b"))
+    roles = F.array_sort(F.array_union("a", "b"))
+    return u.select("user_id", F.array_join(roles, ",").alias("roles"), F.element_at(roles, 1).alias("first"), F.size(F.concat("a", "b")).cast("long").alias("n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,19 +25,40 @@ def incomplete(seen: DataFrame, period: str, kind: str, expected: list[str]) ->
     return got.select(period, F.array_join(F.array_sort(missing), ",").alias("missing"))
 
 
+KEY_PARTS = 64
+
+
 def ingest_available(spark: SparkSession, folder: str, schema: StructType, target: str, state: str, keys: list[str], fmt: str = "json") -> None:
     """Load the files of ``folder`` that earlier calls have not, then stop.
 
     Every micro-batch is written to its own partition, which a repeated batch
-    overwrites; rows whose keys are in an earlier batch are left out.
+    overwrites; rows whose keys are in an earlier batch are left out. What is
+    known is a table of key hashes beside the target, in parts by hash: a batch
+    reads the parts that its own keys fall into, not all that was ever loaded.
     """
+    known = f"{target}-keys"
+    part = F.pmod(F.xxhash64(*keys), F.lit(KEY_PARTS)).cast("int")
 
     def load(batch: DataFrame, number: int) -> None:
-        rows = batch.dropDuplicates(keys)
-        if number:
-            earlier = spark.read.parquet(target).where(F.col("batch") < number)
-            rows = rows.join(earlier.select(*keys), keys, "left_anti")
-        rows.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        rows = batch.dropDuplicates(keys).withColumn("_part", part).persist()
+        try:
+            parts = [r[0] for r in rows.select("_part").distinct().collect()]  # KEY_PARTS at most
+            if number and parts:
+                earlier = spark.read.parquet(known).where(F.col("part").isin(parts) & (F.col("batch") < number)).select(*keys)
+                new = rows.join(earlier, keys, "left_anti")
+            else:
+                new = rows
+            new.drop("_part").write.mode("overwrite").parquet(f"{target}/batch={number}")
+            taken = spark.read.parquet(f"{target}/batch={number}").select(*keys).withColumn("part", part).withColumn("batch", F.lit(number))
+            taken.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "batch").parquet(known)
+        finally:
+            rows.unpersist()
 
     stream = spark.readStream.format(fmt).schema(schema).load(folder)
     stream.writeStream.foreachBatch(load).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+
+
+def each_whole(documents: DataFrame, key: str, valid: Column) -> DataFrame:
+    """The rows of documents all of whose rows are valid: one bad row takes back its document, and no other."""
+    bad = documents.where(~F.coalesce(valid, F.lit(False))).select(key).distinct()
+    return documents.join(bad, key, "left_anti")
