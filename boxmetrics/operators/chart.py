@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def weekly_chart(facts: DataFrame, size: int = 25) -> DataFrame:
+# Places of a chart, weeks looked back on, weeks from which there are statistics and levels, deviations of a level.
+SIZE, LAST, LEAST, FULL, WIDTH = 25, 52, 4, 8, 1.5
+
+
+def weekly_chart(facts: DataFrame, size: int = SIZE) -> DataFrame:
     """Facts (film, day, revenue, spectators, venue) to the ``size`` best films of each week.
 
     Adds rank within the week, and per film the chart week's number and running totals.
@@ -72,7 +76,7 @@ def segments(chart: DataFrame) -> DataFrame:
     return chart.groupBy("week").agg(between(1, 1).alias("top1"), between(2, 3).alias("top3"), between(4, 5).alias("top5"), between(6, 1 << 30).alias("rest"))
 
 
-def segment_stats(shares: DataFrame, last: int = 52, least: int = 4, full: int = 8) -> DataFrame:
+def segment_stats(shares: DataFrame, last: int = LAST, least: int = LEAST, full: int = FULL) -> DataFrame:
     """Mean, sample deviation and quartiles of the top share over the last weeks.
 
     Mean and deviation are rounded before anyone uses them. Fewer than ``least``
@@ -86,7 +90,7 @@ def segment_stats(shares: DataFrame, last: int = 52, least: int = 4, full: int =
     return stats.select("weeks", F.when(known, F.col("mean")).alias("mean"), F.when(known, F.col("deviation")).alias("deviation"), *[F.when(known, one(F.col("q")[i])).alias(f"p{p}") for i, p in enumerate((25, 50, 75))], (F.col("weeks") < full).alias("low_data"))
 
 
-def classify(shares: DataFrame, stats: DataFrame, width: float = 1.5) -> DataFrame:
+def classify(shares: DataFrame, stats: DataFrame, width: float = WIDTH) -> DataFrame:
     """Each week's top share against mean and deviation, refined by quartiles; no level where the weeks are too few.
 
     ``stats`` is the one row of :func:`segment_stats`.
