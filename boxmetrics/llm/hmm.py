@@ -32,7 +32,8 @@ HEAD = 1 << 16
 TAIL = 256
 SLICES = 4
 GAIN = 0.002  # of the log likelihood; a smaller one ends the rounds
-CHUNK = 512  # steps whose vectors are held at a time; no text is cut
+HELD = 2_200_000  # symbols whose vectors are held at once; more are run through CHUNK steps at a time
+CHUNK = 512
 SMOOTHING = 20.0
 
 
@@ -105,8 +106,8 @@ def expected_counts(docs: list[np.ndarray], pi: np.ndarray, move: np.ndarray, em
     """Baum-Welch sums of many texts at once: starts, moves, (symbol, state) uses, log likelihood.
 
     ``emit`` has a row a symbol. All texts take a step together; shorter ones
-    drop out as the step passes their end. Only CHUNK steps are held at a time:
-    a first sweep keeps the forward vector at the begin of each stretch, the
+    drop out as the step passes their end. Where all vectors are too many to
+    hold, only those of CHUNK steps are: a first sweep keeps the forward vector at the begin of each stretch, the
     second goes from the last stretch to the first, runs each forward again and
     then backward, and hands the backward vector on to the one before.
     """
@@ -122,10 +123,11 @@ def expected_counts(docs: list[np.ndarray], pi: np.ndarray, move: np.ndarray, em
         s = a.sum(axis=1)
         return a / s[:, None], s
 
+    chunk = longest if len(flat) <= HELD else CHUNK
     entering: list[np.ndarray | None] = [None]  # the forward vectors at the end of the stretch before
-    for begin in range(0, longest - CHUNK, CHUNK):
-        a, n = entering[-1], live(begin + CHUNK)
-        for t in range(begin, begin + CHUNK):
+    for begin in range(0, longest - chunk, chunk):
+        a, n = entering[-1], live(begin + chunk)
+        for t in range(begin, begin + chunk):
             a, _ = step(a, t, n)
         entering.append(a)
 
@@ -145,10 +147,10 @@ def expected_counts(docs: list[np.ndarray], pi: np.ndarray, move: np.ndarray, em
         held = 0
 
     onward = None  # of the step after: emission times backward vector, scaled
-    for begin in range((longest - 1) // CHUNK * CHUNK, -1, -CHUNK):
+    for begin in range((longest - 1) // chunk * chunk, -1, -chunk):
         alphas, scales = [], []
         a = entering.pop()
-        for t in range(begin, min(begin + CHUNK, longest)):
+        for t in range(begin, min(begin + chunk, longest)):
             a, s = step(a, t, live(t))
             alphas.append(a)
             scales.append(s)
@@ -167,9 +169,9 @@ def expected_counts(docs: list[np.ndarray], pi: np.ndarray, move: np.ndarray, em
             if t == 0:
                 first = gamma.sum(axis=0)
             onward = emit[x] * b / s[:, None]
+            if held > 1_000_000:
+                put_down()
         ll += float(sum(np.log(s).sum() for s in scales))
-        if held > 1_000_000:
-            put_down()
     put_down()
     return first, moves * move, uses, ll
 
@@ -250,7 +252,7 @@ class Model:
         self.emit = (uses + SMOOTHING * self.share[:, None]) / (uses.sum(axis=0) + SMOOTHING)
 
 
-_GROUP, _LONG = 400_000, 3_000_000
+_GROUP, _LONG = 400_000, 2_000_000
 
 
 def encoded(docs: DataFrame, head: np.ndarray) -> DataFrame:
