@@ -115,20 +115,25 @@ def expected_counts(docs: list[np.ndarray], pi: np.ndarray, move: np.ndarray, em
     order = np.argsort(-sizes, kind="stable")
     flat, begins, sizes = np.concatenate(docs), (np.cumsum(sizes) - sizes)[order], sizes[order]
     k, longest = len(pi), int(sizes[0])
+    pi, move, emit = (x.astype(np.float32) for x in (pi, move, emit))  # vectors are scaled at each step; sums are kept in 64 bits
+    back = np.ascontiguousarray(move.T)
     live = lambda t: int(np.searchsorted(-sizes, -t, side="left"))  # texts longer than t
     symbols = lambda t, n: flat[begins[:n] + t]
 
-    def step(a: np.ndarray | None, t: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        a = (pi if a is None else a[:n] @ move) * emit[symbols(t, n)]
-        s = a.sum(axis=1)
-        return a / s[:, None], s
+    def step(a: np.ndarray | None, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        a = e * pi if a is None else (a[: len(e)] @ move) * e
+        s = 1 / (a @ ones)
+        a *= s[:, None]
+        return a, s
+
+    ones = np.ones(k, np.float32)
 
     chunk = longest if len(flat) <= HELD else CHUNK
     entering: list[np.ndarray | None] = [None]  # the forward vectors at the end of the stretch before
     for begin in range(0, longest - chunk, chunk):
         a, n = entering[-1], live(begin + chunk)
         for t in range(begin, begin + chunk):
-            a, _ = step(a, t, n)
+            a, _ = step(a, emit[symbols(t, n)])
         entering.append(a)
 
     uses, moves, first, ll = np.zeros((emit.shape[0], k)), np.zeros((k, k)), np.zeros(k), 0.0
@@ -148,30 +153,34 @@ def expected_counts(docs: list[np.ndarray], pi: np.ndarray, move: np.ndarray, em
 
     onward = None  # of the step after: emission times backward vector, scaled
     for begin in range((longest - 1) // chunk * chunk, -1, -chunk):
-        alphas, scales = [], []
+        alphas, scales, cast = [], [], []
         a = entering.pop()
         for t in range(begin, min(begin + chunk, longest)):
-            a, s = step(a, t, live(t))
+            x = symbols(t, live(t))
+            e = emit[x]
+            a, s = step(a, e)
             alphas.append(a)
             scales.append(s)
-        for t in range(begin + len(alphas) - 1, begin - 1, -1):
-            a, s = alphas[t - begin], scales[t - begin]
-            b = np.ones_like(a)
+            e *= s[:, None]  # what the backward vector of this step is scaled by
+            cast.append((x, e))
+        ll -= float(sum(np.log(s.astype(np.float64)).sum() for s in scales))
+        while alphas:
+            a, (x, e) = alphas.pop(), cast.pop()
+            gamma = a
             if onward is not None:
                 m = len(onward)
-                b[:m] = onward @ move.T
+                b = onward @ back
                 moves += a[:m].T @ onward
-            x = symbols(t, len(a))
-            gamma = a * b
+                gamma = a.copy()
+                gamma[:m] *= b
+                e[:m] *= b
             cells.append(x)
             weights.append(gamma)
             held += len(x)
-            if t == 0:
-                first = gamma.sum(axis=0)
-            onward = emit[x] * b / s[:, None]
+            last, onward = gamma, e
             if held > 1_000_000:
                 put_down()
-        ll += float(sum(np.log(s).sum() for s in scales))
+        first = last.sum(axis=0, dtype=np.float64)
     put_down()
     return first, moves * move, uses, ll
 
