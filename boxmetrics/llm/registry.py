@@ -7,6 +7,7 @@ from .license import op9_license_scan
 from .mixing import op7_temperature_mix
 from .pii import op5_pii_weak
 from .quality import op6_quality_pu
+from .rules import OP13_SQL, op13_quality_quantiles
 from .simhash import op10_simhash_covering
 from .substring import OP8_SQL, op8_substring_countmin
 from .toxicity import op4_toxicity_zstd
@@ -22,5 +23,9 @@ QUERIES = {
     "op8_substring_countmin": op8_substring_countmin,
     "op9_license_scan": op9_license_scan,
     "op10_simhash_covering": op10_simhash_covering,
+    "op13_quality_quantiles": op13_quality_quantiles,
+}
+ORACLE = {
+    "op8_substring_countmin": OP8_SQL,
+    "op13_quality_quantiles": OP13_SQL,
 }
-ORACLE = {"op8_substring_countmin": OP8_SQL}
