@@ -7,6 +7,7 @@ from .license import op9_license_scan
 from .mixing import op7_temperature_mix
 from .pii import op5_pii_weak
 from .quality import op6_quality_pu
+from .ranked import OP12_SQL, op12_block_max
 from .rules import OP13_SQL, op13_quality_quantiles
 from .simhash import op10_simhash_covering
 from .substring import OP8_SQL, op8_substring_countmin
@@ -23,9 +24,11 @@ QUERIES = {
     "op8_substring_countmin": op8_substring_countmin,
     "op9_license_scan": op9_license_scan,
     "op10_simhash_covering": op10_simhash_covering,
+    "op12_block_max": op12_block_max,
     "op13_quality_quantiles": op13_quality_quantiles,
 }
 ORACLE = {
     "op8_substring_countmin": OP8_SQL,
+    "op12_block_max": OP12_SQL,
     "op13_quality_quantiles": OP13_SQL,
 }
