@@ -50,16 +50,16 @@ _BLOCK = pa.schema(
         ("block", pa.int64()),
         ("docs", pa.list_(pa.int64())),
         ("lens", pa.list_(pa.int64())),
-        ("terms", pa.list_(pa.binary())),
-        ("df", pa.list_(pa.int64())),
-        ("max_tf", pa.list_(pa.int64())),
-        ("min_len", pa.list_(pa.int64())),
-        ("ends", pa.list_(pa.int64())),
+        ("terms", pa.string()),  # of the block, a line each
+        ("df", pa.list_(pa.int8())),
+        ("max_tf", pa.list_(pa.int32())),
+        ("min_len", pa.list_(pa.int32())),
+        ("ends", pa.list_(pa.int32())),
         ("post_term", pa.list_(pa.int32())),
-        ("post_tf", pa.list_(pa.int64())),
+        ("post_tf", pa.list_(pa.int32())),
     ]
 )
-_BLOCK_DDL = "block long, docs array<long>, lens array<long>, terms array<binary>, df array<long>, max_tf array<long>, min_len array<long>, ends array<long>, post_term array<int>, post_tf array<long>"
+_BLOCK_DDL = "block long, docs array<long>, lens array<long>, terms string, df array<tinyint>, max_tf array<int>, min_len array<int>, ends array<int>, post_term array<int>, post_tf array<int>"
 
 
 def terms(data: bytes) -> list[bytes]:
@@ -92,14 +92,14 @@ class _Block:
     def row(self, block: int) -> dict:
         at, tf = np.array(self.post_term), np.array(self.post_tf)
         lens = np.repeat(self.lens, np.diff(self.ends, prepend=0))
-        max_tf, min_len = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), np.iinfo(np.int64).max)
+        max_tf, min_len = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), np.iinfo(np.int32).max, np.int64)
         np.maximum.at(max_tf, at, tf)
         np.minimum.at(min_len, at, lens)
         return {
             "block": block,
             "docs": self.docs,
             "lens": self.lens,
-            "terms": list(self.ids),
+            "terms": b"\n".join(self.ids).decode(),
             "df": np.bincount(at, minlength=len(self.ids)),
             "max_tf": max_tf,
             "min_len": min_len,
@@ -110,15 +110,17 @@ class _Block:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number, held = TaskContext.get().partitionId() << 32, _Block()
+    number, held, rows = TaskContext.get().partitionId() << 32, _Block(), []
     for batch in batches:
         for doc_id, text in zip(batch.column(0), batch.column(1).cast(pa.binary()), strict=True):
             counts = Counter(terms(text.as_py()))
             if counts:
                 held.add(doc_id.as_py(), counts)
             if held.full():
-                yield pa.RecordBatch.from_pylist([held.row(number)], _BLOCK)
+                rows.append(held.row(number))
                 number, held = number + 1, _Block()
+        yield pa.RecordBatch.from_pylist(rows, _BLOCK)
+        rows = []
     if held.docs:
         yield pa.RecordBatch.from_pylist([held.row(number)], _BLOCK)
 
@@ -146,7 +148,7 @@ def _queries(texts: list[str]) -> Queries:
     vocab: dict[bytes, int] = {}
     rows = [(vocab.setdefault(t, len(vocab)), q, n) for q, text in enumerate(texts) for t, n in Counter(terms(text.encode())).items()]
     flat = np.array(sorted(rows), np.int64).reshape(-1, 3)
-    return Queries(pa.array(vocab, pa.binary()), np.searchsorted(flat[:, 0], np.arange(len(vocab) + 1)), flat[:, 1], flat[:, 2], len(texts))
+    return Queries(pa.array([t.decode() for t in vocab], pa.string()), np.searchsorted(flat[:, 0], np.arange(len(vocab) + 1)), flat[:, 1], flat[:, 2], len(texts))
 
 
 def query_blocks(items: DataFrame, limit: int = QUERY_BYTES) -> Iterator[list[tuple[int | None, str]]]:
@@ -167,9 +169,9 @@ def document_counts(blocks: DataFrame, vocab) -> dict[int, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(len(vocab.value), np.int64)
-        for batch in batches:
-            at = np.concatenate([np.empty(0, np.int64), *_term_ids(vocab.value, batch.column(0))])
-            np.add.at(out, at[at >= 0], batch.column(1).flatten().to_numpy()[at >= 0])
+        for some in _groups(batches):
+            at = np.concatenate(_term_ids(vocab.value, some.column(0)))
+            np.add.at(out, at[at >= 0], some.column(1).flatten().to_numpy()[at >= 0].astype(np.int64))
         some = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(out[some])], ["term", "n"])
 
@@ -207,9 +209,9 @@ class _Forward:
         self.docs = row["docs"]
         ends, at = row["ends"].values.to_numpy(), row["post_term"].values.to_numpy()
         doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-        lens, keep = row["lens"].values.to_numpy(), ids[at] >= 0
+        lens, keep = _long(row["lens"]), ids[at] >= 0
         self.doc, self.term = doc[keep], ids[at[keep]]
-        self.gain = model.weight[self.term] * model.share(row["post_tf"].values.to_numpy()[keep], lens[self.doc])
+        self.gain = model.weight[self.term] * model.share(_long(row["post_tf"])[keep], lens[self.doc])
 
     def scores(self, repeats: np.ndarray, bound: int) -> np.ndarray:
         gains = self.gain * repeats[self.term]
@@ -244,8 +246,18 @@ class _Best:
 
 def _term_ids(vocab: pa.Array, column) -> list[np.ndarray]:
     """For each block of a batch its terms as numbers of query terms, or -1."""
-    flat = pc.index_in(column.flatten(), value_set=vocab).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-    return np.split(flat, np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))[:-1])
+    lines = pc.split_pattern(column, pattern="\n")
+    flat = pc.index_in(lines.flatten(), value_set=vocab).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.split(flat, np.cumsum(pc.list_value_length(lines).to_numpy(zero_copy_only=False))[:-1])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from (batch.slice(at, GROUP) for at in range(0, batch.num_rows, GROUP))
+
+
+def _long(values) -> np.ndarray:
+    return values.values.to_numpy().astype(np.int64)
 
 
 def _seeds(model, seeds: int):
@@ -255,15 +267,14 @@ def _seeds(model, seeds: int):
         m = model.value
         q = np.arange(m.queries.count)
         top, names = np.zeros((seeds, len(q)), np.int64), np.zeros((seeds, len(q)), np.int64)
-        for batch in batches:
-            for some in (batch.slice(at, GROUP) for at in range(0, batch.num_rows, GROUP)):
-                ids = _term_ids(m.queries.vocab, some.column("terms"))
-                new = np.stack([m.bounds(t, a.values.to_numpy(), b.values.to_numpy()) for t, a, b in zip(ids, some.column("max_tf"), some.column("min_len"), strict=True)])
-                both = np.concatenate([top, new])
-                order = np.argsort(-both, axis=0, kind="stable")[:seeds]
-                kept = names[np.minimum(order, seeds - 1), q]
-                names = np.where(order < seeds, kept, some.column("block").to_numpy()[np.maximum(order - seeds, 0)])
-                top = np.take_along_axis(both, order, axis=0)
+        for some in _groups(batches):
+            ids = _term_ids(m.queries.vocab, some.column("terms"))
+            new = np.stack([m.bounds(t, _long(a), _long(b)) for t, a, b in zip(ids, some.column("max_tf"), some.column("min_len"), strict=True)])
+            both = np.concatenate([top, new])
+            order = np.argsort(-both, axis=0, kind="stable")[:seeds]
+            kept = names[np.minimum(order, seeds - 1), q]
+            names = np.where(order < seeds, kept, some.column("block").to_numpy()[np.maximum(order - seeds, 0)])
+            top = np.take_along_axis(both, order, axis=0)
         found = top > 0
         where = np.broadcast_to(q, top.shape)[found]
         yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(names[found]), pa.array(top[found])], ["query", "block", "bound"])
@@ -281,28 +292,26 @@ def _scored(model, floors: np.ndarray, only=None):
         cuts = np.searchsorted(q.query[by_query], np.arange(q.count + 1))
         term_of = np.repeat(np.arange(len(q.vocab)), np.diff(q.start))
         best, repeats = _Best(q.count, floors), np.zeros(len(q.vocab), np.int64)
-        for batch in batches:
-            for begin in range(0, batch.num_rows, GROUP):
-                some = batch.slice(begin, GROUP)
-                rows = [{n: some.column(n)[i] for n in some.schema.names} for i in range(some.num_rows)]
-                ids = _term_ids(q.vocab, some.column("terms"))
-                bounds = np.stack([m.bounds(t, r["max_tf"].values.to_numpy(), r["min_len"].values.to_numpy()) for t, r in zip(ids, rows, strict=True)])
-                if only is not None:
-                    wanted = np.zeros(bounds.shape, bool)
-                    for i, r in enumerate(rows):
-                        wanted[i, only.value.get(r["block"].as_py(), [])] = True
-                    bounds[~wanted] = 0
-                ready: list[_Forward | None] = [None] * len(rows)
-                for k in np.flatnonzero(bounds.max(axis=0) >= best.floors):
-                    own = by_query[cuts[k] : cuts[k + 1]]
-                    repeats[term_of[own]] = q.repeats[own]
-                    for i in np.argsort(-bounds[:, k], kind="stable"):
-                        if bounds[i, k] < best.floors[k]:
-                            break
-                        if ready[i] is None:
-                            ready[i] = _Forward(m, ids[i], rows[i])
-                        best.add(k, ready[i].scores(repeats, bounds[i, k]), ready[i].docs)
-                    repeats[term_of[own]] = 0
+        for some in _groups(batches):
+            rows = [{n: some.column(n)[i] for n in some.schema.names} for i in range(some.num_rows)]
+            ids = _term_ids(q.vocab, some.column("terms"))
+            bounds = np.stack([m.bounds(t, _long(r["max_tf"]), _long(r["min_len"])) for t, r in zip(ids, rows, strict=True)])
+            if only is not None:
+                wanted = np.zeros(bounds.shape, bool)
+                for i, r in enumerate(rows):
+                    wanted[i, only.value.get(r["block"].as_py(), [])] = True
+                bounds[~wanted] = 0
+            ready: list[_Forward | None] = [None] * len(rows)
+            for k in np.flatnonzero(bounds.max(axis=0) >= best.floors):
+                own = by_query[cuts[k] : cuts[k + 1]]
+                repeats[term_of[own]] = q.repeats[own]
+                for i in np.argsort(-bounds[:, k], kind="stable"):
+                    if bounds[i, k] < best.floors[k]:
+                        break
+                    if ready[i] is None:
+                        ready[i] = _Forward(m, ids[i], rows[i])
+                    best.add(k, ready[i].scores(repeats, bounds[i, k]), ready[i].docs)
+                repeats[term_of[own]] = 0
         yield best.batch()
 
     return run

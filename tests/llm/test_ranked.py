@@ -98,7 +98,7 @@ def test_bounds_are_never_below_a_score_and_blocks_are_passed_over(spark):
             block.add(d, Counter(ranked.terms(t.encode())))
         if t and block.full():
             row = block.row(0)
-            ids = np.array([vocab.index(t) if t in vocab else -1 for t in row["terms"]])
+            ids = np.array([vocab.index(t) if t in vocab else -1 for t in row["terms"].split("\n")])
             bounds = model.bounds(ids, row["max_tf"], row["min_len"])
             table = ranked.pa.RecordBatch.from_pylist([row], ranked._BLOCK)
             forward = ranked._Forward(model, ids, {n: table.column(n)[0] for n in table.schema.names})
