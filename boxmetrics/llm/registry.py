@@ -8,6 +8,7 @@ from .mixing import op7_temperature_mix
 from .pii import op5_pii_weak
 from .quality import op6_quality_pu
 from .ranked import OP12_SQL, op12_block_max
+from .repair import op11_repair_layers
 from .rules import OP13_SQL, op13_quality_quantiles
 from .simhash import op10_simhash_covering
 from .substring import OP8_SQL, op8_substring_countmin
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_substring_countmin": op8_substring_countmin,
     "op9_license_scan": op9_license_scan,
     "op10_simhash_covering": op10_simhash_covering,
+    "op11_repair_layers": op11_repair_layers,
     "op12_block_max": op12_block_max,
     "op13_quality_quantiles": op13_quality_quantiles,
 }
