@@ -8,7 +8,7 @@ from .mixing import op7_temperature_mix
 from .pii import op5_pii_weak
 from .quality import op6_quality_pu
 from .ranked import OP12_SQL, op12_block_max
-from .repair import op11_repair_layers
+from .repair import OP11_SQL, op11_repair_layers
 from .rules import OP13_SQL, op13_quality_quantiles
 from .simhash import op10_simhash_covering
 from .substring import OP8_SQL, op8_substring_countmin
@@ -31,6 +31,7 @@ QUERIES = {
 }
 ORACLE = {
     "op8_substring_countmin": OP8_SQL,
+    "op11_repair_layers": OP11_SQL,
     "op12_block_max": OP12_SQL,
     "op13_quality_quantiles": OP13_SQL,
 }

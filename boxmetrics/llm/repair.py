@@ -449,3 +449,74 @@ def op11_repair_layers(spark, sf_dir: str) -> DataFrame:
     counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     nothing = hashlib.sha256(b"").hexdigest()
     return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(nothing)).alias("repaired_sha256"))
+
+
+def _crc_sql(text: str) -> str:
+    """CRC-32 of an ASCII text in DuckDB SQL, four bits at a time."""
+    steps = list(range(16))
+    for _ in range(4):
+        steps = [(c >> 1) ^ (0xEDB88320 if c & 1 else 0) for c in steps]
+    for_bits = lambda x: f"xor(({x}) >> 4, ({steps})[(({x}) & 15)::INT + 1]::BIGINT)"
+    byte = for_bits(for_bits("xor(c, b)"))
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda ch: ord(ch)::BIGINT)), lambda c, b: {byte}))"
+
+
+def _least_sql(*ways: str) -> str:
+    return f"list_min(list_filter([{', '.join(ways)}], lambda w: w IS NOT NULL))"
+
+
+def _way_sql(state: str, cost: int, letter: str, turn: str | None, when: str = "TRUE") -> str:
+    turns = f"list_append({state}.t, {turn})" if turn else f"{state}.t"
+    return f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost} + (CASE WHEN '{letter}' IN ('K', 'R') AND fault = 'truncated' THEN {TRUNCATED} ELSE 0 END), 'a': {state}.a || '{letter}', 't': {turns}}} END"
+
+
+def _step_sql() -> str:
+    """States before a turn (e, s, u2, a2) to those after it."""
+    kept, free = "role || ':' || text", "fault NOT IN ('blank', 'duplicate')"
+    lost = {x: _way_sql(x, DELETE, "D", None) for x in ("e", "s", "u2", "a2")}
+    user = [_way_sql(x, *how) for x in ("e", "s", "a2") for how in ((0, "K", kept, f"{free} AND letter = 'u'"), (REROLE, "R", "'user:' || text", free))]
+    other = [_way_sql("u2", *how) for how in ((0, "K", kept, f"{free} AND letter = 'a'"), (REROLE, "R", "'assistant:' || text", free))]
+    system = _way_sql("e", 0, "K", kept, f"{free} AND letter = 's'")
+    return f"{lost['e']} AS e, {_least_sql(lost['s'], system)} AS s, {_least_sql(lost['u2'], *user)} AS u, {_least_sql(lost['a2'], *other)} AS a"
+
+
+_USER_IN = _least_sql("u", *[_way_sql(x, INSERT, "I", "'user:'") for x in ("e", "s", "a")])
+_ASSISTANT_IN = _least_sql("a", _way_sql("u2", INSERT, "I", "'assistant:'"))
+_NULL_WAY = "NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[])"
+
+#: Row by row over all conversations at once: for each grammar state the least (cost, audit) that leads to it.
+OP11_SQL = f"""
+WITH RECURSIVE kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM damaged),
+marked AS (
+  SELECT *, substr(role, 1, 1) AS letter, regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g') AS solid,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM numbered),
+turns AS (
+  SELECT conv_id, turn, role, text, i, letter,
+    CASE WHEN solid = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    coalesce(lag(letter) OVER (PARTITION BY conv_id ORDER BY i) || letter NOT IN ('su', 'ua', 'au'), FALSE) AS bad FROM marked),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (bad) AS illegal, count(*) AS n
+  FROM turns GROUP BY conv_id),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': ''::VARCHAR, 't': []::VARCHAR[]}} AS e, {_NULL_WAY} AS s, {_NULL_WAY} AS u, {_NULL_WAY} AS a FROM counts
+  UNION ALL
+  SELECT conv_id, i, {_step_sql()} FROM (SELECT *, {_ASSISTANT_IN} AS a2 FROM (
+    SELECT w.conv_id, r.i, r.role, r.text, r.letter, r.fault, e, s, a, {_USER_IN} AS u2
+    FROM ways w JOIN turns r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = w.i + 1))),
+best AS (
+  SELECT conv_id, {_least_sql("e", "a2")} AS w FROM (SELECT *, {_ASSISTANT_IN} AS a2 FROM (
+    SELECT w.conv_id, '' AS fault, e, a, {_USER_IN} AS u2 FROM ways w JOIN counts c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n)))
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(w.c, 0) AS cost, coalesce(w.a, '') AS audit, sha256(coalesce(array_to_string(w.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
