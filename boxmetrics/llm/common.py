@@ -35,11 +35,11 @@ def shared_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

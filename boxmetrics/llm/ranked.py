@@ -37,6 +37,9 @@ BLOCK_DOCS = 4
 BLOCK_POSTINGS = 1 << 16
 #: Blocks of the highest bounds that are scored first, for each query.
 SEEDS = 8
+#: Blocks that are written at a time, and bytes of a row group of the index: both bound what a task holds.
+BATCH = 64
+ROW_GROUP = 16_000_000
 #: Blocks that a task holds while it goes through them in the order of bounds.
 GROUP = 256
 #: Bytes and number of the query texts that are searched for in one reading of the index.
@@ -100,12 +103,12 @@ class _Block:
             "docs": self.docs,
             "lens": self.lens,
             "terms": b"\n".join(self.ids).decode(),
-            "df": np.bincount(at, minlength=len(self.ids)),
-            "max_tf": max_tf,
-            "min_len": min_len,
+            "df": np.bincount(at, minlength=len(self.ids)).astype(np.int8),
+            "max_tf": max_tf.astype(np.int32),
+            "min_len": min_len.astype(np.int32),
             "ends": self.ends,
-            "post_term": at,
-            "post_tf": tf,
+            "post_term": at.astype(np.int32),
+            "post_tf": tf.astype(np.int32),
         }
 
 
@@ -119,10 +122,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if held.full():
                 rows.append(held.row(number))
                 number, held = number + 1, _Block()
-        yield pa.RecordBatch.from_pylist(rows, _BLOCK)
-        rows = []
+            if len(rows) == BATCH:
+                yield pa.RecordBatch.from_pylist(rows, _BLOCK)
+                rows = []
     if held.docs:
-        yield pa.RecordBatch.from_pylist([held.row(number)], _BLOCK)
+        rows.append(held.row(number))
+    yield pa.RecordBatch.from_pylist(rows, _BLOCK)
 
 
 def indexed(docs: DataFrame) -> DataFrame:
@@ -131,7 +136,7 @@ def indexed(docs: DataFrame) -> DataFrame:
     A document without a term, as a null text, is in no block and never found.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return staged(rows.mapInArrow(_blocks, _BLOCK_DDL), "rank-blocks")
+    return staged(rows.mapInArrow(_blocks, _BLOCK_DDL), "rank-blocks", **{"parquet.block.size": ROW_GROUP})
 
 
 class Queries(NamedTuple):
