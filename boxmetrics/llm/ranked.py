@@ -54,15 +54,24 @@ _BLOCK = pa.schema(
         ("docs", pa.list_(pa.int64())),
         ("lens", pa.list_(pa.int64())),
         ("terms", pa.string()),  # of the block, a line each
-        ("df", pa.list_(pa.int8())),
-        ("max_tf", pa.list_(pa.int32())),
-        ("min_len", pa.list_(pa.int32())),
-        ("ends", pa.list_(pa.int32())),
-        ("post_term", pa.list_(pa.int32())),
-        ("post_tf", pa.list_(pa.int32())),
+        # numbers of a block, 32 bits each, as bytes: by term, by document (where its postings end), by posting
+        ("df", pa.binary()),
+        ("max_tf", pa.binary()),
+        ("min_len", pa.binary()),
+        ("ends", pa.binary()),
+        ("post_term", pa.binary()),
+        ("post_tf", pa.binary()),
     ]
 )
-_BLOCK_DDL = "block long, docs array<long>, lens array<long>, terms string, df array<tinyint>, max_tf array<int>, min_len array<int>, ends array<int>, post_term array<int>, post_tf array<int>"
+_BLOCK_DDL = "block long, docs array<long>, lens array<long>, terms string, df binary, max_tf binary, min_len binary, ends binary, post_term binary, post_tf binary"
+
+
+def _packed(numbers) -> bytes:
+    return np.asarray(numbers, "<i4").tobytes()
+
+
+def _numbers(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), "<i4").astype(np.int64)
 
 
 def terms(data: bytes) -> list[bytes]:
@@ -103,12 +112,12 @@ class _Block:
             "docs": self.docs,
             "lens": self.lens,
             "terms": b"\n".join(self.ids).decode(),
-            "df": np.bincount(at, minlength=len(self.ids)).astype(np.int8),
-            "max_tf": max_tf.astype(np.int32),
-            "min_len": min_len.astype(np.int32),
-            "ends": self.ends,
-            "post_term": at.astype(np.int32),
-            "post_tf": tf.astype(np.int32),
+            "df": _packed(np.bincount(at, minlength=len(self.ids))),
+            "max_tf": _packed(max_tf),
+            "min_len": _packed(min_len),
+            "ends": _packed(self.ends),
+            "post_term": _packed(at),
+            "post_tf": _packed(tf),
         }
 
 
@@ -176,7 +185,7 @@ def document_counts(blocks: DataFrame, vocab) -> dict[int, int]:
         out = np.zeros(len(vocab.value), np.int64)
         for some in _groups(batches):
             at = np.concatenate(_term_ids(vocab.value, some.column(0)))
-            np.add.at(out, at[at >= 0], some.column(1).flatten().to_numpy()[at >= 0].astype(np.int64))
+            np.add.at(out, at[at >= 0], np.concatenate([_numbers(v) for v in some.column(1)])[at >= 0])
         some = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(out[some])], ["term", "n"])
 
@@ -212,11 +221,11 @@ class _Forward:
 
     def __init__(self, model: Model, ids: np.ndarray, row) -> None:
         self.docs = row["docs"]
-        ends, at = row["ends"].values.to_numpy(), row["post_term"].values.to_numpy()
+        ends, at = _numbers(row["ends"]), _numbers(row["post_term"])
         doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-        lens, keep = _long(row["lens"]), ids[at] >= 0
+        lens, keep = row["lens"].values.to_numpy(), ids[at] >= 0
         self.doc, self.term = doc[keep], ids[at[keep]]
-        self.gain = model.weight[self.term] * model.share(_long(row["post_tf"])[keep], lens[self.doc])
+        self.gain = model.weight[self.term] * model.share(_numbers(row["post_tf"])[keep], lens[self.doc])
 
     def scores(self, repeats: np.ndarray, bound: int) -> np.ndarray:
         gains = self.gain * repeats[self.term]
@@ -261,10 +270,6 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from (batch.slice(at, GROUP) for at in range(0, batch.num_rows, GROUP))
 
 
-def _long(values) -> np.ndarray:
-    return values.values.to_numpy().astype(np.int64)
-
-
 def _seeds(model, seeds: int):
     """Blocks (block, terms, max_tf, min_len) to the ``seeds`` highest bounds that a task has for each query."""
 
@@ -274,7 +279,7 @@ def _seeds(model, seeds: int):
         top, names = np.zeros((seeds, len(q)), np.int64), np.zeros((seeds, len(q)), np.int64)
         for some in _groups(batches):
             ids = _term_ids(m.queries.vocab, some.column("terms"))
-            new = np.stack([m.bounds(t, _long(a), _long(b)) for t, a, b in zip(ids, some.column("max_tf"), some.column("min_len"), strict=True)])
+            new = np.stack([m.bounds(t, _numbers(a), _numbers(b)) for t, a, b in zip(ids, some.column("max_tf"), some.column("min_len"), strict=True)])
             both = np.concatenate([top, new])
             order = np.argsort(-both, axis=0, kind="stable")[:seeds]
             kept = names[np.minimum(order, seeds - 1), q]
@@ -300,7 +305,7 @@ def _scored(model, floors: np.ndarray, only=None):
         for some in _groups(batches):
             rows = [{n: some.column(n)[i] for n in some.schema.names} for i in range(some.num_rows)]
             ids = _term_ids(q.vocab, some.column("terms"))
-            bounds = np.stack([m.bounds(t, _long(r["max_tf"]), _long(r["min_len"])) for t, r in zip(ids, rows, strict=True)])
+            bounds = np.stack([m.bounds(t, _numbers(r["max_tf"]), _numbers(r["min_len"])) for t, r in zip(ids, rows, strict=True)])
             if only is not None:
                 wanted = np.zeros(bounds.shape, bool)
                 for i, r in enumerate(rows):
@@ -349,10 +354,11 @@ def search(blocks: DataFrame, items: DataFrame) -> DataFrame:
         bounds = blocks.select("block", "terms", "max_tf", "min_len").mapInArrow(_seeds(model, SEEDS), "query long, block long, bound long")
         order = Window.partitionBy("query").orderBy(F.desc("bound"), "block")
         first = bounds.withColumn("at", F.row_number().over(order)).where(F.col("at") <= SEEDS).groupBy("block").agg(F.collect_list("query").alias("queries"))
-        only = sc.broadcast({r.block: r.queries for r in first.collect()})  # at most SEEDS for each query
+        seeds = {r.block: r.queries for r in first.collect()}  # at most SEEDS for each query
+        only = sc.broadcast(seeds)
         schema = "query long, score long, doc_id long"
         floors = np.ones(queries.count, np.int64)
-        known = blocks.join(F.broadcast(first.select("block")), "block", "left_semi").select(*blocks.columns)
+        known = blocks.join(F.broadcast(spark.createDataFrame([(b,) for b in seeds], "block long")), "block", "left_semi").select(*blocks.columns)
         for r in _best_of_all(known.mapInArrow(_scored(model, floors, only), schema)).where(F.col("rank") == TOP).collect():
             floors[r["query"]] = r["score"]
         best = staged(_best_of_all(blocks.mapInArrow(_scored(model, floors), schema)), "rank-best")

@@ -99,9 +99,10 @@ def test_bounds_are_never_below_a_score_and_blocks_are_passed_over(spark):
         if t and block.full():
             row = block.row(0)
             ids = np.array([vocab.index(t) if t in vocab else -1 for t in row["terms"].split("\n")])
-            bounds = model.bounds(ids, row["max_tf"].astype(np.int64), row["min_len"].astype(np.int64))
             table = ranked.pa.RecordBatch.from_pylist([row], ranked._BLOCK)
-            forward = ranked._Forward(model, ids, {n: table.column(n)[0] for n in table.schema.names})
+            scalars = {n: table.column(n)[0] for n in table.schema.names}
+            bounds = model.bounds(ids, ranked._numbers(scalars["max_tf"]), ranked._numbers(scalars["min_len"]))
+            forward = ranked._Forward(model, ids, scalars)
             for q in range(queries.count):
                 repeats = np.zeros(len(vocab), np.int64)
                 at = np.flatnonzero(queries.query == q)
