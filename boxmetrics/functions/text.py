@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from boxmetrics.functions import folding as fo
+
 # Accented letters and what they become; vowels alone, where n with a tilde is a letter of its own.
 MARKED_VOWELS, VOWELS = "áéíóúüÁÉÍÓÚÜ", "aeiouuAEIOUU"
-ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuncyy"
-EXPANDED = (("ß", "ss"), ("œ", "oe"), ("æ", "ae"), ("ø", "o"))
 # Articles that titles carry behind a comma, those shown again before a title, and those not searched by.
 ARTICLES = "el|la|los|las|un|una|unos|unas"
 SHOWN_ARTICLES = "El|La|Los|Las|Un|Una|Els|Les"
@@ -17,20 +16,19 @@ LEADING_ARTICLES = "el|la|los|las|the|a|un|una"
 # Small words that tell nothing of a title; sign-offs that a feed adds to one.
 SMALL_WORDS = [*ARTICLES.split("|"), "y", "e", "de", "del", "en"]
 SIGN_OFFS = "Entertainment|European|phoenix|avalon"
-# Notes that event screenings add to a title.
-EVENT_NOTES = r"(?i)(?:\s*\(.*?\)|\s+\d+[ºth°]?\s*(?:aniversario|anniversary)\b|\s+\b4k\b|\s+\b3d\b|\s+\bHD\b|\s+sing-?a-?long\b|\s+film\s+fest\b|\s+encore\b|\s*[-:]\s*$)"
+# Notes that event screenings add to a title, and what they may follow.
+EVENT_WORDS = [r"\d+[ºth°]?\s*aniversario\b", r"\d+[ºth°]?\s*anniversary\b", r"\b4k\b", r"\b3d\b", r"\bhd\b", r"sing-?a-?long\b", r"film\s+fest\b", r"encore\b"]
+EVENT_NOTES = r"(?i)\s*\(.*?\)|\s+(?:" + "|".join(EVENT_WORDS) + r")|\s*[-:]\s*$"
+BLANKS = r"[\s\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"  # what Unicode calls white space
 
 
 def unaccent(c: Column) -> Column:
-    """Lower case without accents; ligatures are written out."""
-    c = F.translate(F.lower(c), ACCENTED, PLAIN)
-    for sign, letters in EXPANDED:
-        c = F.replace(c, F.lit(sign), F.lit(letters))
-    return c
+    """Lower case without accents; ligatures and letters such as ł are written in plain ones."""
+    return fo.unaccented(F.lower(c))
 
 
 def squeeze(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    return F.trim(F.regexp_replace(c, BLANKS, " "))
 
 
 def strip_marks(c: Column) -> Column:
@@ -45,22 +43,30 @@ def title_key(c: Column) -> Column:
     return F.trim(F.regexp_replace(unaccent(c), "[^a-z0-9]+", " "))
 
 
+def ascii_title_key(c: Column) -> Column:
+    """As ``title_key``, but letters that have no ASCII in them are dropped: ß and ł leave nothing."""
+    c = F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\([^)]*\)", " "))
+    c = F.regexp_replace(c, rf"(?i)^(.+),\s*({ARTICLES})$", "$2 $1")
+    return F.trim(F.regexp_replace(F.lower(fo.to_ascii(c)), "[^a-z0-9]+", " "))
+
+
 def shown_title(c: Column) -> Column:
     """The title with its ", Article" put back in front; the article must be written as a name's."""
     return F.regexp_replace(c, rf"^(.*), ({SHOWN_ARTICLES})$", "$2 $1")
 
 
-def without_events(c: Column, rounds: int = 4) -> Column:
-    """A title without brackets and event notes. Taking one away may bare another: each round takes all there are."""
-    c = F.coalesce(c, F.lit(""))
-    for _ in range(rounds):
-        c = F.trim(F.regexp_replace(c, EVENT_NOTES, ""))
-    return c
+def without_events(c: Column) -> Column:
+    """A title without brackets and event notes, taken away until none is left: one may bare another."""
+    c = F.trim(F.coalesce(c, F.lit("")))
+    once = lambda t: F.trim(F.regexp_replace(t, EVENT_NOTES, ""))
+    rounds = F.sequence(F.lit(1), F.length(c))  # each round but the last makes the title shorter
+    all_gone = F.aggregate(rounds, c, lambda t, _: F.when(t.rlike(EVENT_NOTES), once(t)).otherwise(t))
+    return F.when(c.rlike(EVENT_NOTES), all_gone).otherwise(c)
 
 
 def search_key(c: Column) -> Column:
     """Comparison key of a film: no event notes, accents or punctuation, one leading article dropped."""
-    c = F.regexp_replace(F.trim(unaccent(without_events(c))), rf"^(?:{LEADING_ARTICLES}) ", "")
+    c = F.regexp_replace(F.trim(F.lower(fo.without_marks(without_events(c)))), rf"^(?:{LEADING_ARTICLES}) ", "")
     return squeeze(F.regexp_replace(c, r"[^\p{L}\p{N}_\s]", ""))
 
 
@@ -85,7 +91,7 @@ def title_variants(c: Column) -> Column:
     base = without_noise(c)
     moved = article_first(base)
     words = lambda t: F.regexp_replace(t, r"[^\p{L}\p{N}_\s]", " ")
-    plain = lambda t: F.translate(t, ACCENTED + ACCENTED.upper(), PLAIN + PLAIN.upper())
+    plain = fo.to_ascii
     forms = [moved, base, words(moved), words(base), plain(moved), plain(base), plain(words(moved)), plain(words(base)), F.upper(moved), F.upper(base)]
     whole = F.array_distinct(F.filter(F.array(*[F.btrim(squeeze(f), F.lit(" ,")) for f in forms]), lambda v: v != ""))
     heads = F.transform(whole, lambda v: F.trim(F.regexp_extract(v, r"^([^:;]*)", 1)))
@@ -94,7 +100,7 @@ def title_variants(c: Column) -> Column:
 
 def telling_words(c: Column) -> Column:
     """The words of a title that can be matched: over two letters and no small words, in order."""
-    key = squeeze(F.regexp_replace(unaccent(article_first(without_noise(c))), r"[^a-z0-9\s]", " "))
+    key = squeeze(F.regexp_replace(F.lower(fo.to_ascii(article_first(without_noise(c)))), r"[^a-z0-9\s]", " "))
     return F.filter(F.split(key, " "), lambda w: (F.length(w) > 2) & ~w.isin(SMALL_WORDS))
 
 
@@ -111,19 +117,25 @@ def strict_share(a: Column, b: Column) -> Column:
 
 def upper_key(c: Column) -> Column:
     """Upper case without marks, blanks squeezed."""
-    return squeeze(F.translate(F.upper(F.coalesce(c, F.lit(""))), ACCENTED.upper(), PLAIN.upper()))
+    return squeeze(fo.uncombined(F.upper(F.coalesce(c, F.lit("")))))
+
+
+# Letters that a broken word is split between; gaps that a page's layout leaves in a figure.
+CAPITALS = "A-ZÁÉÍÓÚÑ"
+FIGURE_GAPS = ((r"(?<=\d)\.\s+(?=\d{3})", "."), (r"(?<=\d)\s+(?=\d{3}(?:\D|$))", ""))
 
 
 def undashed(c: Column) -> Column:
     """Words in capitals that a line end has split are joined again."""
-    return F.regexp_replace(squeeze(c), "(?<=[A-ZÁÉÍÓÚÑ])- (?=[A-ZÁÉÍÓÚÑ])", "")
+    return F.regexp_replace(squeeze(c), f"(?<=[{CAPITALS}])- (?=[{CAPITALS}])", "")
 
 
 def rejoined_thousands(c: Column) -> Column:
     """Figures that a line's layout has split at their thousands are joined again."""
     c = squeeze(F.replace(c, F.lit("\u00a0"), F.lit(" ")))
-    c = F.regexp_replace(c, r"(?<=\d)\.\s+(?=\d{3})", ".")
-    return squeeze(F.regexp_replace(c, r"(?<=\d)\s+(?=\d{3}(?:\D|$))", ""))
+    for gap, mark in FIGURE_GAPS:
+        c = F.regexp_replace(c, gap, mark)
+    return squeeze(c)
 
 
 def search_safe(c: Column) -> Column:
@@ -151,6 +163,11 @@ def alnum_key(c: Column) -> Column:
     return F.regexp_replace(unaccent(c), "[^a-z0-9]", "")
 
 
+def bare_key(c: Column) -> Column:
+    """Letters and digits only, combining marks taken off first; letters that have no plain form are dropped."""
+    return F.regexp_replace(F.lower(fo.without_marks(c)), "[^a-z0-9]", "")
+
+
 def raw_key(c: Column) -> Column:
     """Letters and digits only; accented letters are deleted, not replaced."""
     return F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
@@ -164,7 +181,7 @@ def head_key(c: Column) -> Column:
 
 def person_words(c: Column) -> Column:
     """A person's name for comparing: no accents, signs as blanks."""
-    return squeeze(F.regexp_replace(unaccent(F.trim(c)), r"[^\p{L}\p{N}_\s]", " "))
+    return squeeze(F.regexp_replace(F.lower(fo.without_marks(F.trim(c))), r"[^\p{L}\p{N}_\s]", " "))
 
 
 def person_query(c: Column) -> Column:

@@ -8,14 +8,12 @@ all of this is grouped and windowed by (doc_id, page) or by doc_id.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxmetrics.functions import numbers as nb
 from boxmetrics.functions import text as tx
+from boxmetrics.operators.scan import Machine
 
 PAGE = ["doc_id", "page"]
 SHARE = 0.8  # fixed value: a column ends at this part of the way to the next anchor
@@ -96,66 +94,84 @@ def bounds(anchors: list[tuple[str, Column]], width: Column, first: Column | flo
     return F.transform(cols, bound)
 
 
-def _nth(name: str, i: int, otherwise: Column) -> Column:
-    return F.coalesce(F.get(F.col(name), F.lit(i)), otherwise)
+# A column of a chart, the header word that it stands under, and the part of the width where it stands
+# if the word is missing (none: there is no such column). Of words printed several times: the first, second or last.
+FIRST, SECOND, LAST = 0, 1, -1
+CHART = [
+    ("rank", "rank", None, 0.04),
+    ("title", "title", FIRST, 0.06),
+    ("original_title", "title", SECOND, 0.24),
+    ("distributor", "distributor", None, 0.40),
+    ("week", "week", None, 0.505),
+    ("cinemas", "cinemas", None, 0.530),
+    ("revenue", "revenue", FIRST, 0.620),
+    ("revenue_change", "change", FIRST, 0.690),
+    ("spectators", "spectators", FIRST, 0.720),
+    ("spectators_change", "change", SECOND, 0.800),
+    ("revenue_total", "revenue", SECOND, 0.850),
+    ("spectators_total", "spectators", SECOND, 0.900),
+    ("screens", "screens", None, None),
+]
+DOMESTIC = [
+    ("rank", "rank", None, 0.05),
+    ("distributor", "distributor", None, 0.35),
+    ("week", "week", None, 0.49),
+    ("cinemas", "cinemas", None, 0.51),
+    ("revenue", "revenue", FIRST, 0.41),
+    ("revenue_change", "change", FIRST, 0.52),
+    ("spectators", "spectators", FIRST, 0.63),
+    ("spectators_change", "change", LAST, 0.69),
+    ("revenue_total", "revenue", LAST, 0.86),
+    ("spectators_total", "spectators", LAST, 0.92),
+    ("screens", "screens", None, None),
+]
+# A lone title word right of this part of the width heads the original title.
+LONE_TITLE = 0.18
+# Columns of averages at thirds of the way between two others; where a change that is printed once is put.
+THIRDS = {"revenue_per_cinema": ("revenue_change", "spectators", 1), "revenue_per_screen": ("revenue_change", "spectators", 2), "spectators_per_cinema": ("spectators_change", "revenue_total", 1), "spectators_per_screen": ("spectators_change", "revenue_total", 2)}
+CHANGE_SHARE = 0.20
+# How far the title is from the rank, how wide it is at least, and how far it ends before the weeks.
+TITLE_GAP, TITLE_LEAST, WEEK_GAP = 0.015, 0.05, 0.02
+
+
+def anchors_of(layout: list[tuple], width: Column) -> dict[str, Column]:
+    """Where the columns of a layout stand. The last word of a kind counts only if it is another place than the first."""
+
+    def at(word: str, which: int | None, share: float | None) -> Column:
+        usual = F.lit(None) if share is None else width * share
+        if which is None:
+            return F.coalesce(F.col(word), usual)
+        found = F.try_element_at(F.col(word), F.lit(which if which < 0 else which + 1))
+        if which == LAST:
+            found = F.when(found != F.try_element_at(F.col(word), F.lit(1)), found)
+        return F.coalesce(found, usual)
+
+    return {name: at(*how) for name, *how in layout}
 
 
 def chart_bounds(width: Column) -> Column:
-    """Columns of the weekly chart of all films, from :func:`header_anchors`; a missing anchor has its usual part of the width."""
-    at = lambda share: width * share
-    lone = F.size("title") == 1
-    far = lone & (F.col("title")[0] > at(0.18))
-    title = F.when((F.size("title") == 0) | far, at(0.06)).otherwise(F.get("title", F.lit(0)))
-    original = F.when(F.size("title") >= 2, F.get("title", F.lit(1))).when(far, F.get("title", F.lit(0))).when(lone, F.coalesce("original", at(0.24))).otherwise(at(0.24))
-    anchors = [
-        ("rank", F.coalesce("rank", at(0.04))),
-        ("title", title),
-        ("original_title", original),
-        ("distributor", F.coalesce("distributor", at(0.40))),
-        ("week", F.coalesce("week", at(0.505))),
-        ("cinemas", F.coalesce("cinemas", at(0.530))),
-        ("revenue", _nth("revenue", 0, at(0.620))),
-        ("revenue_change", _nth("change", 0, at(0.690))),
-        ("spectators", _nth("spectators", 0, at(0.720))),
-        ("spectators_change", _nth("change", 1, at(0.800))),
-        ("revenue_total", _nth("revenue", 1, at(0.850))),
-        ("spectators_total", _nth("spectators", 1, at(0.900))),
-        ("screens", F.col("screens")),
-    ]
-    return bounds(anchors, width)
+    """Columns of the weekly chart of all films, from :func:`header_anchors`."""
+    places = anchors_of(CHART, width)
+    alone = F.when(F.size("title") == 1, F.col("title")[0])
+    moved = alone > width * LONE_TITLE
+    places["original_title"] = F.when(moved, alone).when(alone.isNotNull(), F.coalesce("original", places["original_title"])).otherwise(places["original_title"])
+    places["title"] = F.when(moved, width * dict((n, share) for n, *_, share in CHART)["title"]).otherwise(places["title"])
+    return bounds(list(places.items()), width)
 
 
 def domestic_bounds(width: Column) -> Column:
     """Columns of the weekly chart of domestic films, whose centred headers place title and distributor by proportion."""
-    at = lambda share: width * share
-    last = lambda n, otherwise: F.when(F.size(n) >= 2, F.element_at(F.col(n), -1)).otherwise(otherwise)
-    rank, distributor, week = F.coalesce("rank", at(0.05)), F.coalesce("distributor", at(0.35)), F.coalesce("week", at(0.49))
-    begin = rank + at(0.015)
-    end = F.least(F.greatest(1.5 * distributor - 0.5 * week, begin + at(0.05)), week - at(0.02))
-    revenue, change, people = _nth("revenue", 0, at(0.41)), _nth("change", 0, at(0.52)), _nth("spectators", 0, at(0.63))
-    revenue_end, people_end = last("revenue", at(0.86)), last("spectators", at(0.92))
-    revenue_end = F.when(revenue_end == revenue, at(0.86)).otherwise(revenue_end)
-    people_end = F.when(people_end == people, at(0.92)).otherwise(people_end)
-    change_end = last("change", at(0.69))
-    change_end = F.when(change_end == change, people + (revenue_end - people) * 0.20).otherwise(change_end)
-    between = lambda a, b, part: a + (b - a) * part / 3
-    numeric = [
-        ("week", week),
-        ("cinemas", F.coalesce("cinemas", at(0.51))),
-        ("revenue", revenue),
-        ("revenue_change", change),
-        ("revenue_per_cinema", between(change, people, 1)),
-        ("revenue_per_screen", between(change, people, 2)),
-        ("spectators", people),
-        ("spectators_change", change_end),
-        ("spectators_per_cinema", between(change_end, revenue_end, 1)),
-        ("spectators_per_screen", between(change_end, revenue_end, 2)),
-        ("revenue_total", revenue_end),
-        ("spectators_total", people_end),
-        ("screens", F.col("screens")),
-    ]
-    text = [("rank", F.lit(0.0), begin), ("title", begin, end), ("distributor", end, week)]
-    return F.concat(F.array(*[F.struct(F.lit(n).alias("name"), lo.alias("lo"), hi.alias("hi")) for n, lo, hi in text]), bounds(numeric, width, first=week))
+    at = anchors_of(DOMESTIC, width)
+    printed_twice = F.try_element_at("change", F.lit(-1)) != F.try_element_at("change", F.lit(1))
+    halfway = at["spectators"] + CHANGE_SHARE * (at["revenue_total"] - at["spectators"])
+    at["spectators_change"] = F.when((F.size("change") > 1) & ~printed_twice, halfway).otherwise(at["spectators_change"])
+    at |= {n: at[a] + (at[b] - at[a]) * part / 3 for n, (a, b, part) in THIRDS.items()}
+    begin = at["rank"] + width * TITLE_GAP
+    middle = 1.5 * at["distributor"] - 0.5 * at["week"]  # the header's place, mirrored in the gap before the weeks
+    end = F.least(F.greatest(middle, begin + width * TITLE_LEAST), at["week"] - width * WEEK_GAP)
+    edges = {"rank": (F.lit(0.0), begin), "title": (begin, end), "distributor": (end, at["week"])}
+    text = F.array(*[F.struct(F.lit(n).alias("name"), lo.alias("lo"), hi.alias("hi")) for n, (lo, hi) in edges.items()])
+    return F.concat(text, bounds([(n, x) for n, x in at.items() if n not in edges], width, first=at["week"]))
 
 
 def assign_columns(words: DataFrame, edges: Column, by: list[str]) -> DataFrame:
@@ -271,8 +287,10 @@ YEARBOOK = {
     2008: (0, 260, 315, 485, 550, 610, 670, 842),
     2009: (0, 265, 310, 493, 535, 620, 698, 842),
     2010: (0, 285, 340, 529, 570, 640, 715, 842),
+    2012: (0, 305, 350, 525, 570, 640, 720, 842),
+    2014: (0, 290, 340, 515, 565, 625, 700, 842),
 }
-LATEST = (0, 270, 320, 515, 565, 630, 700, 842)
+LATEST = (0, 290, 340, 515, 565, 630, 700, 842)
 YEARBOOK_FIELDS = ("title", "authorised", "distributor", "spectators", "revenue", "revenue_total", "country")
 DAY, WHOLE, MONEY = r"^\d{2}[/-]\d{2}[/-](?:\d{2}|\d{4})$", r"^\d{1,3}(?:\.\d{3})*$|^\d+$", r"^\d[\d.]*(?:,\d{2})?$"
 
@@ -293,43 +311,33 @@ def is_data_row(row: Column | None = None) -> Column:
     return (F.trim(at("title")) != "") & ((bare("authorised") == "") | bare("authorised").rlike(DAY)) & bare("spectators").rlike(WHOLE) & bare("revenue").rlike(MONEY) & bare("revenue_total").rlike(MONEY)
 
 
-def _yearbook_films(lines: Iterator[dict]) -> Iterator[dict]:
-    """Films of one book from its lines in order.
+def _book_rule(state: dict, line: dict) -> dict:
+    """What a yearbook's line makes of the state: which film is open, and whether its title began on a line before its figures."""
+    begun = line["kind"] == "figures" and (line["titled"] or state["film"] == "waiting")
+    if begun:
+        return {"film": "whole" if line["whole"] else "part", "early": state["film"] == "waiting"}
+    if state["film"] in ("none", "waiting"):
+        return {"film": "waiting" if line["kind"] == "title" else state["film"], "early": False}
+    if line["kind"] != "title":
+        return {"film": state["film"], "early": False}
+    if state["film"] == "whole":  # a title below: the rest of one that began early, or else the next film's
+        return {"film": "whole" if state["early"] else "waiting", "early": False}
+    return state
 
-    Titles may stand on lines of their own, before the figures or after them; a
-    line of figures begins a film, other lines go on with it.
-    """
-    film, waiting, titled_before = None, "", False
-
-    def joined(*parts: str) -> str:
-        return " ".join(p for p in parts if p)
-
-    for line in lines:
-        alone = line["title"] and not any(line[f] for f in YEARBOOK_FIELDS if f != "title")
-        if alone and film and film["whole"] and not titled_before:
-            yield film
-            film, waiting = None, line["title"]
-        elif alone and film:
-            film["title"] = joined(film["title"], line["title"])
-            titled_before = titled_before and not film["whole"]
-        elif alone:
-            waiting = joined(waiting, line["title"])
-        elif line["figures"] and (line["title"] or waiting):
-            if film and film["whole"]:
-                yield film
-            titled_before = bool(waiting)
-            film, waiting = {**line, "title": joined(waiting, line["title"])}, ""
-        elif film:
-            film |= {f: joined(film[f], line[f]) for f in ("title", "distributor", "country")}
-            titled_before = False
-    if film and film["whole"]:
-        yield film
+
+BOOK = Machine(
+    [{"film": f, "early": e} for f in ("none", "waiting", "part", "whole") for e in (False, True)],
+    {"kind": ["more", "title", "figures"], "titled": [False, True], "whole": [False, True]},
+    _book_rule,
+)
 
 
 def parse_yearbook(words: DataFrame, year: int, noise: str, layouts: dict[int, tuple] | None = None) -> DataFrame:
     """Films (doc_id, year, fields) of a year's books by fixed columns; ``noise`` matches lines that are no data.
 
-    The state that runs over a book's lines is kept in one Python call per book; all else is built in.
+    A line of figures begins a film. Titles may stand on lines of their own: before
+    the figures, after them, or both; other lines go on with the distributor and
+    the country. A film whose figures are not whole is left out.
     """
     lined = cluster_rows(words.where("top >= 60"))
     lines = assign_columns(lined.withColumn("edges", yearbook_bounds(F.lit(year), layouts)), F.col("edges"), [*PAGE, "y"])
@@ -338,14 +346,20 @@ def parse_yearbook(words: DataFrame, year: int, noise: str, layouts: dict[int, t
     lines = lines.where(~F.concat_ws(" ", *[F.nullif(n, F.lit("")) for n in YEARBOOK_FIELDS]).rlike(noise))
     bare = lambda n: F.regexp_replace(n, r"[€\s]", "")
     figures = bare("authorised").rlike(DAY) & bare("spectators").rlike(WHOLE) & (F.col("revenue") != "") & (F.col("revenue_total") != "")
-    lines = lines.withColumn("figures", figures).withColumn("whole", is_data_row() | (figures & bare("revenue").rlike(MONEY) & bare("revenue_total").rlike(MONEY)))
-
-    def run(book: pd.DataFrame) -> pd.DataFrame:
-        films = list(_yearbook_films(iter(book.sort_values(["page", "y"]).to_dict("records"))))
-        return pd.DataFrame([[f[c] for c in ("doc_id", *YEARBOOK_FIELDS)] for f in films], columns=["doc_id", *YEARBOOK_FIELDS])
-
-    films = lines.groupBy("doc_id").applyInPandas(run, f"doc_id {words.schema['doc_id'].dataType.simpleString()}, " + ", ".join(f"{f} string" for f in YEARBOOK_FIELDS))
-    return films.select("doc_id", F.lit(year).alias("year"), *typed_film(year))
+    titled = F.col("title") != ""
+    alone = titled & (F.concat(*[f for f in YEARBOOK_FIELDS if f != "title"]) == "")
+    kind = F.when(alone, "title").when(figures, "figures").otherwise("more")
+    money = bare("revenue").rlike(MONEY) & bare("revenue_total").rlike(MONEY)
+    lines = BOOK.before(lines.withColumn("symbol", BOOK.symbol(kind=kind, titled=titled, whole=money)), ["doc_id"], ["page", "y"], "symbol")
+    film, early = BOOK.flag(F.col("state"), "film"), BOOK.flag(F.col("state"), "early")
+    begins = figures & (titled | (film == "waiting"))
+    upto = Window.partitionBy("doc_id").orderBy("page", "y").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    next_ones = alone & (film.isin("none", "waiting") | ((film == "whole") & ~early))
+    lines = lines.withColumns({"begins": begins, "film": F.sum(begins.cast("int")).over(upto) + next_ones.cast("int"), "whole": begins & money})
+    said = lambda f: F.array_join(F.transform(F.filter(F.array_sort(F.collect_list(F.struct("page", "y", F.col(f).alias("t")))), lambda r: r["t"] != ""), lambda r: r["t"]), " ").alias(f)
+    once = lambda f: F.max(F.when(F.col("begins"), F.col(f))).alias(f)
+    films = lines.groupBy("doc_id", "film").agg(F.max("whole").alias("whole"), *[(said if f in ("title", "distributor", "country") else once)(f) for f in YEARBOOK_FIELDS])
+    return films.where("whole").select("doc_id", F.lit(year).alias("year"), *typed_film(year))
 
 
 def typed_film(year: int) -> list[Column]:
@@ -377,35 +391,27 @@ def _quoted(text: str) -> str:
 # ---------------------------------------------------------------- two tables in one document
 
 
-def _two_tables(lines: Iterator[dict]) -> Iterator[dict]:
-    """Films of both tables from a document's lines in order; a line of the other metric's heading changes table."""
-    table, film, waiting, early = None, None, "", False
-    for line in lines:
-        if line["heading"]:
-            if film:
-                yield film
-            table, film, waiting, early = (None if line["heading"] == "none" else line["heading"]), None, "", False
-            continue
-        if not table:
-            continue
-        value = line["whole"] if table == "spectators" else line["money"]
-        title = line["title"] if table == "spectators" else line["money_title"]
-        if line["rank"] and line["day"]:
-            if film:
-                yield film
-            early = bool(waiting)
-            film = {"metric": table, "title": f"{waiting} {line['dated_title']}".strip(), "day": line["day"], "value": value}
-            waiting = ""
-        elif film and value and not film["value"]:
-            film |= {"title": f"{film['title']} {title}".strip(), "value": value}
-            early = False
-        elif title and film and (early or line["goes_on"] or film["title"].upper().endswith((" DE", " DEL", " LA", " EL", " LOS", " LAS", ":", "-"))):
-            film["title"] = f"{film['title']} {title}"
-            early = False
-        elif title and not line["day"]:
-            waiting = f"{waiting} {title}".strip()
-    if film:
-        yield film
+# Words at the end of a title that say it goes on below.
+OPEN_ENDS = r"(?:DE|DEL|LA|EL|LOS|LAS)"
+
+
+def _table_rule(state: dict, line: dict) -> dict:
+    """What a line of a table makes of the state: the open film's value and title, and titles that wait for the next."""
+    if line["ranked"]:
+        return {"film": True, "valued": line["valued"], "early": state["waiting"], "open": line["open"], "waiting": False}
+    if state["film"] and line["valued"] and not state["valued"]:
+        return {**state, "valued": True, "early": False, "open": line["open"] if line["titled"] else state["open"]}
+    if line["titled"] and state["film"] and (state["early"] or state["open"] or line["goes_on"]):
+        return {**state, "early": False, "open": line["open"]}
+    return {**state, "waiting": state["waiting"] or (line["titled"] and not line["dated"])}
+
+
+_BOTH = [False, True]
+TABLES = Machine(
+    [{"film": f, "valued": v, "early": e, "open": o, "waiting": w} for f in _BOTH for v in _BOTH for e in _BOTH for o in _BOTH for w in _BOTH],
+    {"ranked": _BOTH, "valued": _BOTH, "titled": _BOTH, "goes_on": _BOTH, "dated": _BOTH, "open": _BOTH},
+    _table_rule,
+)
 
 
 def parse_two_tables(words: DataFrame, year: int, order_left: float, title_left: float, title_right: float, noise: str) -> DataFrame:
@@ -448,12 +454,25 @@ def parse_two_tables(words: DataFrame, year: int, order_left: float, title_left:
         "goes_on": tx.strip_marks(upper).rlike("^(DE|DEL) "),
     }
     lines = lines.select("doc_id", "page", "y", "heading", *[c.alias(n) for n, c in fields.items()])
-
-    def run(book: pd.DataFrame) -> pd.DataFrame:
-        films = list(_two_tables(iter(book.sort_values(["page", "y"]).to_dict("records"))))
-        return pd.DataFrame([[book["doc_id"].iloc[0], f["metric"], f["title"], f["day"], f["value"]] for f in films], columns=["doc_id", "metric", "title", "day", "value"])
-
-    films = lines.groupBy("doc_id").applyInPandas(run, f"doc_id {words.schema['doc_id'].dataType.simpleString()}, metric string, title string, day string, value string")
+    upto = Window.partitionBy("doc_id").orderBy("page", "y").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    metric = F.last(F.nullif("heading", F.lit("")), True).over(upto)
+    lines = lines.withColumns({"part": F.count(F.nullif("heading", F.lit(""))).over(upto), "metric": metric}).where("heading = '' AND metric <> 'none'")
+    people = F.col("metric") == "spectators"
+    ranked = F.col("rank") & (F.col("day") != "")
+    said = F.when(ranked, F.col("dated_title")).when(people, F.col("title")).otherwise(F.col("money_title"))
+    lines = lines.withColumns({"value": F.when(people, F.col("whole")).otherwise(F.col("money")), "said": said, "ranked": ranked})
+    key = tx.upper_key(F.col("said"))
+    ended = key.rlike(rf" {OPEN_ENDS}$") | key.rlike("[:-]$") | (~F.col("ranked") & key.rlike(rf"^{OPEN_ENDS}$"))
+    flags = {"ranked": F.col("ranked"), "valued": F.col("value") != "", "titled": F.col("said") != "", "goes_on": F.col("goes_on"), "dated": F.col("day") != "", "open": ended}
+    lines = TABLES.before(lines.withColumn("symbol", TABLES.symbol(**flags)), ["doc_id", "part"], ["page", "y"], "symbol")
+    open_film = lambda n: TABLES.flag(F.col("state"), n)
+    adds = ~F.col("ranked") & open_film("film") & (flags["valued"] & ~open_film("valued") | flags["titled"] & (open_film("early") | open_film("open") | F.col("goes_on")))
+    waits = ~F.col("ranked") & ~adds & flags["titled"] & (F.col("day") == "")
+    within = Window.partitionBy("doc_id", "part").orderBy("page", "y").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.withColumns({"adds": adds, "film": F.sum(F.col("ranked").cast("int")).over(within) + waits.cast("int")}).where(F.col("ranked") | adds | waits)
+    named = F.array_join(F.transform(F.filter(F.array_sort(F.collect_list(F.struct("page", "y", "said"))), lambda r: r["said"] != ""), lambda r: r["said"]), " ")
+    worth = F.min_by(F.when(F.col("ranked") | F.col("adds"), F.nullif("value", F.lit(""))), F.when((F.col("ranked") | F.col("adds")) & (F.col("value") != ""), F.struct("page", "y")))
+    films = lines.groupBy("doc_id", "part", "film").agg(F.first("metric").alias("metric"), named.alias("title"), F.max(F.when(F.col("ranked"), F.col("day"))).alias("day"), worth.alias("value")).where("day IS NOT NULL")
     films = films.where("title <> ''").withColumn("title", tx.undashed(F.col("title"))).withColumn("key", tx.upper_key(F.col("title")))
     pick = lambda m, c: F.max(F.when(F.col("metric") == m, c))
     merged = films.groupBy("doc_id", "key", "day").agg(F.min("title").alias("title"), pick("spectators", tx.parse_digits(F.col("value"))).alias("spectators"), pick("revenue", tx.parse_euros(F.col("value"))).alias("revenue"))

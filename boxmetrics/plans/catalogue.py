@@ -337,9 +337,7 @@ def match_stats(spark, d):
     return _match(spark, d).agg(F.count("*").alias("total"), *[F.count_if(F.col("route") == v).alias(k) for k, v in names.items()])
 
 
-_UNACCENT = f"translate(lower({{}}), '{tx.ACCENTED}', '{tx.PLAIN}')"
-for _a, _b in tx.EXPANDED:
-    _UNACCENT = f"replace({_UNACCENT}, '{_a}', '{_b}')"
+_UNACCENT = "replace(replace(replace(replace(strip_accents(lower({})), 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae'), 'ø', 'o')"
 _TITLE = "CASE doc_id % 4 WHEN 0 THEN split_part(text, chr(10), 1) || ', La' WHEN 1 THEN split_part(text, chr(10), 1) || ' (2019)' WHEN 2 THEN split_part(text, chr(10), 1) || ' (V.O.), unos' ELSE split_part(text, chr(10), 1) END"
 _OPENED = f"regexp_replace(trim(regexp_replace({_TITLE}, '\\([^)]*\\)', ' ', 'g')), '^(.*),\\s*(el|la|los|las|un|una|unos|unas)$', '\\2 \\1', 'i')"
 

@@ -105,8 +105,9 @@ def test_yearbook_by_columns(spark):
 
 
 def test_layout_of_a_year(spark):
-    b = spark.createDataFrame([(2005,), (2008,), (2010,), (2013,)], "y int").select(ly.yearbook_bounds(F.col("y")).alias("b")).collect()
-    assert [r.b[1].lo for r in b] == [255, 260, 285, 270]
+    b = spark.createDataFrame([(2005,), (2008,), (2009,), (2010,), (2011,), (2012,), (2013,), (2014,), (2015,), (2023,)], "y int").select(ly.yearbook_bounds(F.col("y")).alias("b")).collect()
+    assert [r.b[1].lo for r in b] == [255, 260, 265, 285, 305, 305, 290, 290, 290, 290]
+    assert [x.lo for x in b[4].b] == [0, 305, 350, 525, 570, 640, 720] and [x.lo for x in b[6].b] == [0, 290, 340, 515, 565, 625, 700] and [x.lo for x in b[8].b] == [0, 290, 340, 515, 565, 630, 700]
 
 
 def test_data_rows(spark):
