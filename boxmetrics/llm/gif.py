@@ -209,13 +209,13 @@ def _stream_rows(height: int, laced: bool) -> list[tuple[int, int]]:
     return [(0, 8), (4, 8), (2, 4), (1, 2)] if laced else [(0, 1)]
 
 
-def _drawn_rows(stream: bytes, size: int, width: int, height: int, laced: bool, low: int, high: int) -> tuple[np.ndarray, np.ndarray, str]:
-    """Samples of the rows low..high of a frame, which of them are there, and what is wrong with the stream.
+def _drawn_rows(stream: bytes, size: int, width: int, height: int, laced: bool, low: int, high: int, shown: int) -> tuple[np.ndarray, np.ndarray, str]:
+    """Samples of the rows low..high and the first ``shown`` columns of a frame, which are there, and what is wrong with the stream.
 
-    Rows outside are read over and not kept.
+    Samples outside are read over and not kept: a frame may be far larger than the canvas.
     """
     rows = max(0, high - low)
-    index, there = np.zeros(rows * width, np.uint8), np.zeros(rows * width, bool)
+    index, there = np.zeros(rows * shown, np.uint8), np.zeros(rows * shown, bool)
     wanted = []  # (first sample in the stream, last, image row, row step)
     done = 0
     for first, step in _stream_rows(height, laced):
@@ -234,17 +234,19 @@ def _drawn_rows(stream: bytes, size: int, width: int, height: int, laced: bool,
             a, z = max(begin, have), min(end, have + len(piece))
             if a < z:
                 got = np.frombuffer(piece, np.uint8)[a - have : z - have]
-                if step == 1:
+                if step == 1 and shown == width:
                     at = slice((row - low) * width + a - begin, (row - low) * width + z - begin)
                 else:
                     place = np.arange(a - begin, z - begin)
-                    at = (row - low + place // width * step) * width + place % width
+                    seen = place % width < shown
+                    place, got = place[seen], got[seen]
+                    at = (row - low + place // width * step) * shown + place % width
                 index[at], there[at] = got, True
         have += len(piece)
         if have > limit:
             wrong = "wrong number of samples"
             break
-    return index.reshape(rows, width), there.reshape(rows, width), wrong
+    return index.reshape(rows, shown), there.reshape(rows, shown), wrong
 
 
 class Reader:
@@ -292,7 +294,7 @@ class Reader:
             size = data[at]
             stream, at = _blocks(data, at + 1)
             top, bottom = min(max(low - y, 0), fh), min(max(high - y, 0), fh)  # rows of the frame
-            index, drawn, wrong = _drawn_rows(stream, size, fw, fh, bool(fflags & 0x40), top, bottom)
+            index, drawn, wrong = _drawn_rows(stream, size, fw, fh, bool(fflags & 0x40), top, bottom, min(fw, max(0, w - x)))
             self.error = self.error or wrong
             colours = local if local is not None else common if common is not None else np.zeros((1, 3), np.uint8)
             drawn &= index < len(colours)

@@ -168,13 +168,13 @@ def test_stripes_equal_the_whole_canvas(spark):
     assert [b"".join(bytes(r.pixels) for r in rows if r.frame == i) for i in range(4)] == [f.pixels.tobytes() for f in whole.frames]
 
 
-def _forged(width, height, codes):
+def _forged(width, height, codes, canvas=None):
     """A full table, then codes of its longest entries: each stands for thousands of samples."""
     run = [256, 0, *range(258, 4096), *[4095] * codes]
     widths = np.concatenate([[9], np.minimum(12, np.frexp(257 + np.maximum(np.arange(len(run) - 1), 1))[1])])
     stream = gif._packed(np.array(run, np.uint32), widths)
     blocks = b"".join(bytes([len(stream[i : i + 255])]) + stream[i : i + 255] for i in range(0, len(stream), 255))
-    return b"GIF89a" + struct.pack("<HHBBB", width, height, 0, 0, 0) + b"\x2c" + struct.pack("<HHHHB", 0, 0, width, height, 0) + b"\x08" + blocks + b"\0\x3b"
+    return b"GIF89a" + struct.pack("<HHBBB", *(canvas or (width, height)), 0, 0, 0) + b"\x2c" + struct.pack("<HHHHB", 0, 0, width, height, 0) + b"\x08" + blocks + b"\0\x3b"
 
 
 def test_forged_streams_and_canvases_need_little_memory():
@@ -190,3 +190,27 @@ def test_forged_streams_and_canvases_need_little_memory():
     finally:
         tracemalloc.stop()
     assert gif.lzw_decode(b"", 9, 4) == (b"", "bad code size") and gif.lzw_decode(b"", 0, 4) == (b"", "bad code size")
+
+
+def test_frames_larger_than_the_canvas_are_cropped_before_they_are_held():
+    for canvas in ((1, 65535), (65535, 1), (3, 3), (1, 1)):
+        tracemalloc.start()
+        try:
+            im = gif.Reader(_forged(65535, 65535, 10, canvas))
+            for low, high in im.stripes(1 << 18):
+                assert len(list(im.frames(low, high))) == 1
+            assert tracemalloc.get_traced_memory()[1] < 60 << 20
+        finally:
+            tracemalloc.stop()
+
+
+@pytest.mark.parametrize("laced", [False, True])
+def test_cropped_frames_equal_plain_ones(laced):
+    wide = [(i * 7) % 4 for i in range(12 * 20)]
+    for x, y in ((0, 0), (2, 3), (4, 0), (5, 9), (60, 60)):
+        data = image([(x, y, 12, 20, wide, 1, None, 0, laced, None)], 5, 9)
+        im = gif.decode(data)
+        plain = image([(0, 0, 12, 20, wide, 1, None, 0, laced, None)], 12, 20)
+        whole = gif.decode(plain).frames[0].pixels
+        part = whole[: max(0, 9 - y), : max(0, 5 - x)]
+        assert (im.frames[0].pixels[y : y + part.shape[0], x : x + part.shape[1]] == part).all() and not im.error
