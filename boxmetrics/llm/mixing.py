@@ -115,6 +115,7 @@ def mix(
     block_tokens: int = BLOCK_TOKENS,
     seed: int = 7,
     carry: tuple[str, ...] = (),
+    name: str | None = None,
 ) -> DataFrame:
     """One row per use of a document: (doc_id, source, tokens, epoch, block, at, within), and the columns ``carry``.
 
@@ -122,14 +123,17 @@ def mix(
     be used exactly once, so every document is used. With one, the document that
     crosses a source's budget is still used and later ones are not. Tokens are
     words. A null source counts as the source named "". Documents without words
-    are used with their block. Rows are told apart by a number of their own, so
-    null and repeated ids lose and multiply nothing and are spread over the
-    blocks like any others; repeated rows are used each. The names in ``carry``
-    must differ from those above. An empty table gives no rows.
+    are used with their block. A row is named by its id, source and the SHA-256
+    of its text (or the column ``name``), repeated ones by their number too, so
+    null and repeated ids lose and multiply nothing, repeated rows are used
+    each, and the mixture does not depend on how the rows lie. The names in
+    ``carry`` must differ from those above. An empty table gives no rows.
     """
     words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORDS)).cast("long")
-    own = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), words.alias("tokens"), F.monotonically_increasing_id().alias("_n"), *carry)
-    own = staged(own, "mixing")
+    named = (F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256) if name is None else F.col(name)).alias("_name")
+    own = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), words.alias("tokens"), named, *carry)
+    equal = Window.partitionBy("doc_id", "source", "_name").orderBy(*(carry or ["tokens"]))
+    own = staged(own.withColumn("_n", F.row_number().over(equal)), "mixing")
     found = own.groupBy("source").agg(F.sum("tokens").alias("all"))
     total = found.agg(F.sum("all")).first()[0] or 0
     found = staged(found.withColumn("share", F.col("all") / F.lit(float(total or 1))), "mixing-sources")
@@ -138,12 +142,12 @@ def mix(
     exponent = solve_exponent(curve, target_entropy, repetition_limit, share)
     sources = _plan(found, curve, exponent, total, budget, block_tokens)
     # Catalyst sends the sources to the rows where their table is small, and joins by sorting where it is not
-    placed = own.join(sources, "source").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_n"), "blocks"))
+    placed = own.join(sources, "source").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_name", "_n"), "blocks"))
     uses = _realised(placed.groupBy("source", "block").agg(F.sum("tokens").alias("block_tokens"), *[F.first(c).alias(c) for c in ("whole", "rest", "epochs")]), seed)
-    rows = placed.select("doc_id", "_n", "source", "tokens", "block", *carry).join(uses, ["source", "block"]).withColumn("within", F.xxhash64(F.lit(seed), "epoch", "doc_id", "_n"))
+    rows = placed.select("doc_id", "_name", "_n", "source", "tokens", "block", *carry).join(uses, ["source", "block"]).withColumn("within", F.xxhash64(F.lit(seed), "epoch", "doc_id", "_name", "_n"))
     out = ["doc_id", "source", "tokens", "epoch", "block", "at", "within", *carry]
     # only the block that crosses a source's budget is cut, document by document
-    upto = Window.partitionBy("source", "block", "epoch").orderBy("within", "_n").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("source", "block", "epoch").orderBy("within", "doc_id", "_name", "_n").rowsBetween(Window.unboundedPreceding, -1)
     cut = rows.where("partial").withColumn("used", F.coalesce(F.sum("tokens").over(upto), F.lit(0))).where(F.col("used") < F.col("left"))
     return rows.where("NOT partial").select(*out).union(cut.select(*out))
 

@@ -134,3 +134,10 @@ def test_hot_keys_are_spread(spark):
     got = mixing.mix(docs(spark, rows), repetition_limit=1.0, block_tokens=100)
     assert got.count() == 1200
     assert got.groupBy("block").count().agg({"count": "max"}).first()[0] < 100
+
+
+def test_the_mixture_does_not_depend_on_how_the_rows_lie(spark):
+    rows = [(i % 90 if i % 7 else None, f"w {i % 50} " * (i % 9), "ab"[i % 3 == 0]) for i in range(300)] + [(5, "same same", "a")] * 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    runs = [sorted(map(tuple, mixing.mix(docs.repartition(n), repetition_limit=2.0, block_tokens=40).drop("_").collect()), key=repr) for n in (2, 5, 50)]
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) >= len(rows)

@@ -91,5 +91,5 @@ def test_run_equals_the_stages(spark):
         docs = stage(spark, docs, SMALL)
     got = corpus_pipeline.run(spark, SMALL)
     assert got.columns == docs.columns and set(COLUMNS) <= set(got.columns)
-    uses = lambda df: sorted((r.doc_id, r.text, r.source, r.n_chars, r.tokens, r.epoch) for r in df.where("epoch = 0").collect())
-    assert uses(got) == uses(docs) and got.count() > 0  # the last, cut epoch follows the rows' own numbers
+    uses = lambda df: sorted((r.doc_id, r.text, r.source, r.n_chars, r.tokens, r.epoch, r.block, r.at) for r in df.collect())
+    assert uses(got) == uses(docs) and got.count() > 0
