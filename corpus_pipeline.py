@@ -42,14 +42,16 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each use of a document, all of its columns and the mixture's: tokens, epoch, block, at, within.
 
-    Rows are told apart by a number of their own, so null and repeated ids lose
-    and multiply nothing. A column of the mixture whose name a document column
+    Rows are named by all that is in them, and by a number where they repeat, so
+    null and repeated ids lose and multiply nothing and the mixture is the same
+    however the rows lie. A column of the mixture whose name a document column
     has already gets an underscore before it.
     """
     row = free_name(docs.columns, "__row")
     rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
-    keyed = rows.select("doc_id", "text", "source", F.col(row).alias("__row"))
-    uses = mixing.mix(keyed, repetition_limit=REPETITION_LIMIT, carry=("__row",)).drop("doc_id", "source").withColumnRenamed("__row", row)
+    whole = F.sha2(F.to_json(F.struct(*[F.col(c) for c in docs.columns])), 256).alias("__name")
+    keyed = rows.select("doc_id", "text", "source", F.col(row).alias("__row"), whole)
+    uses = mixing.mix(keyed, repetition_limit=REPETITION_LIMIT, carry=("__row",), name="__name").drop("doc_id", "source").withColumnRenamed("__row", row)
     uses = uses.withColumnsRenamed({c: free_name(docs.columns, c) for c in uses.columns if c != row})
     return rows.join(uses, row).drop(row)
 
