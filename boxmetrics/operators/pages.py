@@ -1,6 +1,10 @@
 """Fields, tables and links of web pages, by patterns; built-in expressions throughout.
 
-Tables are taken as flat: a table within a table is not told apart.
+A page is cut at the tags of tables, rows and cells. How deep a tag lies is the
+running sum of the tables opened and closed before it; a table ends at its own
+close, and a row or cell at the next tag of its own depth that ends it, whether
+or not it has been closed. So a cell that holds a table has the table's text and
+cells in it, and cells behind that table stay where they are.
 """
 
 from __future__ import annotations
@@ -13,7 +17,9 @@ from boxmetrics.functions import html as ht
 from boxmetrics.functions import numbers as nb
 from boxmetrics.functions import text as tx
 
-TABLE, ROW, CELL, HEAD = (rf"(?is)<{t}\b[^>]*>(.*?)</{t}>" for t in ("table", "tr", "td", "th"))
+AT_TABLE, AT_CELL = r"(?i)(?=</?table\b)", r"(?i)(?=</?(?:tr|td|th)\b)"
+TAG = r"(?is)^<(/?(?:table|tr|td|th))\b"
+UNSEEN = r"(?s)<!--.*?-->|(?i)<script.*?</script>|<style.*?</style>"
 LABEL = r"(?is)<label\b[^>]*>(.*?)</label>"
 NEAR = 80  # fixed value: a label this long or longer is no tag
 
@@ -64,23 +70,69 @@ def tag_labels(html: Column, start: str, skip: list[str]) -> Column:
     return F.filter(near, lambda t: (t != "") & ~t.isin(skip))
 
 
-def tables(html: Column) -> Column:
-    """All tables as structs (headers, rows): texts of the first three header cells, and cells by row after the first."""
+def with_tables(pages: DataFrame, html: str, name: str = "_tables") -> DataFrame:
+    """``pages`` with an array of all tables in the order of their begin: headers, the texts of the first three header
+    cells, and rows, the texts of the cells of each row but the first.
+
+    What is in a table is all that lies between its begin and its end: tables
+    within it have entries of their own, and their rows and cells count as rows
+    and cells of the outer table and row too. Closing tags without an open table
+    are left out, and a table that is not closed ends with its page. Nothing is
+    shuffled; the work grows with the page, and with the square of its tables.
+    """
+    cut, sign, depth, piece, level, mark = (f"__{n}" for n in ("cut", "sign", "depth", "piece", "level", "mark"))
+    out = pages.withColumn(cut, F.split(F.regexp_replace(F.coalesce(F.col(html), F.lit("")), UNSEEN, ""), AT_TABLE))
+    out = out.withColumn(sign, F.transform(cut, lambda c: F.when(c.rlike(r"(?i)^<table\b"), 1).when(c.rlike(r"(?i)^</table\b"), -1).otherwise(0)))
+    total = lambda n: F.aggregate(F.slice(sign, 1, n), F.lit(0), lambda a, x: a + x)
+    out = out.withColumn(depth, F.transform(F.sequence(F.lit(1), F.size(cut)), total))
+    least = lambda i: F.least(F.lit(0), F.array_min(F.slice(depth, 1, i + 1)))  # noqa: E731 (closes without a table)
+    out = out.withColumn(depth, F.transform(depth, lambda d, i: d - least(i)))
+
+    def pieces(c: Column, i: Column) -> Column:
+        d, close = F.get(F.col(depth), i), F.get(F.col(sign), i) == -1
+        tag = lambda p: F.lower(F.regexp_extract(p, TAG, 1))
+        return F.transform(F.split(c, AT_CELL), lambda p, k: F.struct(p.alias("html"), tag(p).alias("tag"), (d + (close & (k == 0)).cast("int")).alias("depth")))
+
+    out = out.withColumn(piece, F.transform(F.flatten(F.transform(cut, pieces)), lambda p, i: p.withField("at", i))).withColumn(depth, F.array_max(depth))
+    out = out.withColumn(level, F.transform(F.sequence(F.lit(0), F.col(depth) + 1), lambda d: F.filter(piece, lambda p: (p["depth"] == d) & (p["tag"] != ""))))
+
+    def ends(tags: Column, begin: tuple[str, ...], stop: tuple[str, ...]) -> Column:
+        """Tags of ``begin`` with the place of the next tag of ``stop`` at their depth."""
+        some = F.filter(tags, lambda p: p["tag"].isin(*stop))
+        pairs = F.arrays_zip(some.alias("p"), F.slice(some, 2, F.greatest(F.size(some), F.lit(1))).alias("q"))
+        found = F.filter(pairs, lambda z: z["p"]["tag"].isin(*begin))
+        return F.transform(found, lambda z: F.struct(z["p"]["at"].alias("at"), z["p"]["tag"].alias("tag"), F.coalesce(z["q"]["at"], F.size(piece)).alias("end")))
+
+    tables, rows = ("table", "/table"), ("tr", "/tr", "table", "/table")
+    closed = lambda tags: F.transform(F.filter(tags, lambda p: p["tag"].startswith("/")), lambda p: F.struct(p["at"], p["tag"], p["at"].alias("end")))
+    all_ends = lambda tags: F.concat(ends(tags, ("td", "th"), (*rows, "td", "/td", "th", "/th")), ends(tags, ("tr",), rows), ends(tags, ("table",), tables), closed(tags))
+    # every piece is a tag but for what a page may begin with, so what lies between two places is a slice
+    out = out.withColumn(mark, F.array_sort(F.flatten(F.transform(level, all_ends)))).withColumn(piece, F.transform(piece, lambda p: p["html"]))
+    lead = F.size(piece) - F.size(mark)
+    between = lambda m: F.slice(F.col(mark), m["at"] - lead + 2, F.greatest(m["end"] - m["at"] - 1, F.lit(0)))
+    text = lambda m: inner_text(F.array_join(F.slice(F.col(piece), m["at"] + 1, m["end"] - m["at"]), ""))
+    of = lambda inside, tag: F.filter(inside, lambda x: x["tag"] == tag)
 
     def parts(t: Column) -> Column:
-        rows = F.transform(_all(t, ROW), lambda r: _texts(r, CELL))
-        return F.struct(F.slice(_texts(t, HEAD), 1, 3).alias("headers"), F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))).alias("rows"))
+        each = of(between(t), "tr")
+        cells = F.transform(each, lambda r: F.transform(of(between(r), "td"), text))
+        return F.struct(F.transform(F.slice(of(between(t), "th"), 1, 3), text).alias("headers"), cells.alias("rows"))
 
-    return F.transform(_all(html, TABLE), parts)
+    return out.withColumn(name, F.transform(of(F.col(mark), "table"), parts)).drop(cut, sign, depth, piece, level, mark)
 
 
 def _with_headers(found: Column, headers: list[str]) -> Column:
     return F.filter(found, lambda t: F.size(F.array_except(F.array(*map(F.lit, headers)), t["headers"])) == 0)
 
 
+def _below(t: Column) -> Column:
+    """The rows of a table but the first."""
+    return F.slice(t["rows"], 2, F.greatest(F.size(t["rows"]), F.lit(1)))
+
+
 def table_rows(found: Column, headers: list[str], fields: list[str], least: int = 2) -> Column:
     """Rows of the first table with these headers as structs of ``fields``; short rows go, a missing last cell is empty."""
-    rows = F.coalesce(F.get(_with_headers(found, headers), F.lit(0))["rows"], F.array().cast("array<array<string>>"))
+    rows = F.coalesce(_below(F.get(_with_headers(found, headers), F.lit(0))), F.array().cast("array<array<string>>"))
     whole = F.filter(rows, lambda r: F.size(r) >= least)
     return F.transform(whole, lambda r: F.struct(*[F.coalesce(F.get(r, F.lit(i)), F.lit("")).alias(f) for i, f in enumerate(fields)]))
 
@@ -96,7 +148,7 @@ def grants(found: Column, headers: list[str]) -> Column:
     hits = _with_headers(found, headers)
 
     def of(t: Column) -> Column:
-        return F.transform(F.filter(t["rows"], lambda r: F.size(r) >= 2), lambda r: F.struct(r[0].alias("concept"), tx.parse_euros(r[1]).alias("amount")))
+        return F.transform(F.filter(_below(t), lambda r: F.size(r) >= 2), lambda r: F.struct(r[0].alias("concept"), tx.parse_euros(r[1]).alias("amount")))
 
     each = F.transform(hits, of)
     sums = F.transform(each, lambda g: F.struct(F.exists(g, lambda x: F.coalesce(x["amount"], F.lit(0)) != 0).alias("some"), F.aggregate(g, F.lit(0).cast("decimal(38,2)"), lambda s, x: (s + F.coalesce(x["amount"], F.lit(0))).cast("decimal(38,2)")).alias("sum")))
@@ -106,7 +158,7 @@ def grants(found: Column, headers: list[str]) -> Column:
 
 def keyed_values(found: Column, headers: list[str], part: str) -> Column:
     """Second cells of the rows whose first cell holds ``part``, over all tables with these headers."""
-    rows = F.flatten(F.transform(_with_headers(found, headers), lambda t: t["rows"]))
+    rows = F.flatten(F.transform(_with_headers(found, headers), _below))
     hit = F.filter(rows, lambda r: (F.size(r) >= 2) & F.lower(F.get(r, F.lit(0))).contains(part))
     return F.transform(hit, lambda r: F.trim(r[1]))
 
@@ -128,7 +180,7 @@ SYNOPSES = ["Sinopsis en Castellano:", "Sinopsis en Inglés:"]
 def film_page(pages: DataFrame, id_col: str, html: str) -> DataFrame:
     """One row per page with a title: all fields of the film, nested where it has lists."""
     page = pages.select(F.col(id_col), F.col(html).alias("_html"), F.nullif(inner_text(F.regexp_extract(F.col(html), r"(?is)<h2\b[^>]*>(.*?)</h2>", 1)), F.lit("")).alias("title")).where("title IS NOT NULL")
-    page = page.withColumns({"_labels": labels(F.col("_html")), "_tables": tables(F.col("_html"))})
+    page = with_tables(page.withColumn("_labels", labels(F.col("_html"))), "_html")
     at = {n: label_value(F.col("_labels"), name) for n, name in LABELS.items()}
     found = F.col("_tables")
     cast = table_rows(found, CAST, ["function", "name", "part"])
@@ -186,8 +238,9 @@ def id_of_url(url: Column) -> Column:
 
 def latest_rows(pages: DataFrame, id_col: str, html: str) -> DataFrame:
     """Rows of the first table of each page (id, title, director, nationality, rating, resolved); those of under six cells or without id or title go."""
-    rows = F.transform(_all(F.get(_all(F.col(html), TABLE), F.lit(0)), ROW), lambda r: _texts(r, CELL))
-    r = pages.select(F.col(id_col).alias("page"), F.explode(F.filter(rows, lambda x: F.size(x) >= 6)).alias("c"))
+    first = with_tables(pages.select(F.col(id_col).alias("page"), F.col(html).alias("_html")), "_html")
+    rows = F.coalesce(F.get("_tables", F.lit(0))["rows"], F.array().cast("array<array<string>>"))
+    r = first.select("page", F.explode(F.filter(rows, lambda x: F.size(x) >= 6)).alias("c"))
     blank = lambda i: F.nullif(F.col("c")[i], F.lit(""))
     names = ["id", "title", "director", "nationality", "rating"]
     return r.select("page", *[blank(i).alias(n) for i, n in enumerate(names)], F.try_to_date(F.col("c")[5], "d/M/yyyy").alias("resolved")).where("id IS NOT NULL AND title IS NOT NULL")
