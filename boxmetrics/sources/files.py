@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from boxmetrics.functions import numbers as nb
+from boxmetrics.operators.tables import merge_latest
 
 #: Words of laid-out pages, the boundary to whatever reads the documents themselves.
 WORDS = "doc_id string, page int, pos int, x0 double, top double, text string"
@@ -125,9 +129,76 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def refresh(build: DataFrame, path: str, version: int) -> str:
-    """Compute a derived table anew and write it as a version, which readers take up when it is whole."""
-    return write_version(build, path, version)
+class VersionedTable:
+    """A table in parts by the hash of its keys, whose versions name for each part the files that hold it.
+
+    A version is there when its list is: data comes first, the list last, so that a
+    reader sees the old version until the new one is whole, and for good if its
+    writer fails. A change writes the parts anew that its keys fall into; all
+    others stay the files that they are. The number of parts is fixed by the first
+    version. Rows with null keys have a part as any others.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], parts: int = 64) -> None:
+        self.spark, self.path, self.keys, self.parts = spark, path, keys, parts
+
+    def _part(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("part", F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int"))
+
+    def lists(self) -> DataFrame:
+        """All versions: (version, part, folder, schema)."""
+        return self.spark.read.schema("part int, folder string, schema string, version long").parquet(f"{self.path}/lists")
+
+    def version(self) -> int:
+        """The newest whole version; 0 before the first."""
+        try:
+            return self.lists().agg(F.max("version")).first()[0] or 0
+        except AnalysisException:  # no list has been written yet
+            return 0
+
+    def read(self, version: int | None = None, only: list[int] | None = None) -> DataFrame:
+        """The rows of a version, by default the newest whole one; ``only`` some parts of it."""
+        version = version or self.version()
+        found = self.lists().where(F.col("version") == version).collect() if version else []  # one row a part
+        if not found:
+            raise LookupError(f"no version {version} of {self.path}")
+        folders = [r.folder for r in found if r.folder and (only is None or r.part in only)]
+        schema = StructType.fromJson(json.loads(found[0].schema))
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+    def _publish(self, rows: DataFrame, schema: StructType, touched: list[int]) -> int:
+        old, number = self.version(), self.version() + 1
+        folder = f"{self.path}/data/version={number}"
+        self._part(rows).repartition("part").write.mode("overwrite").partitionBy("part").parquet(folder)
+        written = {r.part for r in self.spark.read.schema("part int").parquet(folder).select("part").distinct().collect()}
+        kept = {r.part: r.folder for r in self.lists().where(F.col("version") == old).collect()} if old else {}
+        kept |= {p: f"{folder}/part={p}" if p in written else "" for p in touched}
+        listed = [(p, kept.get(p, ""), schema.json()) for p in range(self.parts)]
+        self.spark.createDataFrame(listed, "part int, folder string, schema string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/lists/version={number}")
+        return number
+
+    def replace(self, rows: DataFrame) -> int:
+        """A version of just these rows."""
+        return self._publish(rows, rows.schema, list(range(self.parts)))
+
+    def touched(self, rows: DataFrame) -> list[int]:
+        return sorted(r.part for r in self._part(rows.select(*self.keys)).select("part").distinct().collect())
+
+    def upsert(self, updates: DataFrame, merge=merge_latest) -> int:
+        """A version with the updates merged in (by default each replaces the rows of its key); only their parts are read and written."""
+        parts = self.touched(updates)
+        base = self.read(only=parts)
+        return self._publish(merge(base, updates, self.keys), base.schema, parts)
+
+    def refresh(self, source: DataFrame, build, changed: DataFrame) -> int:
+        """A derived table brought up to date where keys have changed: ``build`` makes its rows from the source rows of their parts.
+
+        ``changed`` holds the keys; ``build`` must make a row from source rows of its own key.
+        """
+        parts = self.touched(changed)
+        some = self._part(source).where(F.col("part").isin(parts)).drop("part")
+        rows = build(some)
+        return self._publish(rows, rows.schema, parts)
 
 
 def write_version(df: DataFrame, path: str, version: int, partition_by: tuple[str, ...] = ()) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,32 +27,47 @@ def incomplete(seen: DataFrame, period: str, kind: str, expected: list[str]) ->
     return got.select(period, F.array_join(F.array_sort(missing), ",").alias("missing"))
 
 
-KEY_PARTS = 64
+def _between(df: DataFrame, low, high, key: str) -> DataFrame:
+    """Rows whose first key may lie in a range; the bounds reach the scan of the sorted key files."""
+    return df if low is None or high is None else df.where(F.col(key).between(F.lit(low), F.lit(high)))
 
 
 def ingest_available(spark: SparkSession, folder: str, schema: StructType, target: str, state: str, keys: list[str], fmt: str = "json") -> None:
     """Load the files of ``folder`` that earlier calls have not, then stop.
 
     Every micro-batch is written to its own partition, which a repeated batch
-    overwrites; rows whose keys are in an earlier batch are left out. What is
-    known is a table of key hashes beside the target, in parts by hash: a batch
-    reads the parts that its own keys fall into, not all that was ever loaded.
+    overwrites; rows whose keys are in an earlier batch are left out. Nulls in
+    keys are equal to each other. A batch without rows writes none and hinders no
+    later one. Beside the target lie the keys of each batch, sorted, and a table of
+    the least and largest key of every batch so far: a batch reads the keys of
+    those batches alone whose range meets its own, and of these what lies in it.
     """
-    known = f"{target}-keys"
-    part = F.pmod(F.xxhash64(*keys), F.lit(KEY_PARTS)).cast("int")
+    known, ranges = f"{target}-keys", f"{target}-ranges"
+    key_schema = StructType([schema[k] for k in keys])
+    range_schema = StructType().add("number", "long").add("lo", key_schema).add("hi", key_schema)
+    key = F.struct(*keys)
 
     def load(batch: DataFrame, number: int) -> None:
-        rows = batch.dropDuplicates(keys).withColumn("_part", part).persist()
+        rows = batch.dropDuplicates(keys).persist()
         try:
-            parts = [r[0] for r in rows.select("_part").distinct().collect()]  # KEY_PARTS at most
-            if number and parts:
-                earlier = spark.read.parquet(known).where(F.col("part").isin(parts) & (F.col("batch") < number)).select(*keys)
-                new = rows.join(earlier, keys, "left_anti")
-            else:
-                new = rows
-            new.drop("_part").write.mode("overwrite").parquet(f"{target}/batch={number}")
-            taken = spark.read.parquet(f"{target}/batch={number}").select(*keys).withColumn("part", part).withColumn("batch", F.lit(number))
-            taken.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "batch").parquet(known)
+            span = rows.agg(F.lit(number).cast("long").alias("number"), F.min(key).alias("lo"), F.max(key).alias("hi")).where("lo IS NOT NULL").persist()
+            earlier = spark.read.schema(range_schema).parquet(f"{ranges}/batch={number - 1}") if number else spark.createDataFrame([], range_schema)
+            mine = span.select(F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+            meets = earlier.join(F.broadcast(mine), (F.col("lo") <= F.col("_hi")) & (F.col("hi") >= F.col("_lo")))
+            numbers = [r.number for r in meets.select("number").collect()]  # one a batch at most
+            new = rows
+            if numbers:
+                low, high = span.select(f"lo.{keys[0]}", f"hi.{keys[0]}").first()
+                seen = spark.read.schema(key_schema).parquet(*[f"{known}/batch={n}" for n in numbers])
+                seen = _between(seen, low, high, keys[0]).select(*[F.col(k).alias(f"_{k}") for k in keys])
+                same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+                new = rows.join(seen, same, "left_anti")
+            new.write.mode("overwrite").parquet(f"{target}/batch={number}")
+            taken = spark.read.schema(schema).parquet(f"{target}/batch={number}").select(*keys)
+            taken.sort(*keys).write.mode("overwrite").parquet(f"{known}/batch={number}")
+            span_taken = taken.agg(F.lit(number).cast("long").alias("number"), F.min(key).alias("lo"), F.max(key).alias("hi")).where("lo IS NOT NULL")
+            earlier.union(span_taken).coalesce(1).write.mode("overwrite").parquet(f"{ranges}/batch={number}")
+            span.unpersist()
         finally:
             rows.unpersist()
 
