@@ -16,14 +16,13 @@ def weekly_chart(facts: DataFrame, size: int = SIZE) -> DataFrame:
     Adds rank within the week, and per film the chart week's number and running totals.
     """
     rows = facts.withColumn("week", F.to_date(F.date_trunc("week", "day")))
-    totals = rows.groupBy("week", "film").agg(
-        F.sum("revenue").alias("revenue"),
-        F.sum("spectators").cast("long").alias("spectators"),
-        F.collect_set("venue").alias("_venues"),
-        F.count("*").alias("screens"),
-    )
+    totals = rows.groupBy("week", "film").agg(F.sum("revenue").alias("revenue"), F.sum("spectators").cast("long").alias("spectators"), F.count("*").alias("screens"))
     best = Window.partitionBy("week").orderBy(F.desc("revenue"), "film")
-    ranked = totals.withColumn("venues", F.size("_venues").cast("long")).drop("_venues").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= size)
+    ranked = totals.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= size)
+    # venues are told apart only for the films of the chart
+    shown = rows.select("week", "film", "venue").join(ranked.select("week", "film"), ["week", "film"], "left_semi")
+    venues = shown.distinct().groupBy("week", "film").agg(F.count("venue").alias("venues"))
+    ranked = ranked.join(venues, ["week", "film"])
     run = Window.partitionBy("film").orderBy("week")
     upto = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
@@ -111,16 +110,21 @@ def classify(shares: DataFrame, stats: DataFrame, width: float = WIDTH) -> DataF
 def capacity(totals: DataFrame) -> DataFrame:
     """Each week's spectators among all weeks: percent of weeks not above it, and least, most and floored mean.
 
-    Weeks are counted by value first, so the one ordered pass is over distinct
-    totals; a table of weeks is small in any case.
+    Weeks are counted by value, values by their cell of ten leading bits; the
+    cells, a bounded list, say how many weeks lie below each, and the order within
+    a cell is a matter of that cell alone.
     """
-    by_value = totals.groupBy("spectators").agg(F.count("*").alias("n"))
-    upto = Window.orderBy("spectators").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    below = by_value.select("spectators", F.sum("n").over(upto).alias("not_above"))
+    cell = F.call_function("shiftright", F.col("spectators"), F.greatest(F.length(F.bin("spectators")) - 10, F.lit(0))) + 1024 * F.length(F.bin("spectators"))
+    by_value = totals.where("spectators IS NOT NULL").groupBy("spectators", cell.alias("cell")).agg(F.count("*").alias("n"))
+    cells = by_value.groupBy("cell").agg(F.sum("n").alias("n")).agg(F.array_sort(F.collect_list(F.struct("cell", "n"))).alias("cells"))
     all_weeks = totals.agg(F.count("*").alias("weeks"), F.min("spectators").alias("least"), F.max("spectators").alias("most"), F.floor(F.avg("spectators")).alias("mean"))
-    rows = totals.join(below, "spectators").join(F.broadcast(all_weeks), F.lit(True))
-    percent = F.round((100.0 * F.col("not_above") / F.col("weeks")).cast("decimal(18,6)"), 0).cast("int")
-    return rows.select("week", "spectators", percent.alias("percentile"), "least", "most", "mean")
+    one = F.broadcast(all_weeks.join(F.broadcast(cells), F.lit(True)))
+    upto = Window.partitionBy("cell").orderBy("spectators").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lower = F.aggregate(F.filter("cells", lambda c: c["cell"] < F.col("cell")), F.lit(0).cast("long"), lambda s, c: s + c["n"])
+    values = by_value.withColumn("within", F.sum("n").over(upto)).join(one, F.lit(True))
+    percent = F.round((100.0 * (lower + F.col("within")) / F.col("weeks")).cast("decimal(18,6)"), 0).cast("int")
+    below = values.select("spectators", percent.alias("percentile"), "least", "most", "mean")
+    return totals.join(below, "spectators").select("week", "spectators", "percentile", "least", "most", "mean")
 
 
 def decay_curve(chart: DataFrame, weeks: int = 10) -> DataFrame:

@@ -91,43 +91,48 @@ def route(found: DataFrame) -> DataFrame:
     return found.withColumn("route", F.when(F.col("safe"), "matched").when(F.col("alone"), "year_conflict").when(F.col("n") > 1, "pending").otherwise("none"))
 
 
+# Ranks that a quantile is looked for between, as shares beside its own; groups below the size take the wider ones.
+NARROW, WIDE, WIDE_BELOW, WHOLE_BELOW = 0.001, 0.02, 5000, 200
+
+
 def percentile_tiers(df: DataFrame, group: str, value: str) -> DataFrame:
     """Exact quantiles per group and, above each, the number and mean of the values (tiers overlap).
 
-    Values are counted first. Ranks come from sums over ranges of values and a
-    running sum within each range, so a group's values need not meet in one task.
+    A sketch of each group's ranks gives two values between which a quantile
+    must lie. The values below are counted, those between (0.2 % of a large group
+    for each quantile) are ordered, and all are read once more for the tiers: a
+    group's values never meet in one task, whatever the values are.
     """
     ps = (25, 50, 75, 90)
     two = lambda c: F.round(c.cast("decimal(18,6)"), 2).cast("double")
-    v = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where("v IS NOT NULL").groupBy("g", "v").agg(F.count("*").alias("n"))
-    span = v.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("all"))
-    width = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    v = v.join(F.broadcast(span) if _few(span) else span, "g").withColumn("bin", F.coalesce(F.least(F.floor((F.col("v") - F.col("lo")) / width * BINS), F.lit(BINS - 1)), F.lit(0)))
-    bins = v.groupBy("g", "bin").agg(F.sum("n").alias("inside"))
-    before = Window.partitionBy("g").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.select("g", "bin", F.coalesce(F.sum("inside").over(before), F.lit(0)).alias("under"))
-    upto = Window.partitionBy("g", "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    v = v.join(bins, ["g", "bin"]).withColumn("last", F.col("under") + F.sum("n").over(upto))  # ranks last - n .. last - 1 hold v
-    at = {p: (F.col("all") - 1) * F.lit(p / 100) for p in ps}
-    holds = lambda rank: (F.col("last") > rank) & (F.col("last") - F.col("n") <= rank)
-    ends = [F.max(F.when(holds(f(at[p])), F.col("v"))).alias(f"{n}{p}") for p in ps for n, f in (("a", F.floor), ("b", F.ceil))]
-    q = v.groupBy("g").agg(F.first("all").alias("all"), *ends)
-    q = q.select("g", *[(F.col(f"a{p}") + (F.col(f"b{p}") - F.col(f"a{p}")) * (at[p] - F.floor(at[p]))).alias(f"q{p}") for p in ps])
+    v = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where("v IS NOT NULL")
+    ends = [max(0.0, min(1.0, p / 100 + d)) for p in ps for d in (-NARROW, NARROW, -WIDE, WIDE)]
+    span = v.groupBy("g").agg(F.count("*").alias("all"), F.min("v").alias("least"), F.max("v").alias("most"), F.percentile_approx("v", ends, 10000).alias("e"))
+
+    def end(i: int, high: int) -> Column:
+        whole = F.col("most" if high else "least")
+        return F.when(F.col("all") < WHOLE_BELOW, whole).when(F.col("all") < WIDE_BELOW, F.col("e")[4 * i + 2 + high]).otherwise(F.col("e")[4 * i + high])
+
+    span = span.select("g", "all", *[end(i, h).alias(f"{n}{p}") for i, p in enumerate(ps) for h, n in ((0, "lo"), (1, "hi"))])
+    placed = v.join(span, "g")
+    below = placed.groupBy("g").agg(F.first("all").alias("all"), *[F.count_if(F.col("v") < F.col(f"lo{p}")).alias(f"below{p}") for p in ps])
+    inside = F.array(*[F.when(F.col("v").between(F.col(f"lo{p}"), F.col(f"hi{p}")), F.lit(p)) for p in ps])
+    between = placed.select("g", "v", F.explode(F.array_compact(inside)).alias("p")).groupBy("g", "p", "v").agg(F.count("*").alias("n"))
+    upto = Window.partitionBy("g", "p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = between.withColumn("last", F.sum("n").over(upto)).join(below, "g")  # with those below: ranks last - n .. last - 1
+    under = F.coalesce(*[F.when(F.col("p") == p, F.col(f"below{p}")) for p in ps])
+    at = (F.col("all") - 1) * F.col("p") / 100
+    holds = lambda rank: (F.col("last") + under > rank) & (F.col("last") + under - F.col("n") <= rank)
+    found = ranked.groupBy("g", "p").agg(F.max(F.when(holds(F.floor(at)), F.col("v"))).alias("a"), F.max(F.when(holds(F.ceil(at)), F.col("v"))).alias("b"), F.first(at).alias("at"))
+    cut = F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.floor("at"))
+    q = found.groupBy("g").agg(*[F.max(F.when(F.col("p") == p, cut)).alias(f"q{p}") for p in ps])
     above = [F.col("v") >= F.col(f"q{p}") for p in ps]
-    counts = [F.sum(F.when(a, F.col("n")).otherwise(0)).alias(f"n{p}") for a, p in zip(above, ps, strict=True)]
-    means = [two(F.sum(F.when(a, F.col("v") * F.col("n"))) / F.sum(F.when(a, F.col("n")))).alias(f"mean{p}") for a, p in zip(above, ps, strict=True)]
+    counts = [F.count_if(a).alias(f"n{p}") for a, p in zip(above, ps, strict=True)]
+    means = [two(F.avg(F.when(a, F.col("v")))).alias(f"mean{p}") for a, p in zip(above, ps, strict=True)]
     cuts = [two(F.first(f"q{p}")).alias(f"p{p}") for p in ps]
     return v.join(q, "g").groupBy(F.col("g").alias(group)).agg(*cuts, *counts, *means)
 
 
-BINS = 1024
-
-
-def _few(df: DataFrame, most: int = 100_000) -> bool:
-    """Whether a table is small enough to send to all tasks; looks at no more than that many rows."""
-    return df.limit(most + 1).count() <= most
-
-
 def mature(released: Column, made: Column, as_of: str, months: int = 2) -> Column:
     """Out for ``months`` at ``as_of``; without a release day, made before that year."""
     day = F.lit(as_of).cast("date")

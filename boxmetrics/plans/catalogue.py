@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from boxmetrics.functions import text as tx
 from boxmetrics.operators import chart as ch
+from boxmetrics.operators import pairs as pr
 from boxmetrics.operators import tables as tb
 
 WEEK, AS_OF = "1997-06-02", "2001-06-30"
@@ -367,12 +368,16 @@ def parse_numbers(spark, d):
     return read(spark, d, "orders").select("o_orderkey", tx.parse_euros(F.concat(shown, F.lit(" €"))).cast("double").alias("euros"), tx.parse_digits(shown).alias("digits"))
 
 
-@query("token_score", """WITH n AS (SELECT DISTINCT lower(p_name) AS name FROM part), p AS (SELECT a.name AS a, b.name AS b FROM n a JOIN n b ON split_part(a.name, ' ', 1) = split_part(b.name, ' ', 1))
-  SELECT a, b, round((CASE WHEN a = b THEN 1.0 WHEN contains(a, b) OR contains(b, a) THEN 0.8 ELSE len(list_intersect(list_distinct(string_split(a, ' ')), list_distinct(string_split(b, ' '))))::DOUBLE / greatest(len(list_distinct(string_split(a, ' '))), len(list_distinct(string_split(b, ' ')))) END)::DECIMAL(18,6), 4)::DOUBLE AS score FROM p""")
+OVERLAP = "(CASE WHEN a.name = b.name THEN 1.0 WHEN contains(a.name, b.name) OR contains(b.name, a.name) THEN 0.8 ELSE len(list_intersect(list_distinct(string_split(a.name, ' ')), list_distinct(string_split(b.name, ' '))))::DOUBLE / greatest(len(list_distinct(string_split(a.name, ' '))), len(list_distinct(string_split(b.name, ' ')))) END)::DOUBLE"
+
+
+@query("token_score", f"""WITH n AS (SELECT DISTINCT lower(p_name || ' ' || p_type) AS name FROM part), p AS (SELECT a.name AS a, b.name AS b, {OVERLAP} AS score FROM n a, n b)
+  SELECT a, b, round(score::DECIMAL(18,6), 4)::DOUBLE AS score FROM p WHERE score >= 0.6""")
 def token_score(spark, d):
-    n = read(spark, d, "part").select(F.lower("p_name").alias("name")).distinct().withColumn("head", F.substring_index("name", " ", 1))
-    pairs = n.select(F.col("name").alias("a"), "head").join(n.select(F.col("name").alias("b"), "head"), "head")
-    return pairs.select("a", "b", F.round(tx.token_overlap(F.col("a"), F.col("b")).cast("decimal(18,6)"), 4).cast("double").alias("score"))
+    """All pairs of titles at a likeness of 0.6 or more."""
+    n = read(spark, d, "part").select(F.lower(F.concat_ws(" ", "p_name", "p_type")).alias("a"))
+    pairs = pr.similar_texts(n, n.select(F.col("a").alias("b")), 0.6)
+    return pairs.select("a", "b", F.round(F.col("score").cast("decimal(18,6)"), 4).cast("double").alias("score"))
 
 
 @query("snapshot_history", "SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, arg_max(event_type, (ts, event_id)) AS latest FROM events GROUP BY user_id")

@@ -12,6 +12,7 @@ from boxmetrics.functions import html as ht
 from boxmetrics.functions import text as tx
 from boxmetrics.operators import chart as ch
 from boxmetrics.operators import fuzzy
+from boxmetrics.operators import pairs as pr
 from boxmetrics.operators import tables as tb
 from boxmetrics.plans import catalogue as base
 from boxmetrics.plans.catalogue import CHART, QUERIES, facts, money, query, read, sources
@@ -131,12 +132,12 @@ def dialogues(spark, d, *fields):
 
 @query("nested_exists", "SELECT conv_id FROM conversations GROUP BY conv_id HAVING bool_or(role = 'system')")
 def nested_exists(spark, d):
-    return dialogues(spark, d, "role").where(F.exists("turns", lambda t: t["role"] == "system")).select("conv_id")
+    return read(spark, d, "conversations").where("role = 'system'").select("conv_id").distinct()
 
 
 @query("nested_distinct", "SELECT DISTINCT 'role' AS field, role AS value FROM conversations WHERE trim(role) <> '' UNION SELECT DISTINCT 'k', props->>'$.k' FROM events WHERE props->>'$.k' <> ''")
 def nested_distinct(spark, d):
-    roles = dialogues(spark, d, "role").select(F.explode("turns.role").alias("value")).where(F.trim("value") != "").distinct().select(F.lit("role").alias("field"), "value")
+    roles = read(spark, d, "conversations").select(F.col("role").alias("value")).where(F.trim("value") != "").distinct().select(F.lit("role").alias("field"), "value")
     k = read(spark, d, "events").select(F.get_json_object("props", "$.k").alias("value")).where("value <> ''").distinct().select(F.lit("k").alias("field"), "value")
     return roles.unionByName(k)
 
@@ -175,7 +176,7 @@ _WORD = "split_part(text, ' ', 1)"
 @query("benchmark_people", f"SELECT key, min(word) AS name, count(DISTINCT conv_id) AS films, count(*) AS turns FROM (SELECT conv_id, {_WORD} AS word, regexp_replace({_UN.format(_WORD)}, '[^a-z0-9]', '', 'g') AS key FROM conversations) WHERE key <> '' GROUP BY key HAVING count(DISTINCT conv_id) >= 2")
 def benchmark_people(spark, d):
     word = F.substring_index("text", " ", 1)
-    people = dialogues(spark, d, "text").select("conv_id", F.explode("turns.text").alias("text")).select("conv_id", word.alias("word"), tx.alnum_key(word).alias("key")).where("key <> ''")
+    people = read(spark, d, "conversations").select("conv_id", word.alias("word"), tx.alnum_key(word).alias("key")).where("key <> ''")
     return people.groupBy("key").agg(F.min("word").alias("name"), F.count_distinct("conv_id").alias("films"), F.count("*").alias("turns")).where("films >= 2")
 
 
@@ -244,51 +245,65 @@ def match_breakdown(spark, d):
     return base._match(spark, d).join(asked.select("query_id", "year"), "query_id").groupBy("year", "route").agg(F.count("*").alias("n"))
 
 
-_OVERLAP = "(CASE WHEN a.name = b.name THEN 1.0 WHEN contains(a.name, b.name) OR contains(b.name, a.name) THEN 0.8 ELSE len(list_intersect(list_distinct(string_split(a.name, ' ')), list_distinct(string_split(b.name, ' '))))::DOUBLE / greatest(len(list_distinct(string_split(a.name, ' '))), len(list_distinct(string_split(b.name, ' ')))) END)::DOUBLE"
-_TITLES = "WITH t AS (SELECT lower(p_name) AS name, split_part(lower(p_name), ' ', 1) AS head, max(p_retailprice) AS price, min(p_size) AS size FROM part GROUP BY ALL)"
+_OVERLAP = base.OVERLAP
+_TITLES = "WITH t AS (SELECT lower(p_name) AS name, max(p_retailprice) AS price, min(p_size) AS size FROM part GROUP BY ALL)"
 
 
-@query("candidate_score", _TITLES + f""", s AS (SELECT a.name AS title, b.name AS found, {ROUND4.format(f"least(least({_OVERLAP} + CASE WHEN abs(a.size - b.size) <= 1 THEN 0.1 ELSE 0.0 END, 1.0) + least(b.price / 100000.0, 0.05), 1.0)")} AS score, b.price AS price FROM t a JOIN t b USING (head) WHERE a.name <> b.name)
+def near_names(spark, d, least: float):
+    """Pairs (name, found, s) of different names at a likeness of ``least`` or more."""
+    n = names(spark, d)
+    pairs = pr.similar_texts(n.select(F.col("name").alias("a")), n.select(F.col("name").alias("b")), least)
+    return pairs.where("a <> b").select(F.col("a").alias("name"), F.col("b").alias("found"), F.col("score").alias("s"))
+
+
+@query("candidate_score", _TITLES + f""", s AS (SELECT a.name AS title, b.name AS found, {ROUND4.format(f"least(least({_OVERLAP} + CASE WHEN abs(a.size - b.size) <= 1 THEN 0.1 ELSE 0.0 END, 1.0) + least(b.price / 100000.0, 0.05), 1.0)")} AS score, b.price AS price FROM t a, t b WHERE a.name <> b.name AND {_OVERLAP} >= 0.5)
   SELECT title, found, score FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY score DESC, price DESC, found) AS n FROM s) WHERE n = 1""")
 def candidate_score(spark, d):
-    t = names(spark, d).groupBy("name").agg(F.max("p_retailprice").alias("price"), F.min("p_size").alias("size")).withColumn("head", F.substring_index("name", " ", 1))
-    b = t.select("head", F.col("name").alias("found"), F.col("price").alias("_price"), F.col("size").alias("_size"))
-    pair = t.join(b, "head").where("name <> found")
-    near = F.least(tx.token_overlap(F.col("name"), F.col("found")) + F.when(F.abs(F.col("size") - F.col("_size")) <= 1, 0.1).otherwise(0.0), F.lit(1.0))
+    """The best candidate of each title among those half alike."""
+    t = names(spark, d).groupBy("name").agg(F.max("p_retailprice").alias("price"), F.min("p_size").alias("size"))
+    b = t.select(F.col("name").alias("found"), F.col("price").alias("_price"), F.col("size").alias("_size"))
+    pair = near_names(spark, d, 0.5).join(t, "name").join(b, "found")
+    near = F.least(F.col("s") + F.when(F.abs(F.col("size") - F.col("_size")) <= 1, 0.1).otherwise(0.0), F.lit(1.0))
     score = F.least(near + F.least(F.col("_price") / 100000.0, F.lit(0.05)), F.lit(1.0))
     rows = pair.select(F.col("name").alias("title"), "found", round4(score).alias("score"), "_price")
     return tb.best_row(rows, ["title"], [F.desc("score"), F.desc("_price"), F.col("found")]).select("title", "found", "score")
 
 
-@query("candidate_confidence", f"""WITH t AS (SELECT lower(p_name) AS name, split_part(lower(p_name), ' ', 1) AS head, min(l_shipdate)::DATE AS day FROM part JOIN lineitem ON l_partkey = p_partkey GROUP BY ALL),
-  s AS (SELECT a.name AS title, b.name AS found, {_OVERLAP} AS score, abs(a.day - b.day) AS days, year(a.day) = year(b.day) AS same FROM t a JOIN t b USING (head)),
-  k AS (SELECT *, CASE WHEN score >= 0.75 AND days = 0 THEN 1 WHEN score >= 0.75 AND days <= 45 THEN 2 WHEN score >= 0.9 AND same THEN 3 WHEN score >= 0.4 THEN 4 ELSE 5 END AS grade FROM s)
+@query("candidate_confidence", f"""WITH t AS (SELECT lower(p_name) AS name, min(l_shipdate)::DATE AS day FROM part JOIN lineitem ON l_partkey = p_partkey GROUP BY ALL),
+  s AS (SELECT a.name AS title, b.name AS found, {_OVERLAP} AS score, abs(a.day - b.day) AS days, year(a.day) = year(b.day) AS same FROM t a, t b),
+  k AS (SELECT *, CASE WHEN score >= 0.75 AND days = 0 THEN 1 WHEN score >= 0.75 AND days <= 45 THEN 2 WHEN score >= 0.9 AND same THEN 3 WHEN score >= 0.4 THEN 4 ELSE 5 END AS grade FROM s WHERE score >= 0.4)
   SELECT title, found, grade::INT AS grade FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY grade, score DESC, found) AS n FROM k WHERE title <> found) WHERE n = 1""")
 def candidate_confidence(spark, d):
+    """The candidate of the best grade for each title that has any at 0.4, the least likeness with a grade of its own."""
     first = read(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min("l_shipdate").alias("day"))
-    t = names(spark, d).join(first, "p_partkey").groupBy("name").agg(F.to_date(F.min("day")).alias("day")).withColumn("head", F.substring_index("name", " ", 1))
-    pair = t.join(t.select("head", F.col("name").alias("found"), F.col("day").alias("_day")), "head").where("name <> found")
-    s, days = tx.token_overlap(F.col("name"), F.col("found")), F.abs(F.date_diff("day", "_day"))
+    t = names(spark, d).join(first, "p_partkey").groupBy("name").agg(F.to_date(F.min("day")).alias("day"))
+    pair = near_names(spark, d, 0.4).join(t, "name").join(t.select(F.col("name").alias("found"), F.col("day").alias("_day")), "found")
+    s, days = F.col("s"), F.abs(F.date_diff("day", "_day"))
     grade = F.when((s >= 0.75) & (days == 0), 1).when((s >= 0.75) & (days <= 45), 2).when((s >= 0.9) & (F.year("day") == F.year("_day")), 3).when(s >= 0.4, 4).otherwise(5)
     rows = pair.select(F.col("name").alias("title"), "found", grade.alias("grade"), s.alias("s"))
     return tb.best_row(rows, ["title"], [F.col("grade"), F.desc("s"), F.col("found")]).select("title", "found", "grade")
 
 
-_DIGIT = "right(s_name, 2)"
+_SCORE = "(CASE WHEN list_sort(x) = list_sort(y) AND kind = 0 THEN 1.0 ELSE len(list_intersect(x, y))::DOUBLE / greatest(len(x), len(y)) END + least(c_acctbal / 500.0, 0.05))"
 
 
-@query("name_score", f"""WITH s AS (SELECT s_suppkey, {_DIGIT} AS tail, 'De ' || {_DIGIT} || ' Roca, Ana' AS asked, ['de', {_DIGIT}, 'roca', 'ana'] AS x FROM supplier),
-  c AS (SELECT c_custkey, c_acctbal, right(c_name, 2) AS tail, CASE c_custkey % 3 WHEN 0 THEN ['ana', 'de', right(c_name, 2), 'roca'] WHEN 1 THEN ['ana', right(c_name, 2), 'roca'] ELSE ['pep', right(c_name, 2)] END AS y FROM customer)
-  SELECT s_suppkey, c_custkey, {ROUND4.format("least(1.0, CASE WHEN len(y) = 4 THEN 1.0 ELSE len(list_intersect(x, y))::DOUBLE / greatest(len(x), len(y)) END + least(c_acctbal / 500.0, 0.05))")} AS score
-  FROM s JOIN c USING (tail) WHERE CASE WHEN len(y) = 4 THEN 1.0 ELSE len(list_intersect(x, y))::DOUBLE / greatest(len(x), len(y)) END + least(c_acctbal / 500.0, 0.05) >= 0.4""")
+@query("name_score", f"""WITH s AS (SELECT s_suppkey, ['b' || s_suppkey % 97, 'ana', 'c' || s_suppkey % 31] AS x FROM supplier),
+  c AS (SELECT c_custkey, c_acctbal, c_custkey % 3 AS kind, CASE c_custkey % 3 WHEN 0 THEN ['ana', 'b' || c_custkey % 97, 'c' || c_custkey % 31] WHEN 1 THEN ['ana', 'c' || c_custkey % 31] ELSE ['pep', 'b' || c_custkey % 97] END AS y FROM customer)
+  SELECT s_suppkey, c_custkey, {ROUND4.format(f"least(1.0, {_SCORE})")} AS score
+  FROM s, c WHERE len(list_intersect(x, y))::DOUBLE / greatest(len(x), len(y)) >= 0.6 AND least(1.0, {_SCORE}) >= 0.6""")
 def name_score(spark, d):
-    tail = lambda c: F.substring(c, -2, 2)
-    s = read(spark, d, "supplier").select("s_suppkey", tail("s_name").alias("tail"), F.concat(F.lit("De "), tail("s_name"), F.lit(" Roca, Ana")).alias("asked"))
+    """Suppliers among customers as people: equal names, turned round or not, and those of which 0.6 of the words are common."""
+    part = lambda letter, key, n: F.concat(F.lit(letter), (F.col(key) % n).cast("string"))
+    s = read(spark, d, "supplier").select("s_suppkey", F.concat(part("B", "s_suppkey", 97), F.lit(", Ana "), part("C", "s_suppkey", 31)).alias("asked"))
     kind = F.col("c_custkey") % 3
-    name = F.when(kind == 0, F.concat(F.lit("Ana de "), "tail", F.lit(" Roca"))).when(kind == 1, F.concat(F.lit("Ana "), "tail", F.lit(" ROCA"))).otherwise(F.concat(F.lit("Pep "), "tail"))
-    c = read(spark, d, "customer").select("c_custkey", "c_acctbal", tail("c_name").alias("tail")).withColumn("name", name)
+    b, c31 = part("b", "c_custkey", 97), part("C", "c_custkey", 31)
+    name = F.when(kind == 0, F.concat_ws(" ", F.lit("Ana"), c31, b)).when(kind == 1, F.concat_ws(" ", F.lit("Ána"), c31)).otherwise(F.concat_ws(" ", F.lit("Pep"), b))
+    c = read(spark, d, "customer").select("c_custkey", "c_acctbal", name.alias("name"))
+    words = lambda n: F.array_distinct(F.split(tx.person_words(F.col(n)), " "))
+    near = pr.similar_sets(s.select(F.col("asked").alias("a"), words("asked").alias("x")).distinct(), c.select(F.col("name").alias("b"), words("name").alias("y")).distinct(), 0.6)
+    pair = s.join(near, F.col("asked") == F.col("a")).join(c, F.col("name") == F.col("b"))
     score = F.least(F.lit(1.0), tx.person_score(F.col("asked"), F.col("name")) + F.least(F.col("c_acctbal") / 500, F.lit(0.05)))
-    return s.join(c, "tail").select("s_suppkey", "c_custkey", round4(score).alias("score")).where("score >= 0.4")
+    return pair.select("s_suppkey", "c_custkey", round4(score).alias("score")).where("score >= 0.6")
 
 
 @query("resolved_status", """SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN CASE WHEN quality = 1 THEN 'matched' ELSE 'no_sheet' END WHEN item_id IS NOT NULL THEN 'matched' WHEN n_chars > 5000 THEN 'pending' ELSE 'review' END AS status,
@@ -417,7 +432,7 @@ def manifest_pair(spark, d):
 
 def _plain(sql):
     """The references that the tables' pages hold; a test and ``reference_forms`` have the others."""
-    return f"replace(replace(replace(replace(replace({sql}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&nbsp;', ' '), '&amp;', '&')"
+    return f"regexp_replace(replace(replace(replace(replace({sql}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&nbsp;', ' '), '&amp;?', '&', 'g')"
 
 
 def _squeezed(sql):

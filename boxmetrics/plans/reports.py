@@ -10,6 +10,7 @@ from boxmetrics.functions import text as tx
 from boxmetrics.operators import decisions as dc
 from boxmetrics.operators import layout as ly
 from boxmetrics.operators import pages as pg
+from boxmetrics.operators import pairs as pr
 from boxmetrics.operators import tables as tb
 from boxmetrics.plans import catalogue as base
 from boxmetrics.plans.catalogue import CHART, facts, query, read
@@ -232,26 +233,29 @@ def title_forms(spark, d):
 _WORDS = "list_filter(string_split(lower(p_name || ' ' || p_type), ' '), lambda w: len(w) > 2)"
 
 
-@query("title_shares", f"""WITH n AS (SELECT DISTINCT p_name, p_type FROM part), w AS (SELECT p_name, p_type, {_WORDS} AS a FROM n), p AS (SELECT a.p_name || ' ' || a.p_type AS asked, b.p_name || ' ' || b.p_type AS found, a.a AS x, b.a AS y FROM w a JOIN w b ON split_part(a.p_name, ' ', 2) = split_part(b.p_name, ' ', 2))
-  SELECT asked, found, {ROUND4.format("len(list_filter(x, lambda w: contains(lower(found), w)))::DOUBLE / len(x)")} AS share, {ROUND4.format("len(list_intersect(x, y))::DOUBLE / greatest(len(list_distinct(x)), len(list_distinct(y)))")} AS strict FROM p""")
+@query("title_shares", f"""WITH n AS (SELECT DISTINCT p_name, p_type FROM part), w AS (SELECT p_name || ' ' || p_type AS title, {_WORDS} AS a FROM n), p AS (SELECT a.title AS asked, b.title AS found, a.a AS x, b.a AS y FROM w a, w b)
+  SELECT asked, found, {ROUND4.format("len(list_filter(x, lambda w: contains(lower(found), w)))::DOUBLE / len(x)")} AS share, {ROUND4.format("len(list_intersect(x, y))::DOUBLE / greatest(len(list_distinct(x)), len(list_distinct(y)))")} AS strict FROM p
+  WHERE len(list_intersect(x, y))::DOUBLE / greatest(len(list_distinct(x)), len(list_distinct(y))) >= 0.6""")
 def title_shares(spark, d):
-    """Share of a title's telling words found in another title, and the symmetric one, for titles that end alike."""
-    t = read(spark, d, "part").select("p_name", "p_type").distinct().select(F.concat_ws(" ", "p_name", "p_type").alias("title"), F.substring_index("p_name", " ", -1).alias("tail"))
-    w = t.withColumn("words", tx.telling_words(F.col("title")))
-    pair = w.select(F.col("title").alias("asked"), F.col("words").alias("x"), "tail").join(w.select(F.col("title").alias("found"), F.col("words").alias("y"), "tail"), "tail")
-    return pair.select("asked", "found", round4(tx.contained_share(F.col("x"), F.lower("found"))).alias("share"), round4(tx.strict_share(F.col("x"), F.col("y"))).alias("strict"))
+    """For titles of which 0.6 of the telling words of the longer one are common: that share, and the share found in the other as it stands."""
+    t = read(spark, d, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("asked")).distinct().withColumn("words", tx.telling_words(F.col("asked")))
+    u = t.select(F.col("asked").alias("found"), F.col("words").alias("_words"))
+    near = pr.similar_sets(t.select(F.col("asked").alias("a"), F.array_distinct("words").alias("x")), u.select(F.col("found").alias("b"), F.array_distinct("_words").alias("y")), 0.6)
+    pair = near.select(F.col("a").alias("asked"), F.col("b").alias("found")).join(t, "asked").join(u, "found")
+    return pair.select("asked", "found", round4(tx.contained_share(F.col("words"), F.lower("found"))).alias("share"), round4(tx.strict_share(F.col("words"), F.col("_words"))).alias("strict"))
 
 
-@query("film_match", f"""WITH t AS (SELECT lower(p_name) AS name, split_part(lower(p_name), ' ', 1) AS head, p_type AS kind, min(p_partkey) AS id, max(p_retailprice) AS price, min(p_size) AS size FROM part GROUP BY ALL),
-  p AS (SELECT a.id AS query_id, b.id AS id, b.size AS size, b.price / 1000.0 AS popularity, b.kind AS kind, least(least({_OVERLAP} + CASE WHEN abs(a.size - b.size) <= 1 THEN 0.1 ELSE 0.0 END, 1.0) + least(b.price / 1000000.0, 0.05), 1.0) AS score FROM t a JOIN t b USING (head) WHERE a.name <> b.name AND NOT (b.price / 1000.0 < 0.95 AND b.size < 5)),
+@query("film_match", f"""WITH t AS (SELECT lower(p_name) AS name, p_type AS kind, min(p_partkey) AS id, max(p_retailprice) AS price, min(p_size) AS size FROM part GROUP BY ALL),
+  p AS (SELECT a.id AS query_id, b.id AS id, b.size AS size, b.price / 10000.0 AS popularity, b.kind AS kind, least(least({base.OVERLAP} + CASE WHEN abs(a.size - b.size) <= 1 THEN 0.1 ELSE 0.0 END, 1.0) + least(b.price / 10000000.0, 0.05), 1.0) AS score FROM t a, t b WHERE a.name <> b.name AND {base.OVERLAP} >= 0.5 AND NOT (b.price / 10000.0 < 0.2 AND b.size < 5)),
   r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, popularity DESC, id) AS n FROM p)
-  SELECT query_id, id, {ROUND4.format('score')} AS score FROM r WHERE n = 1 AND kind IN ('ECONOMY', 'SMALL', 'STANDARD') AND NOT (size * 5 > 0 AND size * 5 < 40)""".replace("b.price / 1000.0 < 0.95", "b.price / 1000.0 < 0.2"))
+  SELECT query_id, id, {ROUND4.format('score')} AS score FROM r WHERE n = 1 AND kind IN ('ECONOMY', 'SMALL', 'STANDARD') AND NOT (size * 5 > 0 AND size * 5 < 40)""")
 def film_match(spark, d):
-    """The best candidate by score, rejected outright if it is foreign or short."""
-    t = read(spark, d, "part").groupBy(F.lower("p_name").alias("name"), F.col("p_type").alias("kind")).agg(F.min("p_partkey").alias("id"), F.max("p_retailprice").alias("price"), F.min("p_size").alias("size")).withColumn("head", F.substring_index("name", " ", 1))
-    asked = t.select("head", F.col("id").alias("query_id"), F.col("name").alias("asked"), F.col("size").alias("year"))
-    found = t.select("head", "id", F.col("name").alias("title"), F.col("name").alias("original_title"), F.col("size").alias("released"), (F.col("price") / 1000.0).alias("popularity"), F.col("size").alias("votes"), F.when(F.col("kind").isin("ECONOMY", "SMALL"), "es").otherwise("en").alias("language"), F.when(F.col("kind") == "STANDARD", F.array(F.lit("FR"), F.lit("ES"))).alias("countries"), (F.col("size") * 5).alias("minutes"))
-    best = dc.best_film(asked.join(found, "head").where("asked <> title"), domestic=True)
+    """The best candidate by score among titles half alike, rejected outright if it is foreign or short; unknown ones with few votes are not tried."""
+    t = read(spark, d, "part").groupBy(F.lower("p_name").alias("name"), F.col("p_type").alias("kind")).agg(F.min("p_partkey").alias("id"), F.max("p_retailprice").alias("price"), F.min("p_size").alias("size"))
+    asked = t.select(F.col("id").alias("query_id"), F.col("name").alias("asked"), F.col("size").alias("year"))
+    found = t.select("id", F.col("name").alias("title"), F.col("name").alias("original_title"), F.col("size").alias("released"), (F.col("price") / 10000.0).alias("popularity"), F.col("size").alias("votes"), F.when(F.col("kind").isin("ECONOMY", "SMALL"), "es").otherwise("en").alias("language"), F.when(F.col("kind") == "STANDARD", F.array(F.lit("FR"), F.lit("ES"))).alias("countries"), (F.col("size") * 5).alias("minutes"))
+    near = pr.similar_texts(asked.select(F.col("asked").alias("a")), found.select(F.col("title").alias("b")), 0.5).select(F.col("a").alias("asked"), F.col("b").alias("title"))
+    best = dc.best_film(asked.join(near, "asked").join(found, "title").where("asked <> title"), domestic=True)
     return best.select("query_id", "id", round4(F.col("score")).alias("score"))
 
 
