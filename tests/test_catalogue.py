@@ -4,7 +4,7 @@ import decimal
 import duckdb
 import pytest
 
-from boxmetrics.plans import catalogue, records, reports  # noqa: F401
+from boxmetrics.plans import catalogue, printed, records, reports  # noqa: F401
 
 from .conftest import MEDIUM
 
