@@ -6,10 +6,11 @@ for a short notice within other text. A multinomial logistic
 regression over word unigrams and bigrams (present or not) is trained on notices
 made from the templates below, a bounded set, on the driver: names in phrases,
 texts whole and in pieces, and each with the words of others about it. Scanning
-uses built-in functions alone. A unit without any of the cues below, bits
-of words of which every notice has one, is unknown; so most texts are passed over
-before they are cut into units. The accepting
-probability is calibrated on notices that training did not see. A unit whose best
+uses built-in functions alone. Only words and pairs of words with weights move a
+score: a text without a single word of these is unknown by the model itself, and
+is passed over before it is cut into units; nothing else is. The accepting
+probability is calibrated on the scanned paragraphs that hold less than half of any
+wording or name: all but one in a thousand of them fall short of it. A unit whose best
 class falls short of it is unknown; one that speaks of a licence all the same is
 reported as unknown. A prediction is confirmed when a template of its family (its
 text or, failing that, a name of it) is contained in the unit nearly whole.
@@ -20,23 +21,22 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table, texts
+from .common import staged, table, texts
 
 # Names by which licence families are called in notices.
 NAMES = {
-    "apache": ["apache license version 2.0", "apache license 2.0", "apache software license", "apache 2.0 license", "apache-2.0"],
+    "apache": ["apache license version 2.0", "apache license 2.0", "apache software license", "apache 2.0 license", "apache-2.0", "apache 2.0", "apache license"],
     "mit": ["mit license", "mit licence", "mit license mit", "mit open source license", "expat license"],
-    "gpl": ["gnu general public license version 3", "gnu general public license version 2", "gnu gpl", "gpl version 3", "gpl-3.0-or-later", "gpl-2.0-only"],
-    "lgpl": ["gnu lesser general public license", "gnu lesser general public license version 2.1", "lgpl version 3", "lgpl-2.1-or-later"],
-    "agpl": ["gnu affero general public license", "gnu affero general public license version 3", "agpl version 3", "agpl-3.0-only"],
+    "gpl": ["gnu general public license version 3", "gnu general public license version 2", "gnu gpl", "gpl version 3", "gpl-3.0-or-later", "gpl-2.0-only", "gplv2", "gplv3", "gpl v2", "gpl v3"],
+    "lgpl": ["gnu lesser general public license", "gnu lesser general public license version 2.1", "lgpl version 3", "lgpl-2.1-or-later", "lgplv3", "lgpl v3"],
+    "agpl": ["gnu affero general public license", "gnu affero general public license version 3", "agpl version 3", "agpl-3.0-only", "agplv3"],
     "bsd": ["bsd license", "bsd 3-clause license", "bsd 2-clause license", "new bsd license", "bsd-3-clause"],
     "mpl": ["mozilla public license", "mozilla public license version 2.0", "mpl 2.0", "mpl-2.0"],
-    "cc": ["cc by 4.0", "cc by-sa 4.0", "cc by-nc 4.0", "cc by-nc-sa 4.0", "creative commons attribution 4.0 international license", "creative commons attribution-noncommercial 4.0", "cc0 1.0 universal"],
+    "cc": ["cc by 4.0", "cc by-sa 4.0", "cc by", "cc by-sa", "cc-by-sa 4.0", "cc by-nc 4.0", "cc by-nc-sa 4.0", "creative commons attribution 4.0 international license", "creative commons attribution-noncommercial 4.0", "cc0 1.0 universal"],
     "isc": ["isc license", "isc licence"],
     "boost": ["boost software license", "boost software license version 1.0", "bsl-1.0"],
     "zlib": ["zlib license", "zlib/libpng license"],
@@ -46,7 +46,7 @@ NAMES = {
     "artistic": ["artistic license 2.0", "perl artistic license", "artistic-2.0"],
 }
 # The phrases around the names, and full sentences of the families.
-PHRASES = ["licensed under the {}", "licensed under {}", "released under the {}", "this work is licensed under the {}", "distributed under the terms of the {}", "this file is part of a project under the {}", "available under the {}", "spdx-license-identifier {}", "see the {} for details", "you may use this file under the {}", "{}"]
+PHRASES = ["licensed under the {}", "licensed under {}", "released under the {}", "this work is licensed under the {}", "distributed under the terms of the {}", "this file is part of a project under the {}", "available under the {}", "spdx-license-identifier {}", "see the {} for details", "you may use this file under the {}", "{}", "under {}", "is {}", "under the {} terms", "code under a {}", "comes with the {}"]
 # Texts are pieces of the licences' own wording, as projects carry them; the longest stand for the whole.
 SENTENCES = {
     "apache": [
@@ -91,10 +91,10 @@ OTHERS = [
     "licensed under our own terms", "you may use this file", "this file is part of a project", "mozilla foundation", "gnu project", "apache helicopter", "mit professors", "the affero company", "sold under license", "license fee for public use",
     "the software is sold with a warranty of two years", "without warranty the phone costs less", "copies of the book are free of charge", "the above notice was posted at the door", "permission to enter is granted to any person with a ticket", "provided as is on a best effort basis", "see the license for details", "the following conditions are met by all members", "the names of its contributors are listed below", "redistribution of income and wealth", "in no event shall the match be played at night",
 ]
-# Bits of lowered text of which a notice has one at least.
-CUES = ["licens", "licenc", "copyright", "permission", "warrant", "redistribut", "rights reserved", "public domain", "released under", "distributed under", "software", "gnu", "gpl", "apache", "bsd", "mozilla", "mpl 2", "mpl-2", "cc by", "cc0", "creative commons", "bsl-", "zlib", "epl-", "eupl", "artistic", "spdx"]
 UNKNOWN = "unknown"
-LEAST = 0.7  # accepting probability at least
+LEAST = 0.5  # accepting probability at least: a family must be likelier than all else together
+QUIET, MARGIN = 0.999, 0.02  # part of the paragraphs without a notice that is not to be accepted, and how far from it
+HINT = 0.5  # of a wording's or name's grams, from which a paragraph may be a notice and is not calibrated on
 CONFIRMED = 0.8  # of a template's grams
 TOKEN = r"[a-z0-9][a-z0-9.+-]*[a-z0-9+]|[a-z0-9]"
 
@@ -143,8 +143,6 @@ class Model:
         self.classes, self.weights, self.bias, self.accept = classes, weights, bias, accept
 
     def probabilities(self, text: str) -> list[float]:
-        if not any(c in text.lower() for c in CUES):
-            return [float(c == UNKNOWN) for c in self.classes]
         z = list(self.bias)
         for g in grams_of(words_of(text)):
             for k, w in enumerate(self.weights.get(g, ())):
@@ -155,7 +153,7 @@ class Model:
 
 
 def train(rounds: int = 300, rate: float = 2.0, ridge: float = 0.002) -> Model:
-    """Batch gradient descent on the notices; every fourth is kept for calibrating the accepting probability."""
+    """Batch gradient descent on the notices; the accepting probability is the least one until it is calibrated."""
     import numpy as np
 
     rows = training_notices()
@@ -168,46 +166,37 @@ def train(rounds: int = 300, rate: float = 2.0, ridge: float = 0.002) -> Model:
         x[r, [index[g] for g in gs if g in index]] = 1
         x[r, -1] = 1
     y = np.array([[c == f for c in classes] for _, f in rows], float)
-    kept = np.arange(len(rows)) % 4 == 3
-
-    def fitted(x, y):
-        w = np.zeros((x.shape[1], y.shape[1]))
-        for _ in range(rounds):
-            z = x @ w
-            p = np.exp(z - z.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            w -= rate * (x.T @ (p - y) / len(x) * 4 + ridge * w) / 4
-        return w
-
-    w = fitted(x[~kept], y[~kept])
-    z = x[kept] @ w
-    p = np.exp(z - z.max(axis=1, keepdims=True))
-    p /= p.sum(axis=1, keepdims=True)
-    best, right = p[:, :-1].max(axis=1), y[kept]
-    wrong = best[right[:, -1] == 1]
-    accept = float(np.clip(np.quantile(wrong, 0.98) + 0.02 if len(wrong) else 0.5, LEAST, 0.95))
-    w = fitted(x, y)
-    return Model(classes, {g: w[i].tolist() for g, i in index.items()}, w[-1].tolist(), accept)
+    w = np.zeros((x.shape[1], y.shape[1]))
+    for _ in range(rounds):
+        z = x @ w
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        w -= rate * (x.T @ (p - y) / len(x) * 4 + ridge * w) / 4
+    return Model(classes, {g: w[i].tolist() for g, i in index.items()}, w[-1].tolist(), LEAST)
 
 
 def _words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN), F.lit(0))
 
 
-def _grams(words: Column) -> Column:
-    stop = F.array(*map(F.lit, STOP))
-    tells = lambda w: ~F.array_contains(stop, w)
-    pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.when(tells(a) | tells(b), F.concat(a, F.lit(" "), b)))
-    return F.array_distinct(F.concat(F.filter(words, tells), F.filter(pairs, lambda p: p.isNotNull())))
+def _listed(values) -> Column:
+    return F.split(F.lit("\n".join(sorted(values))), "\n")
 
 
-# What speaks of a licence though no family is told.
-SPEAKS = r"(?i)licen[cs]ed under|released under|distributed under the terms|spdx-license-identifier|permission (?:is hereby granted|to use, copy)|redistribution and use|all rights reserved"
+def _known_grams(words: Column, model: Model) -> Column:
+    """The words and pairs of neighbours that have weights, each once."""
+    pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.array_intersect(F.concat(words, pairs), _listed(model.weights))
+
 
+def has_weight(text: Column, model: Model) -> Column:
+    """Whether any word of a text is in a gram with weights. Words that tell nothing alone are in none by themselves."""
+    words = {w for g in model.weights for w in g.split()} - set(STOP)
+    return F.arrays_overlap(_words(text), _listed(words))
 
-def has_cue(text: Column) -> Column:
-    low = F.lower(text)
-    return reduce(lambda a, b: a | b, [low.contains(c) for c in CUES])
+
+# What speaks of a licence though no family is told.
+SPEAKS = r"(?i)licen[cs]ed under|released under|distributed under the terms|spdx-license-identifier|permission (?:is hereby granted|to use, copy)|redistribution and use|all rights reserved"
 
 
 def units(text: Column) -> Column:
@@ -228,20 +217,22 @@ def units(text: Column) -> Column:
     return F.flatten(F.transform(blocks, lines))
 
 
-def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
+def scan(docs: DataFrame, model: Model | None = None, accept: float | None = None) -> DataFrame:
     """Licence notices as rows (doc_id, paragraph, line, family, probability, confirmed, containment).
 
     ``line`` is null where the paragraph as a whole is the notice; its lines are
     then not told apart. A unit that speaks of a licence of no known family is of
-    the family "unknown"; any other unknown unit gives no row. Null and empty
+    the family "unknown"; any other unknown unit gives no row. The accepting
+    probability is calibrated on the texts themselves, or ``accept``. Null and empty
     texts have none; a null doc_id keeps its rows and repeated rows are answered
     each; an empty table gives no rows.
     """
     spark = docs.sparkSession
     model = model or train()
-    hot = F.filter(units(F.col("text")), lambda u: has_cue(u["text"]))
-    found = texts(docs).where(has_cue(F.col("text"))).withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", F.explode(hot).alias("p"))
-    found = found.select("row", "doc_id", "p.paragraph", "p.line", F.col("p.text").rlike(SPEAKS).alias("speaks"), _grams(_words(F.col("p.text"))).alias("grams"))
+    looked_at = lambda t: has_weight(t, model) | t.rlike(SPEAKS)
+    hot = F.filter(units(F.col("text")), lambda u: looked_at(u["text"]))
+    found = texts(docs).where(looked_at(F.col("text"))).withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", F.explode(hot).alias("p"))
+    found = found.select("row", "doc_id", "p.paragraph", "p.line", F.col("p.text").rlike(SPEAKS).alias("speaks"), _known_grams(_words(F.col("p.text")), model).alias("grams"))
     k = len(model.classes)
     # one row a template gram: a size fixed by the templates
     weights = spark.createDataFrame([(g, w) for g, w in sorted(model.weights.items())], "gram string, w array<double>")
@@ -252,12 +243,18 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     best = F.array_max(z)
     e = F.aggregate(z, F.lit(0.0), lambda acc, v: acc + F.exp(v - F.array_max(z)))
     scored = sums.withColumn("p", 1 / e).withColumn("family", F.element_at(F.array(*map(F.lit, model.classes)), F.array_position(z, best).cast("int")))
-    accepted = (F.col("family") != UNKNOWN) & (F.col("p") >= model.accept)
     known = lambda texts_: [sorted(grams_of(words_of(s)) & set(model.weights)) for s in texts_]
     templates = spark.createDataFrame([(f, known(NAMES[f]), known(SENTENCES.get(f, []))) for f in NAMES], "family string, names array<array<string>>, wordings array<array<string>>")
     share = lambda c: F.coalesce(F.array_max(F.transform(c, lambda t: F.size(F.array_intersect(t, "known")) / F.size(t))), F.lit(0.0))
-    scored = scored.withColumn("accepted", accepted).where("accepted OR speaks").withColumn("family", F.when(F.col("accepted"), F.col("family")).otherwise(UNKNOWN))
     scored = scored.join(F.broadcast(templates), "family", "left").withColumn("wording", share("wordings")).withColumn("containment", F.greatest("wording", share("names")))
+    scored = staged(scored.where((F.col("family") != UNKNOWN) | F.col("speaks")).drop("names", "wordings", "known", *[f"z{i}" for i in range(k)]), "licence-units")
+    least = model.accept if accept is None else accept
+    if accept is None:
+        quiet = scored.where((F.col("family") != UNKNOWN) & ~F.col("speaks") & (F.col("containment") < HINT))
+        least = max(least, min(0.95, (quiet.agg(F.percentile_approx("p", QUIET, 100_000)).first()[0] or 0.0) + MARGIN))
+    accepted = (F.col("family") != UNKNOWN) & (F.col("p") >= least)
+    none = F.lit(0.0)
+    scored = scored.withColumn("accepted", accepted).where("accepted OR speaks").withColumns({"family": F.when(F.col("accepted"), F.col("family")).otherwise(UNKNOWN), "wording": F.when(F.col("accepted"), F.col("wording")).otherwise(none), "containment": F.when(F.col("accepted"), F.col("containment")).otherwise(none)})
     block = Window.partitionBy("row", "paragraph")
     whole = F.coalesce(F.max(F.when(F.col("line") < 0, F.col("accepted") & (F.col("wording") >= CONFIRMED))).over(block), F.lit(False))
     some = F.max(F.when(F.col("line") >= 0, F.col("accepted"))).over(block)
