@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged, table
@@ -39,7 +39,7 @@ BLOCK_POSTINGS = 1 << 16
 SEEDS = 8
 #: Blocks that are written at a time, and bytes of a row group of the index: both bound what a task holds.
 BATCH = 64
-ROW_GROUP = 16_000_000
+ROW_GROUP = 4_000_000
 #: Blocks that a task holds while it goes through them in the order of bounds.
 GROUP = 256
 #: Bytes and number of the query texts that are searched for in one reading of the index.
@@ -327,9 +327,30 @@ def _scored(model, floors: np.ndarray, only=None):
     return run
 
 
+def _top(keep: int):
+    """Rows (query, value, id) of whole queries to the ``keep`` of the highest values, equal ones by id, null last, with their rank."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64) for _ in range(4)]
+        place = np.zeros(0, np.int64)
+        for batch in batches:
+            ids = batch.column(2)
+            new = [batch.column(0).to_numpy(), batch.column(1).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64), ids.fill_null(0).to_numpy()]
+            query, value, none, at = (np.concatenate(x) for x in zip(held, new, strict=True))
+            order = np.lexsort((at, none, -value, query))
+            ranked = query[order]
+            place = np.arange(len(order)) - np.searchsorted(ranked, ranked)
+            order, place = order[place < keep], place[place < keep]
+            held = [x[order] for x in (query, value, none, at)]
+        query, value, none, at = held
+        yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(place + 1, pa.int32()), pa.array(value), pa.array(at, mask=none > 0)], ["query", "rank", "value", "id"])
+
+    return run
+
+
 def _best_of_all(found: DataFrame, keep: int = TOP) -> DataFrame:
-    order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
+    """The best of what the tasks found; a task sends no more than ``keep`` rows a query, and as many are held of each."""
+    return found.repartition("query").mapInArrow(_top(keep), "query long, rank int, value long, id long")
 
 
 def search(blocks: DataFrame, items: DataFrame) -> DataFrame:
@@ -352,20 +373,19 @@ def search(blocks: DataFrame, items: DataFrame) -> DataFrame:
         weight = np.array([math.floor(1000 * math.log((2 * sums[0] + 2) / (2 * df.get(t, 0) + 1))) for t in range(len(queries.vocab))], np.int64)
         model = sc.broadcast(Model(queries, weight, *sums))
         bounds = blocks.select("block", "terms", "max_tf", "min_len").mapInArrow(_seeds(model, SEEDS), "query long, block long, bound long")
-        order = Window.partitionBy("query").orderBy(F.desc("bound"), "block")
-        first = bounds.withColumn("at", F.row_number().over(order)).where(F.col("at") <= SEEDS).groupBy("block").agg(F.collect_list("query").alias("queries"))
+        first = _best_of_all(bounds.select("query", "bound", "block"), SEEDS).groupBy(F.col("id").alias("block")).agg(F.collect_list("query").alias("queries"))
         seeds = {r.block: r.queries for r in first.collect()}  # at most SEEDS for each query
         only = sc.broadcast(seeds)
         schema = "query long, score long, doc_id long"
         floors = np.ones(queries.count, np.int64)
         known = blocks.join(F.broadcast(spark.createDataFrame([(b,) for b in seeds], "block long")), "block", "left_semi").select(*blocks.columns)
         for r in _best_of_all(known.mapInArrow(_scored(model, floors, only), schema)).where(F.col("rank") == TOP).collect():
-            floors[r["query"]] = r["score"]
+            floors[r["query"]] = r["value"]
         best = staged(_best_of_all(blocks.mapInArrow(_scored(model, floors), schema)), "rank-best")
         only.destroy()
         model.destroy()
         names = spark.createDataFrame([(q, item_id) for q, (item_id, _) in enumerate(held)], "query long, item_id long")
-        parts.append(best.join(F.broadcast(names), "query").select("item_id", "rank", "doc_id", "score"))
+        parts.append(best.join(F.broadcast(names), "query").select("item_id", "rank", F.col("id").alias("doc_id"), F.col("value").alias("score")))
     return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
 
 
