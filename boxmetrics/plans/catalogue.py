@@ -214,12 +214,12 @@ def source_membership(spark, d):
 def sources(spark, d):
     """The customers as a catalogue and its staging twin: overlapping, with fields missing here and there."""
     c = read(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    first = c.where("c_custkey % 3 <> 0").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")))
-    return first, c.where("c_custkey % 3 <> 1").withColumn("c_name", F.when(F.col("c_custkey") % 7 != 0, F.col("c_name")))
+    first = c.where("c_acctbal < 7000").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")))
+    return first, c.where("c_acctbal > 2000").withColumn("c_name", F.when(F.col("c_custkey") % 7 != 0, F.col("c_name")))
 
 
-_SOURCES = """WITH a AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 3 <> 0),
-b AS (SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS c_name, c_mktsegment FROM customer WHERE c_custkey % 3 <> 1)"""
+_SOURCES = """WITH a AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer WHERE c_acctbal < 7000),
+b AS (SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS c_name, c_mktsegment FROM customer WHERE c_acctbal > 2000)"""
 
 
 @query("catalog_union", _SOURCES + " SELECT * FROM a UNION ALL SELECT * FROM b WHERE c_custkey NOT IN (SELECT c_custkey FROM a)")
@@ -339,22 +339,23 @@ def match_stats(spark, d):
 
 
 _UNACCENT = "replace(replace(replace(replace(strip_accents(lower({})), 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae'), 'ø', 'o')"
-_TITLE = "CASE doc_id % 4 WHEN 0 THEN split_part(text, chr(10), 1) || ', La' WHEN 1 THEN split_part(text, chr(10), 1) || ' (2019)' WHEN 2 THEN split_part(text, chr(10), 1) || ' (V.O.), unos' ELSE split_part(text, chr(10), 1) END"
+_TITLE = "CASE (doc_id + line) % 4 WHEN 0 THEN t || ', La' WHEN 1 THEN t || ' (2019)' WHEN 2 THEN t || ' (V.O.), unos' ELSE t END"
 _OPENED = f"regexp_replace(trim(regexp_replace({_TITLE}, '\\([^)]*\\)', ' ', 'g')), '^(.*),\\s*(el|la|los|las|un|una|unos|unas)$', '\\2 \\1', 'i')"
+_LINES = "(SELECT doc_id, unnest(l) AS t, (unnest(range(0, len(l))))::INT AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))"
 
 
 def _titles(spark, d):
-    """The documents' first lines as titles: some with an article behind, some with a note in brackets."""
-    first = F.substring_index("text", "\n", 1)
-    kind = F.col("doc_id") % 4
-    title = F.concat(first, F.when(kind == 0, ", La").when(kind == 1, " (2019)").when(kind == 2, " (V.O.), unos").otherwise(""))
-    return read(spark, d, "documents").select("doc_id", title.alias("title"))
+    """All lines of the documents as titles: some with an article behind, some with a note in brackets."""
+    lines = read(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
+    kind = (F.col("doc_id") + F.col("line")) % 4
+    title = F.concat("t", F.when(kind == 0, ", La").when(kind == 1, " (2019)").when(kind == 2, " (V.O.), unos").otherwise(""))
+    return lines.select("doc_id", "line", title.alias("title"))
 
 
-@query("title_norm", f"SELECT doc_id, trim(regexp_replace({_UNACCENT.format(_OPENED)}, '[^a-z0-9]+', ' ', 'g')) AS title_key, regexp_replace({_UNACCENT.format(_TITLE)}, '[^a-z0-9]', '', 'g') AS alnum_key, regexp_replace(lower({_TITLE}), '[^a-z0-9]', '', 'g') AS raw_key FROM documents")
+@query("title_norm", f"SELECT doc_id, line, trim(regexp_replace({_UNACCENT.format(_OPENED)}, '[^a-z0-9]+', ' ', 'g')) AS title_key, regexp_replace({_UNACCENT.format(_TITLE)}, '[^a-z0-9]', '', 'g') AS alnum_key, regexp_replace(lower({_TITLE}), '[^a-z0-9]', '', 'g') AS raw_key FROM {_LINES}")
 def title_norm(spark, d):
     t = F.col("title")
-    return _titles(spark, d).select("doc_id", tx.title_key(t).alias("title_key"), tx.alnum_key(t).alias("alnum_key"), tx.raw_key(t).alias("raw_key"))
+    return _titles(spark, d).select("doc_id", "line", tx.title_key(t).alias("title_key"), tx.alnum_key(t).alias("alnum_key"), tx.raw_key(t).alias("raw_key"))
 
 
 @query("norm_search", f"SELECT doc_id FROM documents WHERE contains(regexp_replace({_UNACCENT.format('text')}, '[^a-z0-9]', '', 'g'), 'cionesta')")

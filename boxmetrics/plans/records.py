@@ -170,13 +170,12 @@ def role_merge(spark, d):
 
 
 _UN = base._UNACCENT
-_WORD = "split_part(text, ' ', 1)"
 
-
-@query("benchmark_people", f"SELECT key, min(word) AS name, count(DISTINCT conv_id) AS films, count(*) AS turns FROM (SELECT conv_id, {_WORD} AS word, regexp_replace({_UN.format(_WORD)}, '[^a-z0-9]', '', 'g') AS key FROM conversations) WHERE key <> '' GROUP BY key HAVING count(DISTINCT conv_id) >= 2")
+@query("benchmark_people", f"SELECT key, min(word) AS name, count(DISTINCT conv_id) AS films, count(*) AS turns FROM (SELECT conv_id, word, regexp_replace({_UN.format('word')}, '[^a-z0-9]', '', 'g') AS key FROM (SELECT conv_id, unnest(string_split(text, ' ')) AS word FROM conversations)) WHERE key <> '' GROUP BY key HAVING count(DISTINCT conv_id) >= 2")
 def benchmark_people(spark, d):
-    word = F.substring_index("text", " ", 1)
-    people = read(spark, d, "conversations").select("conv_id", word.alias("word"), tx.alnum_key(word).alias("key")).where("key <> ''")
+    """Words of dialogues as names: each by its key, in how many dialogues, and how often."""
+    words = read(spark, d, "conversations").select("conv_id", F.explode(F.split("text", " ")).alias("word"))
+    people = words.select("conv_id", "word", tx.alnum_key(F.col("word")).alias("key")).where("key <> ''")
     return people.groupBy("key").agg(F.min("word").alias("name"), F.count_distinct("conv_id").alias("films"), F.count("*").alias("turns")).where("films >= 2")
 
 

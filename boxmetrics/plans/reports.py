@@ -263,11 +263,11 @@ def film_match(spark, d):
 
 
 @query("chart_queue", """SELECT title, regexp_replace(lower(title), '[^a-z0-9]', '', 'g') AS key, min(day)::DATE AS released, sum(v)::DOUBLE AS revenue, count(*) AS rows FROM (SELECT c_name AS title, o_orderdate AS day, o_totalprice::DECIMAL(14,2) AS v FROM orders JOIN customer ON c_custkey = o_custkey)
-  WHERE title NOT IN (SELECT c_name FROM customer WHERE c_custkey % 3 = 0) AND regexp_replace(lower(title), '[^a-z0-9]', '', 'g') NOT IN (SELECT regexp_replace(lower(c_name), '[^a-z0-9]', '', 'g') FROM customer WHERE c_acctbal > 0) AND title ILIKE '%1%' GROUP BY title ORDER BY sum(v) DESC NULLS LAST, released DESC NULLS LAST, title LIMIT 25""")
+  WHERE title NOT IN (SELECT c_name FROM customer WHERE c_mktsegment = 'BUILDING') AND regexp_replace(lower(title), '[^a-z0-9]', '', 'g') NOT IN (SELECT regexp_replace(lower(c_name), '[^a-z0-9]', '', 'g') FROM customer WHERE c_acctbal > 0) AND title ILIKE '%1%' GROUP BY title ORDER BY sum(v) DESC NULLS LAST, released DESC NULLS LAST, title LIMIT 25""")
 def chart_queue(spark, d):
     c = read(spark, d, "customer")
     annual = read(spark, d, "orders").join(c.select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("title")), "o_custkey").select("title", F.to_date("o_orderdate").alias("released"), F.col("o_totalprice").cast("decimal(14,2)").alias("revenue"), F.lit(1).alias("spectators"))
-    sheets = c.where("c_custkey % 3 = 0 OR c_acctbal > 0").select(F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).alias("chart_title"), F.when(F.col("c_acctbal") > 0, F.upper(F.replace("c_name", F.lit("#"), F.lit(" # ")))).alias("title"))
+    sheets = c.where("c_mktsegment = 'BUILDING' OR c_acctbal > 0").select(F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_name")).alias("chart_title"), F.when(F.col("c_acctbal") > 0, F.upper(F.replace("c_name", F.lit("#"), F.lit(" # ")))).alias("title"))
     return base.money(dc.chart_queue(annual, sheets, 25, "1")).drop("spectators")
 
 
@@ -316,10 +316,10 @@ def decisions(spark, d):
     return dc.record_decisions(auto, made, "user_id").drop("note")
 
 
-@query("renamed_ids", "WITH c AS (SELECT s_suppkey AS id, s_name FROM supplier), x AS (SELECT c_custkey AS old, c_custkey + 50 AS new FROM customer WHERE c_custkey < 100 AND c_custkey % 2 = 0) SELECT coalesce(new, id) AS id, s_name FROM c LEFT JOIN x ON old = id WHERE new IS NULL OR (new NOT IN (SELECT id FROM c WHERE id NOT IN (SELECT old FROM x))) ")
+@query("renamed_ids", "WITH c AS (SELECT s_suppkey AS id, s_name FROM supplier), x AS (SELECT c_custkey AS old, c_custkey + 50 AS new FROM customer WHERE c_mktsegment = 'BUILDING') SELECT coalesce(new, id) AS id, s_name FROM c LEFT JOIN x ON old = id WHERE new IS NULL OR (new NOT IN (SELECT id FROM c WHERE id NOT IN (SELECT old FROM x))) ")
 def renamed_ids(spark, d):
     rows = read(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), "s_name")
-    changes = read(spark, d, "customer").where("c_custkey < 100 AND c_custkey % 2 = 0").select(F.col("c_custkey").alias("old"), (F.col("c_custkey") + 50).alias("new"))
+    changes = read(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("old"), (F.col("c_custkey") + 50).alias("new"))
     return dc.renamed_ids(rows, "id", changes)
 
 
