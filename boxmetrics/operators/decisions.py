@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,26 +67,28 @@ def assign_results(results: DataFrame, titles: DataFrame, least: float = LEAST_S
     ``results`` has batch, pos, id, text and ``titles`` batch, pos, title. A
     result takes the title left with the largest share of its words in the text,
     the first of equals, if that is ``least`` or it is the only title left and
-    has any. Shares are computed by Spark; what is sequential is one small call
-    a batch, which is what one search asked for.
+    has any. A batch, what one search asked for, is a list of results; the titles
+    left are carried along it.
     """
     words = lambda c: F.filter(F.split(tx.person_words(c), " "), lambda w: F.length(w) > 2)
     pair = results.where("id IS NOT NULL").select("batch", F.col("pos").alias("r"), "id", tx.person_words(F.col("text")).alias("hay")).join(titles.select("batch", F.col("pos").alias("t"), "title"), "batch")
-    shares = pair.select("batch", "r", "t", "id", "title", tx.contained_share(words(F.col("title")), F.col("hay")).alias("share"))
-
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        left, out = set(batch["t"]), []
-        for _, rows in batch.sort_values(["r", "t"]).groupby("r", sort=True):
-            rows = rows[rows["t"].isin(left) & (rows["share"] > 0)]
-            if len(rows):
-                best = rows.loc[rows["share"].idxmax()]
-                if best["share"] >= least or len(left) == 1:
-                    left.discard(best["t"])
-                    out.append((best["batch"], best["title"], best["id"]))
-        return pd.DataFrame(out, columns=["batch", "title", "id"])
-
-    kinds = {f.name: f.dataType.simpleString() for f in shares.schema}
-    return shares.groupBy("batch").applyInPandas(run, f"batch {kinds['batch']}, title string, id {kinds['id']}")
+    share = tx.contained_share(words(F.col("title")), F.col("hay"))
+    each = pair.groupBy("batch", "r", "id").agg(F.collect_list(F.struct(share.alias("share"), (-F.col("t")).alias("before"), "title")).alias("titles"))
+    batches = each.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("r", "id", "titles"))).alias("results"))
+    left = F.array_distinct(F.flatten(F.transform("results", lambda r: F.transform(r["titles"], lambda t: t["before"]))))
+    kinds = {f.name: f.dataType.simpleString() for f in each.schema}
+    none = F.array().cast(f"array<struct<title:string,id:{kinds['id']}>>")
+
+    def taken(state: Column, result: Column) -> Column:
+        fits = F.filter(result["titles"], lambda t: F.array_contains(state["left"], t["before"]) & (t["share"] > 0))
+        best = F.array_max(fits)  # the largest share, then the first place
+        ok = F.coalesce((best["share"] >= least) | ((F.size(state["left"]) == 1) & best.isNotNull()), F.lit(False))
+        rest = F.filter(state["left"], lambda t: t != best["before"])
+        found = F.concat(state["found"], F.array(F.struct(best["title"].alias("title"), result["id"].alias("id"))))
+        return F.struct(F.when(ok, rest).otherwise(state["left"]).alias("left"), F.when(ok, found).otherwise(state["found"]).alias("found"))
+
+    whole = F.aggregate("results", F.struct(left.alias("left"), none.alias("found")), taken)
+    return batches.select("batch", F.inline(whole["found"]))
 
 
 # ---------------------------------------------------------------- queues

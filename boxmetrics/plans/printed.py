@@ -12,6 +12,7 @@ from boxmetrics.functions import dates as dt
 from boxmetrics.functions import html as ht
 from boxmetrics.functions import numbers as nb
 from boxmetrics.functions import text as tx
+from boxmetrics.operators import decisions as dc
 from boxmetrics.operators import layout as ly
 from boxmetrics.operators import pages as pg
 from boxmetrics.plans.catalogue import query, read
@@ -272,3 +273,16 @@ def merge_pruned(spark, d):
     updates = read(spark, d, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
     table.upsert(updates.join(base.select("c_custkey"), "c_custkey", "left_semi"))
     return table.read()
+
+
+@query("assign_results", "SELECT p_partkey // 5 AS batch, p_name || ' code' || p_partkey AS title, p_partkey AS id FROM part WHERE p_partkey % 4 <> 3")
+def assign_results(spark, d):
+    """Search results to the parts of their batch of five, the other way round; every fourth result says nothing."""
+    k = F.col("p_partkey")
+    code = F.concat(F.lit("code"), k.cast("string"))
+    batch = F.floor(k / 5).cast("long").alias("batch")
+    parts = read(spark, d, "part")
+    titles = parts.select(batch, (k % 5).cast("int").alias("pos"), F.concat_ws(" ", "p_name", code).alias("title"))
+    text = F.when(k % 4 == 3, "?").otherwise(F.concat_ws(", ", code, F.upper("p_name"), F.lit("catálogo")))
+    results = parts.select(batch, (5 - k % 5).cast("int").alias("pos"), k.alias("id"), text.alias("text"))
+    return dc.assign_results(results, titles)

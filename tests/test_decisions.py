@@ -233,3 +233,24 @@ def test_sinks(spark, tmp_path):
     files.append_rows(df, str(tmp_path / "t"))
     files.append_rows(df, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
+def test_assignment_equals_plain_code(spark):
+    import random
+
+    rng = random.Random(6)
+    vocabulary = ["sol", "mar", "isla", "noche", "tren", "rojo"]
+    some = lambda k: " ".join(rng.choices(vocabulary, k=k))
+    titles = [(b, i, f"{some(rng.randrange(1, 4))}") for b in range(60) for i in range(rng.randrange(1, 5))]
+    results = [(b, i, 100 * b + i if rng.random() < 0.9 else None, some(rng.randrange(0, 5))) for b in range(60) for i in range(rng.randrange(0, 6))]
+    want = []
+    for b in range(60):
+        left = [(p, t) for x, p, t in titles if x == b]
+        for _, _, i, text in sorted(r for r in results if r[0] == b and r[2] is not None):
+            share = lambda t, text=text: sum(w in text for w in t.split()) / len(t.split())
+            best = max(left, key=lambda t: (share(t[1]), -t[0]), default=None)
+            if best and share(best[1]) > 0 and (share(best[1]) >= 0.55 or len(left) == 1):
+                want.append((b, best[1], i))
+                left.remove(best)
+    got = dc.assign_results(spark.createDataFrame(results, "batch int, pos int, id int, text string"), spark.createDataFrame(titles, "batch int, pos int, title string"))
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 40
