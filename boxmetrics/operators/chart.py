@@ -19,10 +19,9 @@ def weekly_chart(facts: DataFrame, size: int = SIZE) -> DataFrame:
     totals = rows.groupBy("week", "film").agg(F.sum("revenue").alias("revenue"), F.sum("spectators").cast("long").alias("spectators"), F.count("*").alias("screens"))
     best = Window.partitionBy("week").orderBy(F.desc("revenue"), "film")
     ranked = totals.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= size)
-    # venues are told apart only for the films of the chart
-    shown = rows.select("week", "film", "venue").join(ranked.select("week", "film"), ["week", "film"], "left_semi")
-    venues = shown.distinct().groupBy("week", "film").agg(F.count("venue").alias("venues"))
-    ranked = ranked.join(venues, ["week", "film"])
+    # venues are told apart only for the films of the chart, which has ``size`` rows a week and can be sent to all tasks
+    shown = rows.select("week", "film", "venue").join(F.broadcast(ranked), ["week", "film"])
+    ranked = shown.groupBy(*ranked.columns).agg(F.count_distinct("venue").alias("venues"))
     run = Window.partitionBy("film").orderBy("week")
     upto = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
