@@ -124,12 +124,6 @@ def merge_rankings(spark, d):
 # Nested fields, JSON and people
 
 
-def dialogues(spark, d, *fields):
-    """Dialogues with their turns in order, each with the fields asked for."""
-    c = read(spark, d, "conversations")
-    return c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", *fields))).alias("turns"))
-
-
 @query("nested_exists", "SELECT conv_id FROM conversations GROUP BY conv_id HAVING bool_or(role = 'system')")
 def nested_exists(spark, d):
     return read(spark, d, "conversations").where("role = 'system'").select("conv_id").distinct()
@@ -144,85 +138,11 @@ def nested_distinct(spark, d):
 
 @query("nested_sort", "SELECT conv_id, string_agg(role || ' (' || n || ')', ', ' ORDER BY n DESC, turn) AS longest FROM (SELECT conv_id, turn, role, length(text) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY length(text) DESC, turn) AS i FROM conversations) WHERE i <= 3 GROUP BY conv_id")
 def nested_sort(spark, d):
-    keyed = F.transform("turns", lambda t: F.struct((-F.length(t["text"])).alias("n"), t["turn"].alias("turn"), t["role"].alias("role")))
-    label = F.transform(F.slice(F.array_sort(keyed), 1, 3), lambda t: F.concat(t["role"], F.lit(" ("), (-t["n"]).cast("string"), F.lit(")")))
-    return dialogues(spark, d, "role", "text").select("conv_id", F.array_join(label, ", ").alias("longest"))
-
-
-@query("json_flatten", "SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events")
-def json_flatten(spark, d):
-    return read(spark, d, "events").select("event_id", F.from_json("props", "k BIGINT")["k"].alias("k"))
-
-
-@query("role_coverage", """WITH u AS (SELECT user_id, list(DISTINCT event_type) AS roles, max(value) AS best FROM events GROUP BY user_id), e AS (SELECT unnest(roles) AS role, best FROM u)
-  SELECT role, count(*) AS n, count(*) FILTER (best > 90) AS flagged, round((100.0 * count(*) FILTER (best > 90)::DOUBLE / count(*)::DOUBLE)::DECIMAL(18,6), 1)::DOUBLE AS share FROM e GROUP BY role""")
-def role_coverage(spark, d):
-    u = read(spark, d, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("roles"), F.max("value").alias("best"))
-    c = u.select(F.explode("roles").alias("role"), "best").groupBy("role").agg(F.count("*").alias("n"), F.count_if(F.col("best") > 90).alias("flagged"))
-    return c.withColumn("share", F.round((100.0 * F.col("flagged").cast("double") / F.col("n").cast("double")).cast("decimal(18,6)"), 1).cast("double"))
-
-
-@query("role_merge", "SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS roles FROM events WHERE event_type IN ('signup', 'purchase') OR ts < TIMESTAMP '2024-01-10' GROUP BY user_id")
-def role_merge(spark, d):
-    old, always = F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"), F.col("event_type").isin("signup", "purchase")
-    sets = read(spark, d, "events").groupBy("user_id").agg(*[F.collect_set(F.when(w, F.col("event_type"))).alias(n) for w, n in ((old, "a"), (always, "b"))])
-    return sets.select("user_id", F.array_join(F.array_sort(F.array_union("a", "b")), ",").alias("roles")).where("roles <> ''")
-
-
-_UN = base._UNACCENT
-
-@query("benchmark_people", f"SELECT key, min(word) AS name, count(DISTINCT conv_id) AS films, count(*) AS turns FROM (SELECT conv_id, word, regexp_replace({_UN.format('word')}, '[^a-z0-9]', '', 'g') AS key FROM (SELECT conv_id, unnest(string_split(text, ' ')) AS word FROM conversations)) WHERE key <> '' GROUP BY key HAVING count(DISTINCT conv_id) >= 2")
-def benchmark_people(spark, d):
-    """Words of dialogues as names: each by its key, in how many dialogues, and how often."""
-    words = read(spark, d, "conversations").select("conv_id", F.explode(F.split("text", " ")).alias("word"))
-    people = words.select("conv_id", "word", tx.alnum_key(F.col("word")).alias("key")).where("key <> ''")
-    return people.groupBy("key").agg(F.min("word").alias("name"), F.count_distinct("conv_id").alias("films"), F.count("*").alias("turns")).where("films >= 2")
-
-
-# Titles and names
-
-
-@query("title_dedup", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_name || ' ' || p_type ELSE p_name END AS title FROM part")
-def title_dedup(spark, d):
-    kind = F.col("p_partkey") % 3
-    shown = F.when(kind == 0, F.concat_ws("  ", "p_name", F.upper("p_name"))).when(kind == 1, F.concat_ws(" ", "p_name", "p_type")).otherwise(F.col("p_name"))
-    return read(spark, d, "part").select("p_partkey", tx.undoubled(shown).alias("title"))
-
-
-@query("title_variants", """WITH t AS (SELECT p_partkey, 'la ' || p_name || ': Ñu ' || p_brand AS a, p_name || ': Ñu ' || p_brand || ' , la' AS b FROM part),
-  w AS (SELECT *, trim(regexp_replace(regexp_replace(x, '[:#,]', ' ', 'g'), '\\s+', ' ', 'g')) AS y FROM (SELECT p_partkey, unnest([a, b]) AS x, a, b FROM t)),
-  f AS (SELECT p_partkey, [a, b, (list(y) FILTER (x = a))[1], (list(y) FILTER (x = b))[1]] AS v FROM w GROUP BY p_partkey, a, b),
-  g AS (SELECT p_partkey, v, list_transform(v, lambda x: translate(x, 'Ñ', 'N')) AS u FROM f)
-  SELECT p_partkey, array_to_string(v || u || [upper(v[1]), upper(v[2])] || [split_part(v[1], ':', 1), split_part(v[2], ':', 1), upper(split_part(v[1], ':', 1)), upper(split_part(v[2], ':', 1))], '|') AS variants FROM g""")
-def title_variants(spark, d):
-    shown = F.concat("p_name", F.lit(": Ñu "), "p_brand", F.lit(" (2019), la Entertainment"))
-    return read(spark, d, "part").select("p_partkey", F.array_join(tx.title_variants(shown), "|").alias("variants"))
-
-
-@query("name_norm", " UNION ALL ".join(f"SELECT '{t}' AS origin, {k} AS id, split_part({n}, '#', 2) || ' ' || lower(split_part({n}, '#', 1)) AS name FROM {t}" for t, k, n in (("supplier", "s_suppkey", "s_name"), ("customer", "c_custkey", "c_name"))))
-def name_norm(spark, d):
-    parts = [read(spark, d, t).select(F.lit(t).alias("origin"), F.col(k).alias("id"), tx.person_key(F.concat(F.replace(n, F.lit("#"), F.lit(", ")), F.lit(".."))).alias("name")) for t, k, n in (("supplier", "s_suppkey", "s_name"), ("customer", "c_custkey", "c_name"))]
-    return parts[0].unionByName(parts[1])
-
-
-@query("norm_lookup", "SELECT regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS key, max(p_partkey) AS id FROM part GROUP BY 1")
-def norm_lookup(spark, d):
-    return read(spark, d, "part").groupBy(tx.bare_key(F.col("p_name")).alias("key")).agg(F.max("p_partkey").alias("id"))
-
-
-@query("not_in_titles", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
-def not_in_titles(spark, d):
-    big = read(spark, d, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
-    return read(spark, d, "customer").select("c_custkey", "c_name").join(big, "c_custkey", "left_anti")
-
-
-@query("scalar_lookup", "SELECT c_custkey, (SELECT min(o_orderdate)::DATE FROM orders WHERE o_custkey = c_custkey) AS first_order FROM customer")
-def scalar_lookup(spark, d):
-    first = read(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.to_date(F.min("o_orderdate")).alias("first_order"))
-    return read(spark, d, "customer").select("c_custkey").join(first, "c_custkey", "left")
-
-
-# Matching
+    """The three longest turns of each dialogue; only lengths are sorted, texts stay behind."""
+    turns = read(spark, d, "conversations").select("conv_id", "turn", "role", F.length("text").alias("n"))
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc("n"), "turn"))
+    best = turns.withColumn("i", place).where("i <= 3").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("i", "role", "n"))).alias("t"))
+    return best.select("conv_id", F.array_join(F.transform("t", lambda t: F.concat(t["role"], F.lit(" ("), t["n"].cast("string"), F.lit(")"))), ", ").alias("longest"))
 
 
 _HITS = base._MATCH + """, hit AS (SELECT query_id, c.id, year, made, kind, NOT coalesce(made BETWEEN CASE WHEN kind = 'other' THEN year - 2 ELSE year - 6 END AND CASE WHEN kind = 'redemption' THEN year ELSE year + 6 END, false) AS odd,
