@@ -14,3 +14,16 @@ def plan(df) -> str:
 def test_names_are_compared_before_the_rows_are_paired(spark):
     last = plan(records.name_score(spark, SMALL)).split("Join")[0]  # what is done to each pair of rows
     assert "regexp_replace" not in last and "array_intersect" not in last
+
+
+def test_candidates_are_ranked_before_they_meet_their_queries(spark):
+    last = plan(records.candidate_rank(spark, SMALL)).split("Join")[0]  # pairs of rows are neither sorted nor shuffled
+    assert "Window" not in last and "row_number" not in last
+
+
+def test_candidates_of_orders_without_a_day_or_kind(spark, tmp_path):
+    spark.createDataFrame([(1, "a b", "C"), (2, "a b", "C"), (3, "d", "C")], "p_partkey long, p_name string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    orders = [(10, 1, None, "1-URGENT"), (11, 2, "1990-01-01 00:00:00", "5-LOW"), (12, 3, "1995-05-05 00:00:00", None)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, day string, o_orderpriority string").select("o_orderkey", "o_custkey", F.to_timestamp("day").alias("o_orderdate"), "o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    got = sorted(tuple(r) for r in records.candidate_rank(spark, str(tmp_path)).collect())
+    assert got == [(10, 1, True, None, 1), (10, 2, True, None, 2), (11, 2, False, 0, 1), (11, 1, False, 1, 2), (12, 3, False, 4, 1)]
