@@ -1,7 +1,8 @@
 """What grows with the square of the rows, or with a group's length, is kept out of the plans; results stay the same."""
 
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
+from boxmetrics.operators import tables as tb
 from boxmetrics.plans import records
 
 from .conftest import SMALL
@@ -26,4 +27,11 @@ def test_candidates_of_orders_without_a_day_or_kind(spark, tmp_path):
     orders = [(10, 1, None, "1-URGENT"), (11, 2, "1990-01-01 00:00:00", "5-LOW"), (12, 3, "1995-05-05 00:00:00", None)]
     spark.createDataFrame(orders, "o_orderkey long, o_custkey long, day string, o_orderpriority string").select("o_orderkey", "o_custkey", F.to_timestamp("day").alias("o_orderdate"), "o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
     got = sorted(tuple(r) for r in records.candidate_rank(spark, str(tmp_path)).collect())
-    assert got == [(10, 1, True, None, 1), (10, 2, True, None, 2), (11, 2, False, 0, 1), (11, 1, False, 1, 2), (12, 3, False, 4, 1)]
+    assert got == [(10, 1, True, None, 1), (10, 2, True, None, 2), (11, 1, False, 1, 2), (11, 2, False, 0, 1), (12, 3, False, 4, 1)]
+
+
+def test_sums_of_over_twelve_digits_are_rounded(spark):
+    rows = spark.createDataFrame([(2251403475513.12345,), (1.00005,), (None,)], "v double")
+    assert [r.v for r in rows.select(records.round4(F.col("v")).alias("v")).collect()] == [2251403475513.1235, 1.0001, None]
+    large = spark.createDataFrame([("a", 5e12), ("a", 5e12)], "g string, v double")
+    assert tb.percentile_tiers(large, "g", "v").first().mean25 == 5e12
