@@ -114,15 +114,18 @@ def percentile_tiers(df: DataFrame, group: str, value: str) -> DataFrame:
         return F.when(F.col("all") < WHOLE_BELOW, whole).when(F.col("all") < WIDE_BELOW, F.col("e")[4 * i + 2 + high]).otherwise(F.col("e")[4 * i + high])
 
     span = span.select("g", "all", *[end(i, h).alias(f"{n}{p}") for i, p in enumerate(ps) for h, n in ((0, "lo"), (1, "hi"))])
+    # each value is told apart from the bounds once: sketches are not the same if made again, and counts by two of them do not add up
     placed = v.join(span, "g")
-    below = placed.groupBy("g").agg(F.first("all").alias("all"), *[F.count_if(F.col("v") < F.col(f"lo{p}")).alias(f"below{p}") for p in ps])
-    inside = F.array(*[F.when(F.col("v").between(F.col(f"lo{p}"), F.col(f"hi{p}")), F.lit(p)) for p in ps])
-    between = placed.select("g", "v", F.explode(F.array_compact(inside)).alias("p")).groupBy("g", "p", "v").agg(F.count("*").alias("n"))
-    upto = Window.partitionBy("g", "p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = between.withColumn("last", F.sum("n").over(upto)).join(below, "g")  # with those below: ranks last - n .. last - 1
-    under = F.coalesce(*[F.when(F.col("p") == p, F.col(f"below{p}")) for p in ps])
+    inside = [F.col("v").between(F.col(f"lo{p}"), F.col(f"hi{p}")) for p in ps]
+    zones = [F.when(F.col("v") < F.col(f"lo{p}"), -1).when(i, 0).otherwise(1).alias(f"zone{p}") for p, i in zip(ps, inside, strict=True)]
+    cells = placed.select("g", "all", *zones, F.when(reduce(lambda a, b: a | b, inside), F.col("v")).alias("v"))
+    cells = cells.groupBy("g", "all", *[f"zone{p}" for p in ps], "v").agg(F.count("*").alias("n"))
+    each = F.array(*[F.when(F.col(f"zone{p}") <= 0, F.struct(F.lit(p).alias("p"), F.when(F.col(f"zone{p}") == 0, F.col("v")).alias("v"))) for p in ps])
+    between = cells.select("g", "all", "n", F.explode(F.array_compact(each)).alias("c")).groupBy("g", "all", "c.p", "c.v").agg(F.sum("n").alias("n"))
+    upto = Window.partitionBy("g", "p").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = between.withColumn("last", F.sum("n").over(upto))  # with those below, which have no value: ranks last - n .. last - 1
     at = (F.col("all") - 1) * F.col("p") / 100
-    holds = lambda rank: (F.col("last") + under > rank) & (F.col("last") + under - F.col("n") <= rank)
+    holds = lambda rank: (F.col("last") > rank) & (F.col("last") - F.col("n") <= rank)
     found = ranked.groupBy("g", "p").agg(F.max(F.when(holds(F.floor(at)), F.col("v"))).alias("a"), F.max(F.when(holds(F.ceil(at)), F.col("v"))).alias("b"), F.first(at).alias("at"))
     cut = F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.floor("at"))
     q = found.groupBy("g").agg(*[F.max(F.when(F.col("p") == p, cut)).alias(f"q{p}") for p in ps])

@@ -35,3 +35,9 @@ def test_sums_of_over_twelve_digits_are_rounded(spark):
     assert [r.v for r in rows.select(records.round4(F.col("v")).alias("v")).collect()] == [2251403475513.1235, 1.0001, None]
     large = spark.createDataFrame([("a", 5e12), ("a", 5e12)], "g string, v double")
     assert tb.percentile_tiers(large, "g", "v").first().mean25 == 5e12
+
+
+def test_bounds_of_quantiles_are_sketched_once(spark):
+    """A sketch made twice may differ, by the order its parts arrive in; counts by one and values by the other do not fit."""
+    rows = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    assert plan(tb.percentile_tiers(rows, "g", "v")).count("percentile_approx") == 1
