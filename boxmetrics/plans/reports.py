@@ -13,7 +13,7 @@ from boxmetrics.operators import pages as pg
 from boxmetrics.operators import pairs as pr
 from boxmetrics.operators import tables as tb
 from boxmetrics.plans import catalogue as base
-from boxmetrics.plans.catalogue import CHART, facts, query, read
+from boxmetrics.plans.catalogue import CHART, facts, query, read, spread
 from boxmetrics.plans.records import _OVERLAP, ROUND4, round4
 
 # ---------------------------------------------------------------- reports by name
@@ -420,7 +420,7 @@ def film_pages(spark, d):
         table(head("Subvención", "Importe"), F.when(F.col("p_size") % 2 == 0, cell(F.lit("a"), money)).otherwise("")),
         table(head("Subvención", "Importe"), cell(F.lit("b"), F.lit("-"))),
     )
-    film = pg.film_page(read(spark, d, "part").select("p_partkey", html.alias("html")), "p_partkey", "html")
+    film = pg.film_page(spread(read(spark, d, "part"), "p_partkey").select("p_partkey", html.alias("html")), "p_partkey", "html")
     return film.select("p_partkey", "title", "director", "year", "released", "minutes", F.col("grants_total").cast("double").alias("grants_total"), F.size("grants").alias("n_grants"), F.array_join("tags", "|").alias("tags"), F.concat(F.col("cast")[0]["name"], F.lit("/"), F.col("cast")[0]["part"]).alias("part"))
 
 

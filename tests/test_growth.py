@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from boxmetrics.operators import tables as tb
-from boxmetrics.plans import records
+from boxmetrics.plans import printed, records, reports  # noqa: F401
 
 from .conftest import SMALL
 
@@ -41,3 +41,7 @@ def test_bounds_of_quantiles_are_sketched_once(spark):
     """A sketch made twice may differ, by the order its parts arrive in; counts by one and values by the other do not fit."""
     rows = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
     assert plan(tb.percentile_tiers(rows, "g", "v")).count("percentile_approx") == 1
+
+
+def test_pages_made_of_a_small_file_are_read_by_many_tasks(spark):
+    assert reports.film_pages(spark, SMALL).rdd.getNumPartitions() == 4  # as a shuffle has; the file is one
