@@ -70,9 +70,11 @@ def assign_results(results: DataFrame, titles: DataFrame, least: float = LEAST_S
     has any. A batch, what one search asked for, is a list of results; the titles
     left are carried along it.
     """
-    words = lambda c: F.filter(F.split(tx.person_words(c), " "), lambda w: F.length(w) > 2)
-    pair = results.where("id IS NOT NULL").select("batch", F.col("pos").alias("r"), "id", tx.person_words(F.col("text")).alias("hay")).join(titles.select("batch", F.col("pos").alias("t"), "title"), "batch")
-    share = tx.contained_share(words(F.col("title")), F.col("hay"))
+    # texts and titles are made comparable once each, before they meet
+    words = F.filter(F.split(tx.person_words(F.col("title")), " "), lambda w: F.length(w) > 2)
+    hay = results.where("id IS NOT NULL").select("batch", F.col("pos").alias("r"), "id", tx.person_words(F.col("text")).alias("hay"))
+    pair = hay.join(titles.select("batch", F.col("pos").alias("t"), "title", words.alias("words")), "batch")
+    share = tx.contained_share(F.col("words"), F.col("hay"))
     each = pair.groupBy("batch", "r", "id").agg(F.collect_list(F.struct(share.alias("share"), (-F.col("t")).alias("before"), "title")).alias("titles"))
     batches = each.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("r", "id", "titles"))).alias("results"))
     left = F.array_distinct(F.flatten(F.transform("results", lambda r: F.transform(r["titles"], lambda t: t["before"]))))

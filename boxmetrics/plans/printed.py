@@ -15,7 +15,7 @@ from boxmetrics.functions import text as tx
 from boxmetrics.operators import decisions as dc
 from boxmetrics.operators import layout as ly
 from boxmetrics.operators import pages as pg
-from boxmetrics.plans.catalogue import query, read
+from boxmetrics.plans.catalogue import query, read, spread
 from boxmetrics.plans.reports import annual_rows
 from boxmetrics.sources import files
 
@@ -281,8 +281,8 @@ def assign_results(spark, d):
     k = F.col("p_partkey")
     code = F.concat(F.lit("code"), k.cast("string"))
     batch = F.floor(k / 5).cast("long").alias("batch")
-    parts = read(spark, d, "part")
-    titles = parts.select(batch, (k % 5).cast("int").alias("pos"), F.concat_ws(" ", "p_name", code).alias("title"))
+    parts = spread(read(spark, d, "part").withColumn("batch", batch), "batch")
+    titles = parts.select("batch", (k % 5).cast("int").alias("pos"), F.concat_ws(" ", "p_name", code).alias("title"))
     text = F.when(k % 4 == 3, "?").otherwise(F.concat_ws(", ", code, F.upper("p_name"), F.lit("catálogo")))
-    results = parts.select(batch, (5 - k % 5).cast("int").alias("pos"), k.alias("id"), text.alias("text"))
+    results = parts.select("batch", (5 - k % 5).cast("int").alias("pos"), k.alias("id"), text.alias("text"))
     return dc.assign_results(results, titles)

@@ -45,3 +45,8 @@ def test_bounds_of_quantiles_are_sketched_once(spark):
 
 def test_pages_made_of_a_small_file_are_read_by_many_tasks(spark):
     assert reports.film_pages(spark, SMALL).rdd.getNumPartitions() == 4  # as a shuffle has; the file is one
+
+
+def test_results_and_titles_are_made_comparable_before_they_meet(spark):
+    met = plan(printed.assign_results(spark, SMALL)).split("Join")[0]
+    assert "regexp_replace" not in met
