@@ -47,9 +47,15 @@ def fuzzy_candidates(queries: DataFrame, catalogue: DataFrame, common: int = COM
     rows = block.select("asked", "found", ratio("asked", "found").alias("score")).where(F.col("score") >= least)
     # a key has one id at least: keys of lower scores than the best few are not needed
     rows = rows.withColumn("_n", F.dense_rank().over(Window.partitionBy("asked").orderBy(F.desc("score")))).where(F.col("_n") <= best)
-    ids = rows.join(catalogue.select("id", F.col("key").alias("found")), "found").join(queries.select("query_id", F.col("key").alias("asked")), "asked")
-    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return ids.withColumn("place", F.row_number().over(place)).where(F.col("place") <= best).select("query_id", "id", "score", "place")
+    # of one key the smallest ids alone can be kept, and queries of one key are answered alike: neither brings all its rows
+    few = Window.partitionBy("found").orderBy("id")
+    known_ids = catalogue.select("id", F.col("key").alias("found")).join(rows.select("found").distinct(), "found", "left_semi")
+    known_ids = known_ids.withColumn("_n", F.row_number().over(few)).where(F.col("_n") <= best).drop("_n")
+    place = Window.partitionBy("asked").orderBy(F.desc("score"), "id")
+    answers = rows.drop("_n").join(known_ids, "found").withColumn("place", F.row_number().over(place)).where(F.col("place") <= best)
+    answers = answers.drop("place").join(queries.select("query_id", F.col("key").alias("asked")), "asked")
+    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")  # a query may have several keys
+    return answers.withColumn("place", F.row_number().over(place)).where(F.col("place") <= best).select("query_id", "id", "score", "place")
 
 
 def unresolved(queries: DataFrame, assigned: DataFrame, exact: DataFrame) -> DataFrame:
