@@ -369,18 +369,36 @@ def typed_film(year: int) -> list[Column]:
     return [tx.undashed(F.col("title")).alias("title"), dt.parse_yearbook_day(F.col("authorised"), year).alias("authorised"), F.col("distributor"), tx.parse_digits(F.col("spectators")).alias("spectators"), tx.parse_euros(F.col("revenue")).alias("revenue"), tx.parse_euros(F.col("revenue_total")).alias("revenue_total"), F.col("country")]
 
 
+BLOCK = 4096  # lines of a book that one task numbers at a time
+APART = "\u2028"  # between the fields of a line that is read: neither a dot nor a blank of its pattern matches it
+
+
 def parse_yearbook_lines(lines: DataFrame, year: int, countries: list[str], noise: str) -> DataFrame:
-    """Films from text lines (doc_id, line, text): one line a film; lines without a date or a euro sign go on with its distributor."""
+    """Films from text lines (doc_id, line, text): one line a film; lines without a date or a euro sign go on with its distributor.
+
+    A line is matched once. Films are counted within blocks of lines; what a block
+    begins with goes on with the last film of the blocks before it.
+    """
     money = r"\d[\d.\s]*(?:,\d{2})?"
     land = "|".join(sorted(map(_quoted, countries), key=len, reverse=True))
     row = rf"(?i)^(.+?)\s+(\d{{2}}[/-]\d{{2}}[/-]\d{{2,4}})\s+(.+)\s+(\d{{1,3}}(?:\.\d{{3}})*|\d+)\s+({money})\s*€\s+({money})\s*€\s*({land})$"
-    clean = lines.withColumn("text", tx.rejoined_thousands(F.col("text"))).where(~F.col("text").rlike(noise))
-    clean = clean.withColumns({f: F.regexp_extract("text", row, i) for i, f in enumerate(YEARBOOK_FIELDS, 1)}).withColumn("begins", F.col("title") != "")
-    upto = Window.partitionBy("doc_id").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    clean = clean.withColumn("film", F.sum(F.col("begins").cast("int")).over(upto)).where("film > 0")
-    clean = clean.where("begins OR NOT (text RLIKE '\\\\d{2}[/-]\\\\d{2}[/-]\\\\d{2}' OR contains(text, '€'))")
-    more = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", F.when(F.col("begins"), F.col("distributor")).otherwise(F.col("text")).alias("t")))), lambda s: s["t"]), " ")
-    films = clean.groupBy("doc_id", "film").agg(*[F.max(F.when(F.col("begins"), F.col(f))).alias(f) for f in YEARBOOK_FIELDS if f != "distributor"], more.alias("distributor"))
+    fields = "".join(f"{APART}${i}" for i, _ in enumerate(YEARBOOK_FIELDS, 1)) + APART
+    at = F.struct("doc_id", F.floor(F.col("line") / BLOCK).alias("block")).alias("at")
+    said = F.when(~F.col("text").rlike(noise), F.regexp_replace("text", row, fields))
+    clean = lines.select(at, "line", tx.rejoined_thousands(F.col("text")).alias("text")).select("at", "line", said.alias("said")).repartition("at")
+    upto = Window.partitionBy("at").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    clean = clean.withColumn("begins", F.coalesce(F.col("said").startswith(APART), F.lit(False))).withColumn("n", F.count_if("begins").over(upto))
+    blocks = clean.groupBy("at").agg(F.max("n").alias("n"))  # reads the same columns as what it is joined to, so lines are read and dealt once
+    earlier = Window.partitionBy("at.doc_id").orderBy("at.block").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.when(F.col("n") > 0, F.struct("at.block", "n")), ignorenulls=True).over(earlier)
+    clean = clean.join(blocks.select("at", last.alias("last")), "at")
+    clean = clean.withColumn("film", F.when(F.col("n") > 0, F.struct("at.block", "n")).otherwise(F.col("last")))
+    clean = clean.where("film IS NOT NULL AND said IS NOT NULL AND (begins OR NOT (said RLIKE '\\\\d{2}[/-]\\\\d{2}[/-]\\\\d{2}' OR contains(said, '€')))")
+    field = F.split("said", APART)
+    parts = {f: F.when(F.col("begins"), field[i]) for i, f in enumerate(YEARBOOK_FIELDS, 1)}
+    clean = clean.select(F.col("at.doc_id").alias("doc_id"), "film", "line", *[F.coalesce(c, F.col("said")).alias(f) if f == "distributor" else c.alias(f) for f, c in parts.items()])
+    more = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "distributor"))), lambda s: s["distributor"]), " ")
+    films = clean.groupBy("doc_id", "film").agg(*[F.max(f).alias(f) for f in YEARBOOK_FIELDS if f != "distributor"], more.alias("distributor"))
     return films.select("doc_id", F.lit(year).alias("year"), *typed_film(year))
 
 

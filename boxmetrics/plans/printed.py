@@ -79,7 +79,7 @@ def yearbook_lines(spark, d):
     apart = F.replace(spanish(k * 1000, 0), F.lit("."), F.lit(". "))
     text = F.concat_ws(" ", F.replace("c_name", F.lit("#"), F.lit(" ")), day, F.lit("Uno Films"), apart, spanish(v), F.lit("€"), spanish(v * 3), F.lit("€"), F.when(k % 2 == 0, "REINO UNIDO").otherwise("FRANCIA"))
     more = F.when(k % 3 == 0, F.lit("y  Compañía"))
-    lines = read(spark, d, "customer").select(F.col("c_mktsegment").alias("doc_id"), F.posexplode(F.array(F.lit("TÍTULO FECHA"), text, more)).alias("i", "text"), (k * 3).alias("k")).where("text IS NOT NULL")
+    lines = spread(read(spark, d, "customer"), "c_custkey").select(F.col("c_mktsegment").alias("doc_id"), F.posexplode(F.array(F.lit("TÍTULO FECHA"), text, more)).alias("i", "text"), (k * 3).alias("k")).where("text IS NOT NULL")
     out = ly.parse_yearbook_lines(lines.select("doc_id", (F.col("k") + F.col("i")).alias("line"), "text"), 2007, ["UNIDO", "REINO UNIDO", "FRANCIA"], "(?iu)título fecha")
     return out.withColumns({"revenue": F.col("revenue").cast("double"), "revenue_total": F.col("revenue_total").cast("double")})
 

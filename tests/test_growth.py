@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from boxmetrics.operators import fuzzy
+from boxmetrics.operators import layout as ly
 from boxmetrics.operators import tables as tb
 from boxmetrics.plans import printed, records, reports  # noqa: F401
 
@@ -59,3 +60,22 @@ def test_queries_of_one_key_are_answered_once(spark):
     got = fuzzy.fuzzy_candidates(queries, known)
     assert sorted((r.query_id, r.place, r.id) for r in got.collect()) == [(q, n + 1, 2 * n) for q in range(30) for n in range(5)]
     assert "windowspecdefinition(found" in plan(got)  # a key's ids are cut to the best before they meet the queries
+
+
+def test_lines_of_a_book_are_matched_once(spark):
+    df = printed.yearbook_lines(spark, SMALL)
+    assert plan(df).count(r"\QUNIDO\E)$") == 2  # once for each of two branches that have one exchange
+    assert "windowspecdefinition(doc_id" not in plan(df)  # no task has a whole book
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_films_go_on_over_blocks_of_lines(spark, monkeypatch):
+    film = "05/03/98 Uno 1.234 5.000,10 € 6.000,20 € FRANCIA"
+    text = {0: "of no film", 1: f"FIRST {film}", 2: "and", 3: "título fecha", 6: "more", 7: f"SECOND {film}", 8: "01/01/99", 17: "other", 30: f"THIRD {film}", 31: f"FOURTH {film}", 32: "last", 33: None}
+    rows = [(d, i, t) for d in ("d", None) for i, t in text.items()]
+    for block in (1, 2, 4, 4096):
+        monkeypatch.setattr(ly, "BLOCK", block)
+        got = ly.parse_yearbook_lines(spark.createDataFrame(rows, "doc_id string, line int, text string").repartition(5), 2007, ["FRANCIA"], "(?iu)título fecha").collect()
+        assert sorted((r.title, r.distributor) for r in got if r.doc_id) == sorted((r.title, r.distributor) for r in got if not r.doc_id)
+        assert sorted((r.title, r.distributor) for r in got if r.doc_id) == [("FIRST", "Uno and more"), ("FOURTH", "Uno last"), ("SECOND", "Uno other"), ("THIRD", "Uno")]
