@@ -256,15 +256,18 @@ def parse_annual(words: DataFrame) -> DataFrame:
     lined = bucket_rows(words, 3)
     x = F.col("x0")
     part = F.when(x < F.col("rank_limit"), "rank").when(x < F.col("distributor_x") - 2, "title").when(x < F.col("date_x") - 2, "distributor").otherwise("right")
-    placed = lined.join(annual_columns(lined), "doc_id").withColumn("part", part)
-    cell = lambda n: F.transform(F.array_sort(F.collect_list(F.when(F.col("part") == n, F.struct("x0", "pos", "text")))), lambda w: w["text"]).alias(n)
-    rows = placed.groupBy(*PAGE, "y").agg(*[cell(n) for n in ("rank", "title", "distributor", "right")])
-    order = Window.partitionBy(*PAGE).orderBy("y")
+    edges = F.broadcast(annual_columns(lined))  # a few numbers a document; without the hint all words of one would meet in a task
+    placed = lined.join(edges, "doc_id").withColumn("part", part)
+    at = F.array_sort(F.collect_list(F.struct("x0", "pos", "text", "part")))
+    cell = lambda n: F.transform(F.filter("at", lambda w: w["part"] == n), lambda w: w["text"]).alias(n)
+    rows = placed.groupBy(*PAGE, "y").agg(at.alias("at")).select(*PAGE, "y", *[cell(n) for n in ("rank", "title", "distributor", "right")])
+    order = Window.partitionBy(*PAGE).orderBy("y")  # one sort for all that follows on a page
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     begins = F.coalesce(F.get("rank", F.lit(0)).rlike(r"^\d+$"), F.lit(False))
     rows = rows.withColumn("begins", begins).withColumn("record", F.sum(F.col("begins").cast("int")).over(upto)).where("record > 0")
-    earlier = Window.partitionBy(*PAGE, "record").orderBy("y").rowsBetween(Window.unboundedPreceding, -1)
-    complete = F.coalesce(F.max(F.size("distributor") > 0).over(earlier) & F.max(F.array_contains("right", "€")).over(earlier), F.lit(False))
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    seen = lambda c: F.max(F.when(c, F.col("record"))).over(earlier) == F.col("record")  # records only rise
+    complete = F.coalesce(seen(F.size("distributor") > 0) & seen(F.array_contains("right", "€")), F.lit(False))
     ahead = ~F.col("begins") & (F.size("title") > 0) & (F.size("right") > 0) & (F.size("distributor") == 0) & complete
     rows = rows.withColumn("ahead", ahead)
     carried = lambda n: F.when(F.col("begins") & F.lag("ahead").over(order), F.lag(n).over(order)).otherwise(F.array().cast("array<string>"))

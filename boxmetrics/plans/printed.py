@@ -88,18 +88,28 @@ _YEARS = """WITH p AS (SELECT year(o_orderdate)::INT AS year, o_custkey, sum(o_t
   r AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY revenue DESC, o_custkey) AS rank FROM p)"""
 
 
+def printed_places(rank: Column) -> Column:
+    """Where a film of a yearly report is printed, forty to a page: by its rank, and every tenth again, past all other pages."""
+    place = (rank - 1).cast("long")
+    return F.when(rank % 10 == 0, F.array(place, place + 40_000_000_000)).otherwise(F.array(place))
+
+
 @query("annual_print", _YEARS + " SELECT year::VARCHAR AS doc_id, rank::INT AS rank, replace(c_name, '#', ' #') AS title, 'Dist Uno' AS distributor, released, revenue::DOUBLE AS revenue, orders AS spectators FROM r JOIN customer ON c_custkey = o_custkey")
 def annual_print(spark, d):
     """Annual reports: columns told by dates and ranks; every tenth film is printed again on a later page and counts once."""
     name, rank = F.split("title", "#"), F.col("rank")
-    rows = annual_rows(spark, d).withColumn("place", rank - 1)
-    again = rows.where("rank % 10 = 0").withColumns({"place": F.col("place") + 1_000_000, "orders": F.lit(1).cast("long")})
-    top = 40 + F.col("place") % 40 * 12
-    words = [(20, top, rank), (60, top, name[0]), (90, top, F.concat(F.lit("#"), name[1])), (200, top, F.lit("Dist")), (230, top, F.lit("Uno")), (300, top, F.date_format("released", "dd/MM/yyyy")), (350, top, spanish(F.col("revenue"))), (390, top, F.lit("€")), (420, top, spanish(F.col("orders"), 0))]
-    pages = printed(rows.unionByName(again), F.col("year"), F.floor(F.col("place") / 40) + 1, words).drop("pos")
-    heads = rows.select(F.col("year").cast("string").alias("doc_id")).distinct().select("doc_id", F.lit(1).alias("page"), F.explode(F.array(*[F.struct(F.lit(float(x)).alias("x0"), F.lit(10.0).alias("top"), F.lit(t).alias("text")) for x, t in ((20, "RANK"), (60, "TÍTULO"), (200, "DISTRIBUIDORA"), (300, "FECHA"))])).alias("w")).select("doc_id", "page", "w.*")
-    both = pages.unionByName(heads)
-    return ly.parse_annual(both.withColumn("pos", F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("top", "x0")))).select("doc_id", "rank", "title", "distributor", "released", F.col("revenue").cast("double").alias("revenue"), "spectators")
+    rows = annual_rows(spark, d)
+    films = rows.select("*", F.posexplode(printed_places(rank)).alias("again", "place")).withColumn("orders", F.when(F.col("again") == 0, F.col("orders")).otherwise(1))
+    films = films.withColumns({"page": (F.floor(F.col("place") / 40) + 1).cast("int"), "line": F.col("place") % 40 + 1})
+    heads = rows.select("year").distinct().withColumns({"page": F.lit(1), "line": F.lit(0).cast("long")})
+    both = spread(films.unionByName(heads, allowMissingColumns=True).withColumn("doc_id", F.col("year").cast("string")), "doc_id", "page")  # films, not their words
+    cells = lambda *w: F.array(*[F.struct(F.lit(float(x)).alias("x0"), F.lit(t).cast("string").alias("text")) for x, t in w])
+    head = cells((20, "RANK"), (60, "TÍTULO"), (200, "DISTRIBUIDORA"), (300, "FECHA"))
+    film = cells((20, rank), (60, name[0]), (90, F.concat(F.lit("#"), name[1])), (200, "Dist"), (230, "Uno"), (300, F.date_format("released", "dd/MM/yyyy")), (350, spanish(F.col("revenue"))), (390, "€"), (420, spanish(F.col("orders"), 0)))
+    shown = F.filter(F.when(F.col("line") == 0, head).otherwise(film), lambda w: w["text"].isNotNull())
+    top = F.when(F.col("line") == 0, 10.0).otherwise(28.0 + F.col("line") * 12)
+    words = both.select("doc_id", "page", "line", top.alias("top"), F.posexplode(shown).alias("i", "w")).select("doc_id", "page", (F.col("line") * 16 + F.col("i") + 1).alias("pos"), "w.x0", "top", "w.text")
+    return ly.parse_annual(words).select("doc_id", "rank", "title", "distributor", "released", F.col("revenue").cast("double").alias("revenue"), "spectators")
 
 
 @query("two_tables", _YEARS + """ SELECT year::VARCHAR AS doc_id, 2019 AS year, upper(replace(c_name, '#', ' #')) || CASE rank % 3 WHEN 1 THEN ' DE AL LADO' WHEN 2 THEN ' LARGO' ELSE '' END AS title, released, orders AS spectators, revenue::DOUBLE AS revenue

@@ -79,3 +79,23 @@ def test_films_go_on_over_blocks_of_lines(spark, monkeypatch):
         got = ly.parse_yearbook_lines(spark.createDataFrame(rows, "doc_id string, line int, text string").repartition(5), 2007, ["FRANCIA"], "(?iu)título fecha").collect()
         assert sorted((r.title, r.distributor) for r in got if r.doc_id) == sorted((r.title, r.distributor) for r in got if not r.doc_id)
         assert sorted((r.title, r.distributor) for r in got if r.doc_id) == [("FIRST", "Uno and more"), ("FOURTH", "Uno last"), ("SECOND", "Uno other"), ("THIRD", "Uno")]
+
+
+def test_words_of_a_document_do_not_meet_in_one_task(spark):
+    dealt = plan(printed.annual_print(spark, SMALL)).split("RepartitionByExpression [doc_id")[0]  # what is done after films are dealt by page
+    assert "strategy=broadcast" in dealt and "posexplode" in dealt
+
+
+def test_repeated_films_have_places_of_their_own(spark):
+    ranks = [9, 10, 1_000_010, 1_000_020, 2_000_010]
+    places = [r.p for r in spark.createDataFrame([(r,) for r in ranks], "rank int").select(F.explode(printed.printed_places(F.col("rank"))).alias("p")).collect()]
+    assert len(places) == len(set(places)) == 9
+
+
+def test_ahead_needs_a_record_that_is_complete(spark):
+    head = [(20, 10, "RANK"), (60, 10, "TITULO"), (200, 10, "DISTRIBUIDORA"), (300, 10, "FECHA")]
+    film = [(20, 40, "1"), (60, 40, "Uno"), (200, 40, "Sur"), (300, 40, "01/02/2024"), (350, 40, "10"), (380, 40, "€"), (400, 40, "9")]
+    bare = [(20, 52, "2"), (60, 52, "Dos"), (300, 52, "01/02/2024"), (60, 64, "beta"), (350, 64, "5"), (380, 64, "€"), (400, 64, "7"), (20, 76, "3"), (60, 76, "Tres")]
+    words = [("d", 1, i, float(x), float(t), w) for i, (x, t, w) in enumerate([*head, *film, *bare])]
+    got = ly.parse_annual(spark.createDataFrame(words, "doc_id string, page int, pos int, x0 double, top double, text string"))
+    assert sorted((r["rank"], r.title) for r in got.collect()) == [(1, "Uno"), (2, "Dos beta"), (3, "Tres")]
