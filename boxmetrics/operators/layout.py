@@ -256,7 +256,7 @@ def parse_annual(words: DataFrame) -> DataFrame:
     lined = bucket_rows(words, 3)
     x = F.col("x0")
     part = F.when(x < F.col("rank_limit"), "rank").when(x < F.col("distributor_x") - 2, "title").when(x < F.col("date_x") - 2, "distributor").otherwise("right")
-    edges = F.broadcast(annual_columns(lined))  # a few numbers a document; without the hint all words of one would meet in a task
+    edges = F.broadcast(annual_columns(lined))  # a few numbers a document; the plan without the hint sorts all words by document
     placed = lined.join(edges, "doc_id").withColumn("part", part)
     at = F.array_sort(F.collect_list(F.struct("x0", "pos", "text", "part")))
     cell = lambda n: F.transform(F.filter("at", lambda w: w["part"] == n), lambda w: w["text"]).alias(n)
