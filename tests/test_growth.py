@@ -1,5 +1,7 @@
 """What grows with the square of the rows, or with a group's length, is kept out of the plans; results stay the same."""
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from boxmetrics.operators import fuzzy
@@ -32,6 +34,52 @@ def test_candidates_of_orders_without_a_day_or_kind(spark, tmp_path):
     assert got == [(10, 1, True, None, 1), (10, 2, True, None, 2), (11, 1, False, 1, 2), (11, 2, False, 0, 1), (12, 3, False, 4, 1)]
 
 
+def rows_shuffled(node) -> int:
+    """Rows that the exchanges of a plan wrote, after it has run."""
+    kind, n = node.nodeName(), 0
+    if kind == "Exchange":
+        n = node.metrics().apply("shuffleRecordsWritten").value()
+    below = [node.executedPlan()] if kind == "AdaptiveSparkPlan" else [node.plan()] if kind.endswith("QueryStage") else [node.children().apply(i) for i in range(node.children().size())]
+    return n + sum(rows_shuffled(b) for b in below)
+
+
+def write_orders_and_parts(spark, path, parts, orders):
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string").write.parquet(f"{path}/part.parquet")
+    rows = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, day string, o_orderpriority string")
+    rows.select("o_orderkey", "o_custkey", F.to_timestamp("day").cast("timestamp_ntz").alias("o_orderdate"), "o_orderpriority").write.parquet(f"{path}/orders.parquet")
+
+
+KINDS = ["1-URGENT", "5-LOW", "2-HIGH"]
+
+
+def test_rankings_are_not_shuffled(spark, tmp_path):
+    orders = [(i, i % 500, f"{1995 + i % 7}-03-04 00:00:00", KINDS[i % 3]) for i in range(300)]
+    write_orders_and_parts(spark, tmp_path, [(i, "a b", "C") for i in range(500)], orders)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as tables of size would be joined
+    try:
+        df = records.candidate_rank(spark, str(tmp_path))
+        assert len(df.collect()) == 300 * 500
+        assert rows_shuffled(df._jdf.queryExecution().executedPlan()) < 3 * (300 + 500)  # 21 rankings have 10,500 rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
+@pytest.mark.parametrize("run, dealt", [(1, 1), (5, 3), (4096, 4)])
+def test_rankings_go_on_over_runs_of_ids(spark, tmp_path, monkeypatch, run, dealt):
+    monkeypatch.setattr(records, "RUN", run)
+    monkeypatch.setattr(records, "DEALT", dealt)
+    parts = [(i - 20, ["a b", "d", "e"][i % 7 % 3], "C") for i in range(90)] + [(None, "a b", "C")]
+    orders = [(i, i % 80 - 25, None if i % 11 == 0 else f"{1980 + i % 25}-03-04 00:00:00", KINDS[i % 3]) for i in range(200)]
+    write_orders_and_parts(spark, tmp_path, parts, orders)
+    got = records.candidate_rank(spark, str(tmp_path)).select("query_id", "id", "odd", "distance", "place").collect()
+    con = duckdb.connect()
+    for t in ("part", "orders"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    want = con.sql(f"SELECT query_id, id, odd, distance, place FROM ({records.base.ORACLE['candidate_rank']})").fetchall()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr) and len(want) > 1000
+
+
 def test_sums_of_over_twelve_digits_are_rounded(spark):
     rows = spark.createDataFrame([(2251403475513.12345,), (1.00005,), (None,)], "v double")
     assert [r.v for r in rows.select(records.round4(F.col("v")).alias("v")).collect()] == [2251403475513.1235, 1.0001, None]
